@@ -10,10 +10,13 @@ dependency order.
 from __future__ import annotations
 
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
+RECURSIVE: set[str] = set()
 
 
-def cte(name: str, body: str, *deps: str) -> None:
+def cte(name: str, body: str, *deps: str, recursive: bool = False) -> None:
     CTES[name] = (body.strip(), deps)
+    if recursive:
+        RECURSIVE.add(name)
 
 
 def sql(body: str, *needs: str) -> str:
@@ -31,7 +34,8 @@ def sql(body: str, *needs: str) -> str:
     if not order:
         return body.strip()
     parts = [f"{n} AS (\n{CTES[n][0]}\n)" for n in order]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    head = "WITH RECURSIVE " if RECURSIVE.intersection(order) else "WITH "
+    return head + ",\n".join(parts) + "\n" + body.strip()
 
 
 # --- FX collateral star -----------------------------------------------------
