@@ -131,14 +131,31 @@ def value_date_rules(trades: DataFrame, calendar: DataFrame, type_col: str = "ty
 
 
 def daily_sequence_id(df: DataFrame, date_col: str, prefix_col, order: list,
-                      width: int = 4, out_col: str = "trade_id") -> DataFrame:
+                      width: int = 4, out_col: str = "trade_id", bucket=None) -> DataFrame:
     """``prefix + yyyymmdd + zero-padded sequence`` numbered per day.
-    Adds ``seq``; :func:`tesoro.operators.quality.sequence_overflow`
-    checks the ≤ 9,999 rule."""
-    seq = F.row_number().over(Window.partitionBy(date_col).orderBy(*order))
-    return (df.withColumn("seq", seq)
-            .withColumn(out_col, T.daily_id(prefix_col if not isinstance(prefix_col, str) else F.col(prefix_col),
-                                            F.col(date_col), F.col("seq"), width)))
+
+    A plain per-day ``row_number`` puts a whole day in one task.  With
+    ``bucket`` (a column splitting each day into independent slices) rows
+    are numbered within (day, bucket) in parallel and shifted by the row
+    counts of the earlier buckets of that day — a two-level prefix sum whose
+    only global step runs over days × buckets count rows.  The numbering is
+    dense, unique and ordered by (bucket, order).  Adds ``seq``.
+    """
+    prefix = prefix_col if not isinstance(prefix_col, str) else F.col(prefix_col)
+    if bucket is None:
+        seq = F.row_number().over(Window.partitionBy(date_col).orderBy(*order))
+        out = df.withColumn("seq", seq)
+    else:
+        b = df.withColumn("_bucket", bucket)
+        rn = F.row_number().over(Window.partitionBy(date_col, "_bucket").orderBy(*order))
+        counts = b.groupBy(date_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
+            Window.partitionBy(date_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0))).drop("_n")
+        out = (b.withColumn("_rn", rn).join(offsets, [date_col, "_bucket"])
+               .withColumn("seq", (F.col("_off") + F.col("_rn")).cast("int"))
+               .drop("_bucket", "_rn", "_off"))
+    return out.withColumn(out_col, T.daily_id(prefix, F.col(date_col), F.col("seq"), width))
 
 
 def steps_from_rate(rate_col: str, date_col: str) -> F.Column:

@@ -149,3 +149,77 @@ def limit_reviews(t: Tables) -> DataFrame:
         return out.select("bank_id", "review_date", "effective_date",
                           F.greatest(lim, F.lit(LIMIT_STEP)).cast("double").alias("credit_limit_usd"))
     return t.memo("limit_reviews", build)
+
+
+# ---------------------------------------------------------------------------
+# Treasury ledger star
+# ---------------------------------------------------------------------------
+
+# Fixed values that must equal the reference's output (movement taxonomy).
+DEPOSIT = ("Deposit", "Transactions", "Deposit movement")
+WITHDRAW = ("Withdraw", "Transactions", "Withdraw movement")
+CHARGES = ("Charges", "Fees", "Bank charges")
+TX_BUCKETS = 64   # slices per day for the distributed transaction numbering
+
+
+def accounts(t: Tables) -> DataFrame:
+    """dim_accounts + opening balance: one account per supplier, held at a
+    'bank' = the supplier's region, in the currency = its nation."""
+    def build():
+        s = t("supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+        n = t("nation").select("n_nationkey", "n_name", "n_regionkey")
+        r = t("region").select("r_regionkey", "r_name")
+        j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
+        return j.select(F.col("r_regionkey").cast("string").alias("bank_id"),
+                        F.col("r_name").alias("bank_name"),
+                        F.col("s_suppkey").cast("string").alias("account_number"),
+                        F.col("n_name").alias("currency"),
+                        M.money("s_acctbal").alias("opening_balance"))
+    return t.memo("accounts", build)
+
+
+def movements(t: Tables) -> DataFrame:
+    """Treasury movements from lineitem: returns (R) are withdrawals, A lines
+    deposits, N lines deposits of half the price when open and 1 % charges
+    when filled.  ``transaction_id`` = TX + yyyymmdd + 6-digit daily number
+    (W12, numbered in 64 slices per day)."""
+    def build():
+        from tesoro.operators.positions import daily_sequence_id
+        li = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                  "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
+                                  "l_quantity")
+        acc = accounts(t).select(F.col("account_number").alias("_acct"), "currency")
+        price = M.money("l_extendedprice")
+        kind = (F.when(F.col("l_returnflag") == "R", F.lit("W"))
+                .when(F.col("l_returnflag") == "A", F.lit("D"))
+                .when(F.col("l_linestatus") == "F", F.lit("C")).otherwise(F.lit("H")))
+        amount = (F.when(kind == "W", -price).when(kind == "D", price)
+                  .when(kind == "C", -F.round(price * F.lit(0.01).cast("decimal(3,2)"), 2))
+                  .otherwise(F.round(price * F.lit(0.5).cast("decimal(2,1)"), 2))).cast(M.MONEY)
+        pick = lambda i: (F.when(kind == "W", F.lit(WITHDRAW[i])).when(kind == "C", F.lit(CHARGES[i]))
+                          .otherwise(F.lit(DEPOSIT[i])))
+        m = li.select(F.to_date("l_shipdate").alias("date"),
+                      F.col("l_suppkey").cast("string").alias("account_number"),
+                      pick(0).alias("type"), pick(1).alias("category"), amount.alias("amount"),
+                      pick(2).alias("description"), "l_orderkey", "l_linenumber", "l_partkey",
+                      "l_quantity", "l_extendedprice")
+        m = m.join(acc, F.col("account_number") == F.col("_acct")).drop("_acct")
+        m = daily_sequence_id(m, "date", F.lit("TX"),
+                              ["l_orderkey", "l_linenumber", "l_partkey", "account_number",
+                               "l_quantity", "l_extendedprice"],
+                              width=6, out_col="transaction_id",
+                              bucket=(F.col("l_orderkey") % TX_BUCKETS).cast("int"))
+        return m.select("date", "transaction_id", "account_number", "currency", "type", "category",
+                        "amount", "description")
+    return t.memo("movements", build)
+
+
+def ledger_bounds(t: Tables) -> tuple[dt.date, dt.date]:
+    return t.memo("ledger_bounds", lambda: C.date_bounds(movements(t), "date"))
+
+
+def ledger_calendar(t: Tables) -> DataFrame:
+    def build():
+        lo, hi = ledger_bounds(t)
+        return C.build_calendar(t.spark, lo, hi)
+    return t.memo("ledger_calendar", build)

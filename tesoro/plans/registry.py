@@ -39,4 +39,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every query module (registration happens on import)."""
-    from tesoro.plans import (q_calendar, q_positions, q_collateral)  # noqa: F401
+    from tesoro.plans import (q_calendar, q_positions, q_collateral, q_treasury)  # noqa: F401
