@@ -104,5 +104,4 @@ def dd_mmm_yyyy(d) -> Column:
 
 def parse_iso_date(s) -> Column:
     """Lenient ISO parse: unparsable text → NULL."""
-    return F.try_to_date(_c(s), F.lit("yyyy-MM-dd")) if hasattr(F, "try_to_date") \
-        else F.expr(f"try_cast({s} AS DATE)")
+    return F.try_to_date(_c(s), "yyyy-MM-dd")

@@ -75,10 +75,14 @@ def capacity_eligibility(trades: DataFrame, limits: DataFrame, trade_col: str =
     """
     lim = limits.select(F.col("as_of_date").alias(date_col), bank_col,
                         "credit_limit_usd", "counterparty_exposure_usd")
+    # an equi join on the date: each trade meets only that day's bank rows
     j = trades.select(trade_col, date_col, size_col).join(lim, date_col)
-    remaining = M.floor_at_zero(F.col("credit_limit_usd") - F.col("counterparty_exposure_usd"))
+    remaining = M.floor_at_zero(F.col("credit_limit_usd").cast("decimal(20,2)")
+                                - F.col("counterparty_exposure_usd").cast("decimal(20,2)")).cast("decimal(20,2)")
+    need = F.col(size_col).cast("decimal(20,2)") * F.lit(headroom).cast("decimal(3,1)")
     j = (j.withColumn("remaining_usd", remaining)
-         .withColumn("eligible", F.col("remaining_usd") >= F.lit(headroom) * F.col(size_col).cast("double")))
+         .withColumn("eligible", F.col("remaining_usd") >= need))
     w = Window.partitionBy(trade_col)
     tot = F.sum(F.when(F.col("eligible"), F.col("remaining_usd"))).over(w)
-    return j.withColumn("weight", F.when(F.col("eligible"), M.safe_divide(F.col("remaining_usd"), tot)))
+    return j.withColumn("weight", F.when(F.col("eligible"), M.safe_divide(
+        F.col("remaining_usd").cast("double"), tot.cast("double"))))
