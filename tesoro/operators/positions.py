@@ -152,7 +152,9 @@ def daily_sequence_id(df: DataFrame, date_col: str, prefix_col, order: list,
         offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
             Window.partitionBy(date_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0))).drop("_n")
-        out = (b.withColumn("_rn", rn).join(offsets, [date_col, "_bucket"])
+        # left join on a key-unique side: row count is unchanged, and Catalyst
+        # drops the join entirely when the caller never reads the id
+        out = (b.withColumn("_rn", rn).join(offsets, [date_col, "_bucket"], "left")
                .withColumn("seq", (F.col("_off") + F.col("_rn")).cast("int"))
                .drop("_bucket", "_rn", "_off"))
     return out.withColumn(out_col, T.daily_id(prefix, F.col(date_col), F.col("seq"), width))

@@ -114,9 +114,21 @@ def calendar_end(t: Tables) -> dt.date:
 
 
 def exposure(t: Tables) -> DataFrame:
-    """(bank_id, report_date, exposure, active_legs) — A02 via D02 delta."""
-    return t.memo("exposure", lambda: exposure_series(
-        legs(t), bdays(t), ["bank_id"], "trade_date", "value_date", "trade_size_usd"))
+    """(bank_id, report_date, exposure, active_legs) — A02 via D02 delta.
+
+    Bounded by banks × business days and read by several branches of one
+    plan (limit reviews, utilisation, collateral), so it is checkpointed to
+    the shared work folder once instead of re-deriving it from the facts."""
+    return t.memo("exposure", lambda: stage(exposure_series(
+        legs(t), bdays(t), ["bank_id"], "trade_date", "value_date", "trade_size_usd")))
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a small, reused intermediate with a reliable checkpoint
+    (``spark.checkpoint.dir``), cutting its lineage; survives executor loss."""
+    from tesoro.session import work_dir
+    work_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def limit_reviews(t: Tables) -> DataFrame:
@@ -131,7 +143,7 @@ def limit_reviews(t: Tables) -> DataFrame:
         lo, hi = trade_bounds(t)
         reviews = [dt.date(y, m, 1) for y in range(lo.year, hi.year + 1) for m in REVIEW_MONTHS
                    if dt.date(y, m, 1) <= hi]
-        banks = legs(t).select("bank_id").distinct()
+        banks = t("customer").select(F.col("c_mktsegment").alias("bank_id")).distinct()
         r = banks.select("bank_id", F.explode(F.array(*[F.lit(d) for d in reviews])).alias("review_date"))
         r = C.roll_to_business_day(r, "review_date", trade_calendar(t), "effective_date")
         # two reviews rolled onto one day: the later review wins

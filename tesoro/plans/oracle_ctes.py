@@ -85,9 +85,9 @@ SELECT bank_id, review_date, effective_date FROM (
   SELECT b.bank_id, r.review_date,
          coalesce((SELECT min(report_date) FROM bdays WHERE report_date >= r.review_date),
                   (SELECT max(report_date) FROM bdays)) AS effective_date
-  FROM (SELECT DISTINCT bank_id FROM legs) b, review_dates r)
+  FROM (SELECT DISTINCT c_mktsegment AS bank_id FROM customer) b, review_dates r)
 QUALIFY row_number() OVER (PARTITION BY bank_id, effective_date ORDER BY review_date DESC) = 1
-""", "legs", "review_dates", "bdays")
+""", "review_dates", "bdays")
 
 cte("sched", """
 SELECT r.bank_id, r.effective_date, d.report_date AS as_of_date

@@ -384,11 +384,9 @@ def x05(t):
                     F.lit(FX.QUALITY_RAW).alias("new_flag"))
 
 
-def _pivot_sql():
-    return None
-
-
-@query("a16_pivot_rates")
+@query("a16_pivot_rates", sql("""
+SELECT * FROM (PIVOT (SELECT date, currency, fx_to_usd FROM fx_history) ON currency USING first(fx_to_usd) GROUP BY date)
+""", "fx_history"))
 def a16(t):
     """Long → wide: one column per currency.  The pivot values come from the
     currency dimension (a bounded list), so Spark needs no extra pass to

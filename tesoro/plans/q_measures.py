@@ -451,7 +451,19 @@ def cs2(t):
                                           T.BANK_THEME_DEFAULT).alias("theme_colour"))
 
 
-@query("c_s3_compact_number")
+def _compact_sql(x: str) -> str:
+    ax = f"abs({x})"
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {ax} >= 1e9 THEN printf('%.2fB', {x} / 1e9) "
+            f"WHEN {ax} >= 1e6 THEN printf('%.2fM', {x} / 1e6) WHEN {ax} >= 1e3 THEN printf('%.1fK', {x} / 1e3) "
+            f"ELSE printf('%.0f', {x}) END")
+
+
+@query("c_s3_compact_number", sql(f"""
+SELECT report_date, {_compact_sql('collateral_posted')} AS posted_text,
+       CASE WHEN ch >= 0 THEN '+' || {_compact_sql('ch')} ELSE {_compact_sql('ch')} END AS change_text
+FROM (SELECT report_date, collateral_posted,
+             collateral_posted - coalesce(lag(collateral_posted) OVER (ORDER BY report_date), 0) AS ch FROM coll_total)
+""", "coll_total"))
 def cs3(t):
     """KPI text: 1.23M / 45.6K and signed change text."""
     s = MS.previous_day(coll_total(t), [], "report_date", ["collateral_posted"])

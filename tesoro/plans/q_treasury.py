@@ -123,7 +123,9 @@ cte("ledger", "SELECT * FROM led_rec WHERE date >= (SELECT lo FROM led_bounds)",
 # --- Spark side -------------------------------------------------------------
 
 def w15(t):
-    return t.memo("w15", lambda: LG.balance_roll_forward(B.accounts(t), B.movements(t)))
+    """Daily balances without sweeps: read by both sides of the sweep and by
+    the closing join, so staged once (accounts × movement days)."""
+    return t.memo("w15", lambda: B.stage(LG.balance_roll_forward(B.accounts(t), B.movements(t))))
 
 
 def sweeps(t, mode):
