@@ -1,0 +1,23 @@
+"""Shared DataFrame helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be broadcast.  A million narrow rows is
+# tens of MB per executor; anything larger is left to the planner (AQE
+# switches to a broadcast at runtime only when the measured size allows).
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
+    early) and returns one number to the driver; beyond the bound the plan
+    keeps a shuffle join, so a dimension that grows with the data never
+    overflows executor memory.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

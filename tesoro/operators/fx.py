@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesoro.operators.common import checked_broadcast
+
 # Fixed values that must equal the reference's output.
 QUALITY_RAW = "raw"
 QUALITY_FILLED = "filled"
@@ -78,7 +80,7 @@ def normalise_fx_frame(df: DataFrame, targets=None, keep: list[str] | None = Non
         return out
     if isinstance(targets, DataFrame):
         codes = targets.select(canonical_key(F.col(targets.columns[0])).alias("currency"))
-        return out.join(F.broadcast(codes), "currency", "left_semi")
+        return out.join(checked_broadcast(codes), "currency", "left_semi")
     return out.filter(F.col("currency").isin([str(t).strip().upper() for t in targets]))
 
 

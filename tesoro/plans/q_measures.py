@@ -11,6 +11,7 @@ from tesoro.functions import text as T
 from tesoro.operators import calendar as C
 from tesoro.operators import limits as L
 from tesoro.operators import measures as MS
+from tesoro.operators.common import checked_broadcast
 from tesoro.plans import bindings as B
 from tesoro.plans.oracle_ctes import cte, sql
 from tesoro.plans.q_collateral import collateral, report_days, trade_mtm
@@ -227,7 +228,7 @@ WHERE bank_id IN (SELECT DISTINCT bank_id FROM legs WHERE bank_id IN {SLICER}) G
 def f09(t):
     """A slicer on the bank dimension propagated to the fact (semi join)."""
     banks = B.legs(t).select("bank_id").distinct().filter(F.col("bank_id").isin(*SLICER))
-    e = B.exposure(t).join(F.broadcast(banks), "bank_id", "left_semi")
+    e = B.exposure(t).join(checked_broadcast(banks), "bank_id", "left_semi")
     return e.groupBy("report_date").agg(F.sum("exposure").cast("double").alias("exposure"))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tesoro.operators.common import checked_broadcast
 from tesoro.session import scratch_path
 from tesoro.sources.readers import path_exists
 
@@ -82,7 +83,7 @@ def upsert_by_key(spark: SparkSession, path: str, incoming: DataFrame, keys: lis
         merged.write.parquet(out)
         return out
     touched = incoming.select(partition_col).distinct()
-    old = existing.join(F.broadcast(touched), partition_col, "left_semi")
+    old = existing.join(checked_broadcast(touched), partition_col, "left_semi")
     merged = old.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming.select(*existing.columns))
     stage = scratch_path(spark, "upsert-stage")
     merged.write.partitionBy(partition_col).parquet(stage)
