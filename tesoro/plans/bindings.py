@@ -214,11 +214,13 @@ def movements(t: Tables) -> DataFrame:
                       F.col("l_suppkey").cast("string").alias("account_number"),
                       pick(0).alias("type"), pick(1).alias("category"), amount.alias("amount"),
                       pick(2).alias("description"), "l_orderkey", "l_linenumber", "l_partkey",
-                      "l_quantity", "l_extendedprice")
+                      "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
         m = m.join(acc, F.col("account_number") == F.col("_acct")).drop("_acct")
+        # a total order: rows equal on all of it are equal in every output
+        # column, so numbering is identical on any retry
         m = daily_sequence_id(m, "date", F.lit("TX"),
                               ["l_orderkey", "l_linenumber", "l_partkey", "account_number",
-                               "l_quantity", "l_extendedprice"],
+                               "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"],
                               width=6, out_col="transaction_id",
                               bucket=(F.col("l_orderkey") % TX_BUCKETS).cast("int"))
         return m.select("date", "transaction_id", "account_number", "currency", "type", "category",

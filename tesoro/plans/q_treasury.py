@@ -28,7 +28,7 @@ cte("movements", """
 SELECT date,
        'TX' || strftime(date, '%Y%m%d') || lpad(CAST(row_number() OVER (PARTITION BY date
             ORDER BY l_orderkey % 64, l_orderkey, l_linenumber, l_partkey, account_number, l_quantity,
-                     l_extendedprice) AS VARCHAR), 6, '0') AS transaction_id,
+                     l_extendedprice, l_returnflag, l_linestatus) AS VARCHAR), 6, '0') AS transaction_id,
        account_number, currency,
        CASE kind WHEN 'W' THEN 'Withdraw' WHEN 'C' THEN 'Charges' ELSE 'Deposit' END AS type,
        CASE kind WHEN 'W' THEN 'Transactions' WHEN 'C' THEN 'Fees' ELSE 'Transactions' END AS category,
@@ -37,7 +37,7 @@ SELECT date,
        CASE kind WHEN 'W' THEN 'Withdraw movement' WHEN 'C' THEN 'Bank charges' ELSE 'Deposit movement' END AS description
 FROM (SELECT CAST(l.l_shipdate AS DATE) AS date, CAST(l.l_suppkey AS VARCHAR) AS account_number, a.currency,
              CAST(l.l_extendedprice AS DECIMAL(18,2)) AS price, l.l_orderkey, l.l_linenumber, l.l_partkey,
-             l.l_quantity, l.l_extendedprice,
+             l.l_quantity, l.l_extendedprice, l.l_returnflag, l.l_linestatus,
              CASE WHEN l.l_returnflag = 'R' THEN 'W' WHEN l.l_returnflag = 'A' THEN 'D'
                   WHEN l.l_linestatus = 'F' THEN 'C' ELSE 'H' END AS kind
       FROM lineitem l JOIN accounts a ON a.account_number = CAST(l.l_suppkey AS VARCHAR))

@@ -8,7 +8,7 @@ staged first, then swapped in with a dynamic partition overwrite.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesoro.operators.common import checked_broadcast
@@ -44,9 +44,17 @@ def incremental_append(df: DataFrame, path: str, date_col: str, mark) -> int:
 
 
 def keep_last_per_key(df: DataFrame, keys: list[str], recency: list[str]) -> DataFrame:
-    """One physical row per key, the most recent by ``recency``."""
-    w = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in recency])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """One physical row per key, the most recent by ``recency``.
+
+    A ``max_by`` aggregate rather than a ``row_number`` window: duplicates
+    are reduced map-side, so a key holding a large share of the rows is
+    never sorted in a single task.  Ties on ``recency`` are broken by the
+    remaining columns, so the pick is deterministic across retries."""
+    others = [c for c in df.columns if c not in keys]
+    rank = F.struct(*[F.col(c) for c in recency], *[F.col(c) for c in others if c not in recency])
+    picked = F.max_by(F.struct(*[F.col(c) for c in others]), rank).alias("_last")
+    out = df.groupBy(*keys).agg(picked)
+    return out.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in others]).select(*df.columns)
 
 
 def delete_duplicates_anti(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
