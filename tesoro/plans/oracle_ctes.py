@@ -19,7 +19,22 @@ def cte(name: str, body: str, *deps: str, recursive: bool = False) -> None:
         RECURSIVE.add(name)
 
 
-def sql(body: str, *needs: str) -> str:
+class LazySQL:
+    """Oracle SQL whose CTEs are resolved when rendered, so query modules
+    may use CTEs registered by modules imported after them."""
+
+    def __init__(self, body: str, needs: tuple[str, ...]):
+        self.body, self.needs = body, needs
+
+    def __str__(self) -> str:
+        return render(self.body, *self.needs)
+
+
+def sql(body: str, *needs: str) -> LazySQL:
+    return LazySQL(body, needs)
+
+
+def render(body: str, *needs: str) -> str:
     order: list[str] = []
 
     def visit(n: str) -> None:
