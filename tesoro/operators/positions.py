@@ -142,24 +142,33 @@ def daily_sequence_id(df: DataFrame, date_col: str, prefix_col, order: list,
     dense, unique and ordered by (bucket, order).  Adds ``seq``.
     """
     prefix = prefix_col if not isinstance(prefix_col, str) else F.col(prefix_col)
-    if bucket is None:
-        seq = F.row_number().over(Window.partitionBy(date_col).orderBy(*order))
-        out = df.withColumn("seq", seq)
-    else:
-        b = df.withColumn("_bucket", bucket)
-        rn = F.row_number().over(Window.partitionBy(date_col, "_bucket").orderBy(*order))
-        counts = b.groupBy(date_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
-            Window.partitionBy(date_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0))).drop("_n")
-        # left join on a key-unique side: row count is unchanged, and Catalyst
-        # drops the join entirely when the caller never reads the id
-        out = (b.withColumn("_rn", rn).join(offsets, [date_col, "_bucket"], "left")
-               .withColumn("seq", (F.col("_off") + F.col("_rn")).cast("int"))
-               .drop("_bucket", "_rn", "_off"))
+    out = dense_sequence(df, [date_col], order, bucket, "seq")
     return out.withColumn(out_col, T.daily_id(prefix, F.col(date_col), F.col("seq"), width))
 
 
+def dense_sequence(df: DataFrame, group: list[str], order: list, bucket=None, out_col: str = "seq") -> DataFrame:
+    """1, 2, 3 … within each group, in (bucket, order) order.
+
+    Without ``bucket`` this is a ``row_number`` window — one sort per group.
+    With it, rows are numbered within (group, bucket) in parallel and
+    shifted by the row counts of the group's earlier buckets: the only
+    step that sees a whole group runs over its per-bucket counts.
+    """
+    if bucket is None:
+        return df.withColumn(out_col, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("int"))
+    b = df.withColumn("_bucket", bucket)
+    rn = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order))
+    counts = b.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0))).drop("_n")
+    # left join on a key-unique side: row count is unchanged, and Catalyst
+    # drops the join entirely when the caller never reads the number
+    return (b.withColumn("_rn", rn).join(offsets, [*group, "_bucket"], "left")
+            .withColumn(out_col, (F.col("_off") + F.col("_rn")).cast("int"))
+            .drop("_bucket", "_rn", "_off"))
+
+
 def steps_from_rate(rate_col: str, date_col: str) -> F.Column:
     """Binding helper: a deterministic daily MTM step from a per-trade rate
     (re-aimed random walk): rate × ((day mod 5) − 2) × 0.01."""

@@ -31,6 +31,7 @@ LIMIT_HEADROOM = 1.2          # limit = 1.2 × mean exposure over the review per
 LIMIT_STEP = 250_000.0        # limits are rounded to this step (N-S2)
 REVIEW_MONTHS = (1, 7)        # reviews on Jan-1 and Jul-1, rolled forward (Trap15)
 BASE_CURRENCY = "NATION_0"    # the rates' base currency: always 1.0, flag raw
+LEG_BUCKETS = 8               # slices per order for the leg numbering
 LEG_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -64,10 +65,10 @@ def legs(t: Tables) -> DataFrame:
         o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         c = t("customer").select("c_custkey", "c_mktsegment")
         j = li.join(o, li.l_orderkey == o.o_orderkey)
-        # leg numbering is per order: the window reuses the join's
-        # hash partitioning on the order key (no extra shuffle)
-        j = j.withColumn("leg_id", F.row_number().over(
-            Window.partitionBy("l_orderkey").orderBy(*LEG_ORDER)).cast("int"))
+        # legs are numbered per order in LEG_BUCKETS independent slices
+        # (partkey mod n), so one huge order is never a single sort
+        from tesoro.operators.positions import dense_sequence
+        j = dense_sequence(j, ["l_orderkey"], LEG_ORDER, (F.col("l_partkey") % LEG_BUCKETS).cast("int"), "leg_id")
         j = j.join(c, j.o_custkey == c.c_custkey)
         trade_date = F.to_date("o_orderdate")
         return j.select(

@@ -232,7 +232,8 @@ def d09(t):
 
 
 @query("d12_month_end_interest", sql(f"""
-SELECT date, 'TX' || strftime(date, '%Y%m%d') || lpad(CAST(row_number() OVER (PARTITION BY date ORDER BY account_number)
+SELECT date, 'TX' || strftime(date, '%Y%m%d') || lpad(CAST(row_number() OVER (PARTITION BY date
+         ORDER BY CAST(account_number AS BIGINT) % 16, account_number)
          AS VARCHAR), 6, '0') AS transaction_id,
        account_number, currency, 'Interest' AS type, 'Income' AS category,
        CAST(round(starting_balance * CAST({INTEREST_RATE} AS DECIMAL(10,6)), 2) AS DOUBLE) AS amount,
@@ -242,7 +243,9 @@ FROM ledger WHERE date = last_day(date)
 def d12(t):
     from tesoro.operators.positions import daily_sequence_id
     mv = LG.month_end_interest(ledger(t), B.ledger_calendar(t), INTEREST_RATE)
-    mv = daily_sequence_id(mv, "date", F.lit("TX"), ["account_number"], width=6, out_col="transaction_id")
+    # a month end touches every account: number in 16 slices per day
+    mv = daily_sequence_id(mv, "date", F.lit("TX"), ["account_number"], width=6, out_col="transaction_id",
+                           bucket=(F.col("account_number").cast("long") % 16).cast("int"))
     return mv.select("date", "transaction_id", "account_number", "currency", "type", "category",
                      F.col("amount").cast("double").alias("amount"), "description")
 
