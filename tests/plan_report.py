@@ -24,7 +24,7 @@ def summarise(plan: str) -> dict:
         "windows": len(re.findall(r"\bWindow \[", plan)),
         "python stages": plan.count("MapInPandas") + plan.count("ArrowEvalPython") + plan.count("BatchEvalPython"),
         "scans": len(scans),
-        "max cols read": max((len(s[2].split(",")) for s in scans), default=0),
+        "max cols read": max((len(re.findall(r"(?:^|,)\w+:", s[2])) for s in scans), default=0),
         "cartesian": plan.count("CartesianProduct") + plan.count("BroadcastNestedLoopJoin"),
     }
 
