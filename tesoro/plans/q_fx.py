@@ -415,12 +415,14 @@ def j12(t):
 
 
 @query("a10_sum_of_products", sql("""
-SELECT m.date, sum(CAST(m.amount AS DOUBLE) * (1.0 / h.fx_to_usd)) AS movements_usd
+SELECT m.date, round(sum(CAST(m.amount AS DOUBLE) * (1.0 / h.fx_to_usd)), 4) AS movements_usd
 FROM movements m LEFT JOIN fx_history h ON h.date = m.date AND h.currency = m.currency GROUP BY m.date
 """, "movements", "fx_history"))
 def a10(t):
-    """Σ(amount × fx_rate) per date, fx_rate = 1 / fx_to_usd."""
+    """Σ(amount × fx_rate) per date, fx_rate = 1 / fx_to_usd (S11); USD
+    shown to 4 decimals (a double sum's last bits depend on the order)."""
     mv = B.movements(t).select("date", "currency", "amount")
     r = history(t).select("date", "currency", F.try_divide(F.lit(1.0), F.col("fx_to_usd")).alias("fx_rate"))
     j = mv.join(r, ["date", "currency"], "left")
-    return j.groupBy("date").agg(F.sum(F.col("amount").cast("double") * F.col("fx_rate")).alias("movements_usd"))
+    return j.groupBy("date").agg(F.round(F.sum(F.col("amount").cast("double") * F.col("fx_rate")), 4)
+                                 .alias("movements_usd"))

@@ -109,25 +109,26 @@ def j05(t):
 
 
 cte("usd_daily", """
-SELECT l.date, sum(CAST(l.closing_balance AS DOUBLE) / h.fx_to_usd) AS closing_usd,
-       sum(CAST(l.total_movements AS DOUBLE) / h.fx_to_usd) AS movements_usd
+SELECT l.date, CAST(round(sum(CAST(l.closing_balance AS DOUBLE) / h.fx_to_usd), 4) AS DECIMAL(38,4)) AS closing_usd,
+       CAST(round(sum(CAST(l.total_movements AS DOUBLE) / h.fx_to_usd), 4) AS DECIMAL(38,4)) AS movements_usd
 FROM ledger l LEFT JOIN fx_history h ON h.date = l.date AND h.currency = l.currency GROUP BY l.date
 """, "ledger", "fx_history")
 
 cte("usd_flows", """
-SELECT m.date, sum(CASE WHEN m.type = 'Deposit' THEN CAST(m.amount AS DOUBLE) / h.fx_to_usd END) AS deposits_usd,
-       abs(sum(CASE WHEN m.type = 'Withdraw' THEN CAST(m.amount AS DOUBLE) / h.fx_to_usd END)) AS withdrawals_usd
+SELECT m.date, round(sum(CASE WHEN m.type = 'Deposit' THEN CAST(m.amount AS DOUBLE) / h.fx_to_usd END), 4) AS deposits_usd,
+       round(abs(sum(CASE WHEN m.type = 'Withdraw' THEN CAST(m.amount AS DOUBLE) / h.fx_to_usd END)), 4) AS withdrawals_usd
 FROM movements m LEFT JOIN fx_history h ON h.date = m.date AND h.currency = m.currency GROUP BY m.date
 """, "movements", "fx_history")
 
 
 @query("d15_usd_position", sql("""
-SELECT d.date, d.closing_usd, d.movements_usd, f.deposits_usd, f.withdrawals_usd,
-       sum(d.movements_usd) OVER (PARTITION BY date_trunc('month', d.date) ORDER BY d.date
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mtd_movements_usd,
-       sum(d.movements_usd) OVER (PARTITION BY year(d.date) ORDER BY d.date
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ytd_movements_usd,
-       CASE WHEN d.date = last_day(d.date) THEN d.closing_usd END AS month_end_closing_usd
+SELECT d.date, CAST(d.closing_usd AS DOUBLE) AS closing_usd, CAST(d.movements_usd AS DOUBLE) AS movements_usd,
+       f.deposits_usd, f.withdrawals_usd,
+       CAST(sum(d.movements_usd) OVER (PARTITION BY date_trunc('month', d.date) ORDER BY d.date
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS mtd_movements_usd,
+       CAST(sum(d.movements_usd) OVER (PARTITION BY year(d.date) ORDER BY d.date
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS ytd_movements_usd,
+       CASE WHEN d.date = last_day(d.date) THEN CAST(d.closing_usd AS DOUBLE) END AS month_end_closing_usd
 FROM usd_daily d LEFT JOIN usd_flows f ON f.date = d.date""", "usd_daily", "usd_flows"))
 def d15(t):
     """Balances and movements in USD (J12: amount / fx_to_usd), month- and
@@ -141,14 +142,19 @@ def d15(t):
     rates = history(t).select("date", "currency", "fx_to_usd")
     led = FX.convert_to_usd(ledger(t), rates, "closing_balance", "_c")
     led = led.withColumn("_m", F.try_divide(F.col("total_movements").cast("double"), F.col("fx_to_usd")))
-    daily = led.groupBy("date").agg(F.sum("_c").alias("closing_usd"), F.sum("_m").alias("movements_usd"))
+    # day totals shown to 4 decimals, then carried as DECIMAL so the period
+    # sums are exact (a double sum's last bits depend on the order)
+    usd = lambda c: F.round(F.sum(c), 4).cast("decimal(38,4)")
+    daily = led.groupBy("date").agg(usd("_c").alias("closing_usd"), usd("_m").alias("movements_usd"))
     mv = FX.convert_to_usd(B.movements(t), rates, "amount", "_u")
     flows = mv.groupBy("date").agg(
-        F.sum(F.when(F.col("type") == "Deposit", F.col("_u"))).alias("deposits_usd"),
-        F.abs(F.sum(F.when(F.col("type") == "Withdraw", F.col("_u")))).alias("withdrawals_usd"))
+        F.round(F.sum(F.when(F.col("type") == "Deposit", F.col("_u"))), 4).alias("deposits_usd"),
+        F.round(F.abs(F.sum(F.when(F.col("type") == "Withdraw", F.col("_u")))), 4).alias("withdrawals_usd"))
     j = daily.join(flows, "date", "left").withColumn("_k", F.lit(1))
     j = period_to_date(j, ["_k"], "date", "movements_usd", "month", "mtd_movements_usd")
     j = period_to_date(j, ["_k"], "date", "movements_usd", "year", "ytd_movements_usd")
-    return j.select("date", "closing_usd", "movements_usd", "deposits_usd", "withdrawals_usd",
-                    "mtd_movements_usd", "ytd_movements_usd",
-                    F.when(F.col("date") == F.last_day("date"), F.col("closing_usd")).alias("month_end_closing_usd"))
+    dbl = lambda c: F.col(c).cast("double").alias(c)
+    return j.select("date", dbl("closing_usd"), dbl("movements_usd"), "deposits_usd", "withdrawals_usd",
+                    dbl("mtd_movements_usd"), dbl("ytd_movements_usd"),
+                    F.when(F.col("date") == F.last_day("date"), F.col("closing_usd").cast("double"))
+                    .alias("month_end_closing_usd"))

@@ -68,7 +68,12 @@ def _key(row):
     return tuple(out)
 
 
+STRICT = False
+
+
 def _close(a, b) -> bool:
+    if STRICT:
+        return a == b and (a is None) == (b is None)
     if a is None or b is None:
         return a is None and b is None
     if isinstance(a, bool) or isinstance(b, bool):
@@ -138,6 +143,8 @@ def run(names: list[str], sf_dir: str) -> int:
 if __name__ == "__main__":
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--strict", action="store_true", help="floats must be bit-identical")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
+    STRICT = a.strict
     sys.exit(1 if run(a.names, a.sf) else 0)
