@@ -134,9 +134,13 @@ def sweeps(t, mode):
 
 
 def ledger(t):
+    """D09 output, staged: the recurrence is serial per currency, so its
+    result is written once to the shared checkpoint folder — every reader
+    (and a retry after an executor loss) reads it instead of replaying the
+    day-by-day kernel."""
     def build():
         lo, hi = B.ledger_bounds(t)
-        return LG.ledger_roll_forward(B.accounts(t), B.movements(t), lo, hi, mode="waterfall")
+        return B.stage(LG.ledger_roll_forward(B.accounts(t), B.movements(t), lo, hi, mode="waterfall"))
     return t.memo("ledger", build)
 
 
