@@ -400,14 +400,16 @@ def q06(t):
 @query("z01_daily_file_stream", sql("""
 SELECT date, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM movements GROUP BY date""", "movements"))
 def z01(t):
-    """Daily movement files landed as CSV, loaded by a file stream into a
-    date-partitioned table; the stream is started twice and the second run
-    finds nothing new (checkpointed), so the table is unchanged."""
+    """Daily movement files landed as CSV, loaded by a file stream that
+    upserts on (date, transaction_id) into a month-partitioned table; the
+    stream is started twice and the second run finds nothing new
+    (checkpointed), so the table is unchanged."""
     landing = movements_csv(t)
     target = scratch_path(t.spark, "z01-table")
     ckpt = scratch_path(t.spark, "z01-checkpoint")
     for _ in range(2):
-        daily_file_stream(t.spark, landing, MOV_DDL, target, ckpt)
+        daily_file_stream(t.spark, landing, MOV_DDL, target, ckpt, keys=["date", "transaction_id"],
+                          partition_col="period", partition_expr=F.date_format("date", "yyyy-MM"))
     df = t.spark.read.parquet(target)
     return df.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
 

@@ -19,9 +19,12 @@ from tesoro.sinks.writers import replace_by_date, upsert_by_key
 
 def daily_file_stream(spark: SparkSession, landing: str, schema, target: str, checkpoint: str,
                       date_col: str = "date", keys: list[str] | None = None, fmt: str = "csv",
-                      available_now: bool = True, processing_time: str = "1 minute"):
+                      available_now: bool = True, processing_time: str = "1 minute",
+                      partition_col: str | None = None, partition_expr=None):
     """Start the stream; with ``available_now`` block until the landed files
-    are loaded.  ``keys`` switches the sink from replace-by-date to upsert."""
+    are loaded.  ``keys`` switches the sink from replace-by-date to upsert;
+    ``partition_col``/``partition_expr`` give the upsert table a coarser
+    layout (e.g. monthly folders) than one folder per day."""
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -29,7 +32,10 @@ def daily_file_stream(spark: SparkSession, landing: str, schema, target: str, ch
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         if keys:
-            upsert_by_key(batch.sparkSession, target, batch, keys, partition_col=date_col)
+            part = partition_col or date_col
+            if partition_expr is not None:
+                batch = batch.withColumn(part, partition_expr)
+            upsert_by_key(batch.sparkSession, target, batch, keys, partition_col=part)
         else:
             replace_by_date(batch, target, date_col)
 
