@@ -103,10 +103,16 @@ def compare(spark_cols, spark_rows, duck_cols, duck_rows):
     return True, f"{len(s)} rows"
 
 
-def run(names: list[str], sf_dir: str) -> int:
-    from tesoro.session import build_session
+def run(names: list[str], sf_dir: str, plain: bool = False) -> int:
     import __spark_entry__ as E
-    spark = build_session()
+    if plain:  # a bare session, as a caller of __spark_entry__ would build it
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+                 .getOrCreate())
+    else:
+        from tesoro.session import build_session
+        spark = build_session()
     qs, oracle = E.queries(), E.oracle_sql()
     con = duck_connection(sf_dir)
     failures = 0
@@ -144,7 +150,8 @@ if __name__ == "__main__":
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--strict", action="store_true", help="floats must be bit-identical")
+    ap.add_argument("--plain", action="store_true", help="bare SparkSession instead of build_session()")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     STRICT = a.strict
-    sys.exit(1 if run(a.names, a.sf) else 0)
+    sys.exit(1 if run(a.names, a.sf, a.plain) else 0)
