@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,16 +29,20 @@ def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def arrow_rows(fn: Callable[[list, list], Iterator], schema) -> Callable:
-    """Wrap ``fn(ids, texts) -> iterator of column lists`` for mapInArrow."""
+def map_rows(df: DataFrame, fn: Callable, ddl: str) -> DataFrame:
+    """mapInArrow with plain rows out: ``fn(batches)`` yields lists of tuples
+    in the order of ``ddl``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
     def run(batches):
         import pyarrow as pa
-        for b in batches:
-            if b.num_rows:
-                for cols in fn(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    yield pa.RecordBatch.from_arrays(
-                        [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-    return run
+        for rows in fn(batches):
+            cols = list(zip(*rows)) if rows else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    return df.mapInArrow(run, ddl)
 
 
 def smallest_labels(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
@@ -69,3 +73,14 @@ def smallest_labels(edges: DataFrame, a: str = "a", b: str = "b", name: str = "c
         if now == mark:
             return e.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
         mark = now
+
+
+#: Upper-case ASCII letters become lower case, every other ASCII byte that is
+#: neither a letter nor a digit becomes a space; other bytes stay.
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+
+
+def ascii_words(text: str) -> list[bytes]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z in
+    lower case, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(_FOLD).split()

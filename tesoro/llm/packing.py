@@ -27,7 +27,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesoro.llm.common import stage, text_of
+from tesoro.llm.common import map_rows, stage, text_of
 
 CAPACITY = 2048
 #: Rows numbered together when pieces of one length get their ranks.
@@ -85,22 +85,18 @@ def tokenized_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPAC
     """doc_id, piece, start, length, ids_crc32: each document's ids and an end
     id, cut only where longer than ``capacity``."""
     def run(batches):
-        import pyarrow as pa
         encode = word_encoder(tokenizer_file)
         end = int(end_id).to_bytes(4, "little")
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
+            rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = encode(text.as_py()) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[at:at + 4 * capacity]
-                    for col, x in zip(out, (doc, k, at // 4, len(cut) // 4, zlib.crc32(cut))):
-                        col.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                    rows.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
+            yield rows
 
-    return text_of(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_rows(text_of(docs), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
