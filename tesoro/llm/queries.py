@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesoro.llm import decontaminate, licenses, packing, topk
+from tesoro.llm import decontaminate, licenses, packing, topk, toxicity
 from tesoro.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
