@@ -31,52 +31,71 @@ from tesoro.llm.common import map_rows, stage, text_of
 
 CAPACITY = 2048
 #: Rows numbered together when pieces of one length get their ranks.
-SLICE_ROWS = 100_000
+SLICE_ROWS = 4_000
 #: Words remembered by one task; beyond it the memory starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 
-def word_encoder(tokenizer_file: str):
-    """text -> little-endian uint32 ids, as the tokenizer gives for the whole
-    text.  No token spans a space or a line feed here (white space is dropped
-    before the merges), so the ids of each word are remembered."""
+def encoder(tokenizer_file: str):
+    """list of texts -> little-endian uint32 ids, as the tokenizer gives for
+    each whole text.
+
+    No token spans a space or a line feed (white space is dropped before the
+    merges), so the ids of each word are remembered.  New words of plain
+    letters are encoded together, one call for many; a token that ends a word
+    is marked in the vocabulary, which parts the result."""
+    import os
     import re
 
     import numpy as np
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task keeps to its core
     tok = Tokenizer.from_file(tokenizer_file)
-    plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,:;!?$*&%#|]+)")
-    cache: dict[str, bytes] = {}
-
-    def ids(s: str) -> bytes:
-        return np.asarray(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def part(s: str) -> bytes:
-        b = cache.get(s)
-        if b is None:
-            b = cache[s] = ids(s)
-        return b
-
-    def word(w: str) -> bytes:
-        m = plain.fullmatch(w)  # letters, then signs: two pre-tokens
-        if m:
-            return part(m[1].lower()) + part(m[2])
-        return part(w.lower()) if w.isascii() and w.isalpha() else ids(w)
-
-    def encode(text: str) -> bytes:
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        out = []
-        for line in text.split("\n"):
-            for w in line.split(" "):
-                b = cache.get(w)
-                if b is None:
-                    b = word(w)
-                    if len(w) <= 64:
-                        cache[w] = b
-                out.append(b)
-        return b"".join(out)
+    vocabulary = tok.get_vocab()
+    ends_word = np.zeros(1 + max(vocabulary.values()), bool)
+    ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+    letters = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+    plain = re.compile(f"({letters})([.,:;!?$*&%#|]*)")
+    known: dict[str, bytes] = {}    # words as they stand between spaces
+    parts: dict[str, bytes] = {}    # lower-case letters, or signs
+
+    def ids(s: str):
+        return np.asarray(tok.encode(s, add_special_tokens=False).ids, "<u4")
+
+    def learn(words: list[str], encoding) -> None:
+        """Lower-case words of plain letters, encoded together."""
+        found = np.asarray(encoding.ids, "<u4")
+        cuts = np.r_[0, np.nonzero(ends_word[found])[0] + 1]
+        if len(cuts) != len(words) + 1 or cuts[-1] != len(found):
+            parts.update((w, ids(w).tobytes()) for w in words)
+            return
+        data = found.tobytes()
+        cuts = (cuts * 4).tolist()
+        parts.update(zip(words, (data[i:j] for i, j in zip(cuts, cuts[1:]))))
+
+    def encode(texts: list[str]) -> list[bytes]:
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        if len(parts) > CACHE_WORDS:
+            parts.clear()
+        words = [t.replace("\n", " ").split(" ") for t in texts]
+        new = set().union(*words).difference(known)
+        cut = []
+        for w in new:
+            m = plain.fullmatch(w)
+            if m is None:
+                known[w] = ids(w).tobytes() if w else b""
+            else:
+                cut.append((w, m[1].lower(), m[2]))
+        fresh = list({core for _, core, _ in cut}.difference(parts))
+        groups = [fresh[at:at + 1000] for at in range(0, len(fresh), 1000)]
+        for own, encoding in zip(groups, tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            learn(own, encoding)
+        for signs in {x for *_, x in cut}.difference(parts):
+            parts[signs] = ids(signs).tobytes() if signs else b""
+        known.update((w, parts[core] + parts[signs]) for w, core, signs in cut)
+        return [b"".join(map(known.__getitem__, own)) for own in words]
 
     return encode
 
@@ -85,15 +104,16 @@ def tokenized_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPAC
     """doc_id, piece, start, length, ids_crc32: each document's ids and an end
     id, cut only where longer than ``capacity``."""
     def run(batches):
-        encode = word_encoder(tokenizer_file)
+        encode = encoder(tokenizer_file)
         end = int(end_id).to_bytes(4, "little")
         for b in batches:
             rows = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = encode(text.as_py()) + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    cut = ids[at:at + 4 * capacity]
-                    rows.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
+            for part in (b.slice(at, 500) for at in range(0, b.num_rows, 500)):
+                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+                    ids += end
+                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        cut = ids[at:at + 4 * capacity]
+                        rows.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
             yield rows
 
     return map_rows(text_of(docs), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -157,10 +177,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slice_rows: int = SLICE_RO
     spark = pieces.sparkSession
     pieces = stage(pieces, "pack-pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    slices = 1 + sum(counts.values()) // slice_rows
+    # a length that many pieces share is numbered in as many slices as it needs
+    slices = spark.createDataFrame([(n, 1 + c // slice_rows) for n, c in counts.items()], "length long, _slices long")
     segments = plan(counts, capacity)
     table = F.broadcast(spark.createDataFrame(segments, "length long, rank0 long, n long, seq0 long, offset long"))
-    sliced = pieces.withColumn("_slice", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(slices)))
+    sliced = (pieces.join(F.broadcast(slices), "length")
+              .withColumn("_slice", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_slices"))).drop("_slices"))
     before = (sliced.groupBy("length", "_slice").agg(F.count("*").alias("n"))
               .select("length", "_slice", (F.sum("n").over(Window.partitionBy("length").orderBy("_slice")) - F.col("n")).alias("_before")))
     order = [F.col("doc_id"), F.col("piece"), *(F.col(c) for c in pieces.columns if c not in ("doc_id", "piece"))]

@@ -42,11 +42,12 @@ def test_large_items_are_matched():
 
 
 def test_encoder_equals_the_tokenizer():
-    encode = packing.word_encoder(FILE)
+    encode = packing.encoder(FILE)
     texts = ["", " ", "Hello, WORLD!!", "it's don't CAN'T", "a\tb\x0bc d e\x1cf", "É é ΟΔΟΣ İstanbul ﬁ", "x<|endoftext|>y <|endoftext|>",
              "12 3.4,5 cọ́", "日本語 テスト", "á! b,́ ñ.", "ab'll we're ''s", "a  \n\n b\r\nc", "$$$word%%% WORD.## 🙂🙂 a🙂"]
-    for t in texts:
-        assert np.frombuffer(encode(t), "<u4").tolist() + [0] == ids_of(t), repr(t)
+    for own in (texts, texts[::-1], [t.upper() + "..." for t in texts]):
+        for t, got in zip(own, encode(own)):
+            assert np.frombuffer(got, "<u4").tolist() + [0] == ids_of(t), repr(t)
 
 
 def test_query_matches_brute_force(spark, docs_of):
