@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesoro.llm import decontaminate, licenses, packing, quality, topk, toxicity
+from tesoro.llm import decontaminate, licenses, packing, pii, quality, topk, toxicity
 from tesoro.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,11 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, F.pmod(F.col("vec_id"), F.lit(50)) == 0, k=5)
 
 
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
