@@ -29,6 +29,12 @@ def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def row_keys(docs: DataFrame) -> DataFrame:
+    """docs with k1, k2: 128 bits that stand for id and text of a row."""
+    doc, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.withColumns({"k1": F.xxhash64(doc, text), "k2": F.xxhash64(text, F.lit(1), doc)})
+
+
 def map_rows(df: DataFrame, fn: Callable, ddl: str) -> DataFrame:
     """mapInArrow with plain rows out: ``fn(batches)`` yields lists of tuples
     in the order of ``ddl``."""
@@ -46,8 +52,8 @@ def map_rows(df: DataFrame, fn: Callable, ddl: str) -> DataFrame:
 
 
 def smallest_labels(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
-    """Connected components of ``edges`` (long ids): (node, label) with
-    ``label`` the smallest node reachable.
+    """Connected components of ``edges`` (long ids): (node, label) for every
+    node of an edge to another, with ``label`` the smallest node reachable.
 
     Alternates large-star and small-star steps.  Both only group a node with
     its neighbourhood minimum (a partial aggregate and an equi join, so a hub
@@ -71,7 +77,8 @@ def smallest_labels(edges: DataFrame, a: str = "a", b: str = "b", name: str = "c
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
                     F.sum("v").alias("s")).first()
         if now == mark:
-            return e.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
+            found = e.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
+            return found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
         mark = now
 
 

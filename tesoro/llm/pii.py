@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesoro.llm.common import stage, text_of
+from tesoro.llm.common import row_keys, stage, text_of
 
 KINDS = ["email", "ip", "card", "phone"]
 CONTEXT = 120
@@ -81,26 +81,31 @@ def valid(value: Column, kind: str) -> Column:
 def placed(text: Column, found: Column, pattern: str, context: int = 0) -> Column:
     """Array of (start, end, value, left, right) of the matches ``found``: the
     text between them gives their places."""
+    # the gaps stand beside the matches as arrays, so the text is split once,
+    # not once for each match
     gaps = F.split(text, pattern, -1)
+    beside = F.zip_with(F.zip_with(found, gaps, lambda v, g: F.struct(v.alias("value"), g.alias("gap"))),
+                        F.slice(gaps, 2, F.greatest(F.size(found), F.lit(1))),
+                        lambda x, g: F.struct(x["value"].alias("value"), x["gap"].alias("gap"), g.alias("next")))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string,left:string,right:string>>").alias("out"))
 
-    def step(acc, i):
-        gap, value = F.get(gaps, i), F.get(found, i)
+    def step(acc, x):
+        gap, value = x["gap"], x["value"]
         start = acc["at"] + F.length(gap)
         left = F.when(F.length(gap) > context, F.substring(gap, -context, context)).otherwise(gap)
         span = F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
                         (left if context else F.lit("")).alias("left"),
-                        (F.substring(F.get(gaps, i + 1), 1, context) if context else F.lit("")).alias("right"))
-        return F.struct((start + F.length(value)).alias("at"), F.array_append(acc["out"], span).alias("out"))
+                        (F.substring(x["next"], 1, context) if context else F.lit("")).alias("right"))
+        return F.when(value.isNull(), acc).otherwise(
+            F.struct((start + F.length(value)).alias("at"), F.array_append(acc["out"], span).alias("out")))
 
-    some = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, some).otherwise(zero["out"])
+    return F.when(F.size(found) > 0, F.aggregate(beside, zero, step, lambda acc: acc["out"])).otherwise(zero["out"])
 
 
 def base_spans(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
     """doc_id, k1, k2 (row key) and ``spans``: array of (start, rank, kind,
     end, value, left, right), by start and then kind."""
-    d = text_of(docs)
+    d = row_keys(text_of(docs))
     d = d.select("*", *[matches(F.col("text"), k).alias(f"m_{k}") for k in KINDS])
 
     def of_kind(rank: int, kind: str) -> Column:
@@ -110,8 +115,7 @@ def base_spans(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
             s["value"].alias("value"), s["left"].alias("left"), s["right"].alias("right")))
 
     spans = [of_kind(rank, kind) for rank, kind in enumerate(KINDS)]
-    return d.select("doc_id", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", F.lit(1), "doc_id").alias("k2"),
-                    F.array_sort(F.concat(*spans)).alias("spans"))
+    return d.select("doc_id", "k1", "k2", F.array_sort(F.concat(*spans)).alias("spans"))
 
 
 def context_terms(base: DataFrame) -> DataFrame:
@@ -190,8 +194,7 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, text with every span replaced by its kind in angle brackets;
     of overlapping spans the first (then the longest) counts."""
-    d = text_of(docs).withColumn("k1", F.xxhash64("doc_id", "text")).withColumn("k2", F.xxhash64("text", F.lit(1), "doc_id"))
-    rows = d.join(found.select("k1", "k2", "spans").dropDuplicates(["k1", "k2"]), ["k1", "k2"], "left")
+    rows = row_keys(text_of(docs)).join(found.select("k1", "k2", "spans").dropDuplicates(["k1", "k2"]), ["k1", "k2"], "left")
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"), s["end"].alias("end"))))
 
