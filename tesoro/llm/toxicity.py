@@ -31,7 +31,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesoro.llm.common import ascii_words, map_rows, text_of
+from tesoro.llm.common import ascii_words, map_rows, stage, text_of
 
 PER_CLASS = 2000
 MAX_TERMS = 512
@@ -53,8 +53,9 @@ def examples(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
         part = known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     # at most 2 * per_class ids: broadcast
-    found = text_of(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"])
-    return found, shares
+    found = (text_of(docs).join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.min(F.struct("doc_id", "label")).alias("r"))
+             .select("r.doc_id", "text", "r.label").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")))
+    return stage(found, "toxicity-examples"), shares
 
 
 def _term_rows(found: DataFrame) -> DataFrame:
