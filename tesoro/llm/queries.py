@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesoro.llm import decontaminate, licenses, line_dedup, minhash, packing, pii, quality, topk, toxicity
+from tesoro.llm import decontaminate, licenses, line_dedup, minhash, packing, pii, quality, suffix_dedup, topk, toxicity
 from tesoro.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
