@@ -87,9 +87,12 @@ def strip_dashes(c) -> Column:
 
 
 def daily_id(prefix, d, seq, width: int) -> Column:
-    """prefix + yyyymmdd + zero-padded sequence."""
+    """prefix + yyyymmdd + zero-padded sequence (W12).  A sequence of more
+    than ``width`` digits raises: padding would cut it and repeat an id."""
+    n = _c(seq)
+    too_long = F.raise_error(F.concat(F.lit("daily sequence overflow: "), n.cast("string"), F.lit(" on "), _c(d).cast("string")))
     return F.concat(_c(prefix), F.date_format(_c(d), "yyyyMMdd"),
-                    F.lpad(_c(seq).cast("string"), width, "0"))
+                    F.when(n > 10 ** width - 1, too_long.cast("string")).otherwise(F.lpad(n.cast("string"), width, "0")))
 
 
 # M-S1 map_get: absent key → NULL

@@ -32,14 +32,23 @@ INTEREST_TYPE, INTEREST_CATEGORY, INTEREST_TEXT = "Interest", "Income", "Month-e
 DEFAULT_OPENING = "100000.00"   # starting balance when an account has no history
 
 
-def balance_roll_forward(opening: DataFrame, movements: DataFrame, account: str = "account_number",
+def balance_roll_forward(opening: DataFrame, movements: DataFrame, start, end, account: str = "account_number",
                          pool: str = "currency", date_col: str = "date", amount: str = "amount",
                          opening_col: str = "opening_balance") -> DataFrame:
-    """W15 (no sweeps): on each day with movements, starting = previous
-    closing (or the opening balance), closing = starting + Σ movements."""
-    daily = (movements.groupBy(account, date_col)
-             .agg(F.sum(F.col(amount).cast(AMOUNT)).cast("decimal(28,2)").alias("total_movements")))
-    j = daily.join(opening.select(account, pool, F.col(opening_col).cast(AMOUNT).alias("_open")), account)
+    """W15 (no sweeps): every account on every day of [start, end]; starting =
+    previous closing (or the opening balance; ``DEFAULT_OPENING`` where that
+    is NULL), closing = starting + Σ movements of the day (0 when none).
+
+    Movements are summed per account and day before the join, so the spine
+    (accounts × days, the output's own size) meets one row a day.  Movements
+    of accounts that are not in ``opening`` are left out, as the reference's
+    left join from the accounts does."""
+    daily = (movements.filter(F.col(date_col).between(F.lit(start), F.lit(end))).groupBy(account, date_col)
+             .agg(F.sum(F.col(amount).cast(AMOUNT)).cast("decimal(28,2)").alias("_moved")))
+    spine = opening.select(account, pool, opening_amount(opening_col).alias("_open"),
+                           F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias(date_col))
+    j = spine.join(daily, [account, date_col], "left").withColumn(
+        "total_movements", F.coalesce("_moved", F.lit(0)).cast("decimal(28,2)"))
     w = Window.partitionBy(account).orderBy(date_col).rowsBetween(Window.unboundedPreceding, 0)
     closing = (F.col("_open") + F.sum("total_movements").over(w)).cast("decimal(28,2)")
     j = j.withColumn("closing_balance", closing)
@@ -47,6 +56,11 @@ def balance_roll_forward(opening: DataFrame, movements: DataFrame, account: str
     return j.select(date_col, account, pool, "starting_balance", "total_movements", "closing_balance")
 
 
+def opening_amount(col: str = "opening_balance"):
+    """The opening balance, ``DEFAULT_OPENING`` where it is not known."""
+    return F.coalesce(F.col(col).cast(AMOUNT), F.lit(DEFAULT_OPENING).cast(AMOUNT))
+
+
 def _sweep_cents(pre: np.ndarray, mode: str) -> np.ndarray:
     """Net sweep per account (cents) for one pool-day; ``pre`` is the
     pre-sweep balance in account order (the index is the tie-break)."""
@@ -79,98 +93,92 @@ def _sweep_cents(pre: np.ndarray, mode: str) -> np.ndarray:
     return out
 
 
+FLUSH_ROWS = 100_000
+
+
 class _PoolStream:
-    """Day-by-day state of one pool inside the D09 kernel."""
-
-    def __init__(self, key, opening: dict, first_day: int, mode: str):
-        self.key, self.mode, self.day = key, mode, first_day
-        self.accts = sorted(opening)
-        self.pos = {a: i for i, a in enumerate(self.accts)}
-        self.bal = np.array([opening[a] for a in self.accts], dtype=np.int64)
-        self.pending: dict = {}
-        self.out: dict = {k: [] for k in ("day", "acct", "start", "mov", "sweep", "close")}
-        self.rows = 0
-
-    def add_account(self, a) -> None:
-        """An account with movements but no opening row starts at 0."""
-        old = dict(zip(self.accts, self.bal.tolist()))
-        old[a] = 0
-        self.accts = sorted(old)
-        self.pos = {x: i for i, x in enumerate(self.accts)}
-        self.bal = np.array([old[x] for x in self.accts], dtype=np.int64)
-
-    def move(self, day: int, a, cents: int) -> None:
-        self.advance(day - 1)
-        if a not in self.pos:
-            self.add_account(a)
-        bucket = self.pending.setdefault(day, {})
-        bucket[a] = bucket.get(a, 0) + cents
-
-    def advance(self, upto: int) -> None:
-        acct_arr = np.array(self.accts, dtype=object)
+    """Day-by-day state of one pool inside the D09 kernel: one balance per
+    account.  Output frames have at most about ``FLUSH_ROWS`` rows (or one
+    day of the pool, whichever is more), however quiet the pool is."""
+
+    def __init__(self, key, accounts: np.ndarray, cents: np.ndarray, first_day: int, mode: str, pool_cols: list[str]):
+        order = np.argsort(accounts, kind="stable")
+        self.key, self.mode, self.day, self.pool_cols = key, mode, first_day, pool_cols
+        self.accts, self.bal = accounts[order], cents[order]
+        self.out: list[tuple] = []
+
+    def advance(self, upto: int, accounts: np.ndarray | None = None, cents: np.ndarray | None = None):
+        """Roll to the end of day ``upto``; the movements given are of that
+        day.  Yields the frames that are full."""
         while self.day <= upto:
             mov = np.zeros(len(self.accts), dtype=np.int64)
-            for a, c in self.pending.pop(self.day, {}).items():
-                mov[self.pos[a]] += c
+            if accounts is not None and self.day == upto and len(self.accts):
+                at = np.minimum(np.searchsorted(self.accts, accounts), len(self.accts) - 1)
+                known = self.accts[at] == accounts      # movements without an account are left out
+                np.add.at(mov, at[known], cents[known])
             pre = self.bal + mov
             sw = _sweep_cents(pre, self.mode)
-            close = pre + sw
-            o = self.out
-            o["day"].append(np.full(len(acct_arr), self.day, dtype=np.int32))
-            o["acct"].append(acct_arr)
-            o["start"].append(self.bal)
-            o["mov"].append(mov)
-            o["sweep"].append(sw)
-            o["close"].append(close)
-            self.rows += len(acct_arr)
-            self.bal = close
+            self.out.append((self.day, self.bal, mov, sw, pre + sw))
+            self.bal = pre + sw
             self.day += 1
+            if len(self.out) * len(self.accts) >= FLUSH_ROWS:
+                yield from self.flush()
 
-    def flush(self, pool_cols: list[str]):
-        if not self.rows:
-            return None
-        o = self.out
-        df = pd.DataFrame({"day": np.concatenate(o["day"]), "account_number": np.concatenate(o["acct"]),
-                           "start_c": np.concatenate(o["start"]), "mov_c": np.concatenate(o["mov"]),
-                           "sweep_c": np.concatenate(o["sweep"]), "close_c": np.concatenate(o["close"])})
-        for c, v in zip(pool_cols, self.key):
+    def flush(self):
+        if not self.out or not len(self.accts):
+            self.out = []
+            return
+        days, start, mov, sweep, close = zip(*self.out)
+        df = pd.DataFrame({"day": np.repeat(np.array(days, dtype=np.int32), len(self.accts)),
+                           "account_number": np.tile(self.accts, len(days)), "start_c": np.concatenate(start),
+                           "mov_c": np.concatenate(mov), "sweep_c": np.concatenate(sweep), "close_c": np.concatenate(close)})
+        for c, v in zip(self.pool_cols, self.key):
             df[c] = v
-        self.out = {k: [] for k in o}
-        self.rows = 0
-        return df
+        self.out = []
+        yield df
 
 
 def _ledger_kernel(first_day: int, last_day: int, mode: str, pool_cols: list[str]):
     """mapInPandas body: rows arrive grouped by pool and sorted by
-    (day, kind); kind 0 = opening balance, kind 1 = a day's net movement."""
+    (day, kind); kind 0 = opening balance (on the day before the first), kind
+    1 = a day's net movement.  Rows are taken a day of a pool at a time; a day
+    that ends a batch waits for the next one."""
     def run(batches):
-        key, opening, stream = None, {}, None
+        key, stream, kept = None, None, None
+
+        def finish():
+            if stream is not None:
+                yield from stream.advance(last_day)
+                yield from stream.flush()
+
+        def day_of(part):
+            nonlocal key, stream
+            own = tuple(part[c].iat[0] for c in pool_cols)
+            day = int(part["day"].iat[0])
+            accounts, cents = part["account_number"].to_numpy(dtype=object), part["cents"].to_numpy(dtype=np.int64)
+            if own != key:
+                yield from finish()
+                key = own
+                opening = day < first_day
+                stream = _PoolStream(key, accounts if opening else accounts[:0], cents if opening else cents[:0],
+                                     first_day, mode, pool_cols)
+                if opening:
+                    return
+            yield from stream.advance(day, accounts, cents)
+
         for pdf in batches:
-            keys = list(zip(*[pdf[c].tolist() for c in pool_cols]))
-            kinds, days = pdf["kind"].to_numpy(), pdf["day"].to_numpy()
-            accts, cents = pdf["account_number"].tolist(), pdf["cents"].to_numpy()
-            for i in range(len(pdf)):
-                if keys[i] != key:
-                    if key is not None:
-                        stream = stream or _PoolStream(key, opening, first_day, mode)
-                        stream.advance(last_day)
-                        out = stream.flush(pool_cols)
-                        if out is not None:
-                            yield out
-                    key, opening, stream = keys[i], {}, None
-                if kinds[i] == 0:
-                    opening[accts[i]] = opening.get(accts[i], 0) + int(cents[i])
-                    continue
-                stream = stream or _PoolStream(key, opening, first_day, mode)
-                stream.move(int(days[i]), accts[i], int(cents[i]))
-            if stream is not None and stream.rows >= 100_000:
-                yield stream.flush(pool_cols)
-        if key is not None:
-            stream = stream or _PoolStream(key, opening, first_day, mode)
-            stream.advance(last_day)
-            out = stream.flush(pool_cols)
-            if out is not None:
-                yield out
+            if not len(pdf):
+                continue
+            pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            ids = pdf[[*pool_cols, "day"]]
+            new = (ids != ids.shift()).any(axis=1).to_numpy()
+            cuts = [*np.nonzero(new)[0], len(pdf)]
+            for i, j in zip(cuts[:-2], cuts[1:-1]):
+                yield from day_of(pdf.iloc[i:j])
+            kept = pdf.iloc[cuts[-2]:]
+        if kept is not None:
+            yield from day_of(kept)
+        yield from finish()
     return run
 
 
@@ -180,7 +188,10 @@ def ledger_roll_forward(opening: DataFrame, movements: DataFrame, start, end,
                         amount: str = "amount", opening_col: str = "opening_balance",
                         num_partitions: int | None = None) -> DataFrame:
     """Daily balances of every account for every day in [start, end]
-    with sweeps inside each pool after the day's movements.
+    with sweeps inside each pool after the day's movements.  An opening
+    balance that is NULL is ``DEFAULT_OPENING``; movements of accounts
+    without an opening row are left out (the reference's left join from the
+    accounts); :func:`unknown_movements` lists them.
 
     Output: date, account_number, pool…, starting_balance,
     total_movements (excludes sweeps, Trap12), sweep_amount,
@@ -197,7 +208,8 @@ def ledger_roll_forward(opening: DataFrame, movements: DataFrame, start, end,
                   F.datediff(F.col(date_col), F.lit(EPOCH)).alias("day"), F.lit(1).alias("kind"), "cents"))
     op = opening.select(*pool, F.col(account).cast("string").alias("account_number"),
                         F.lit(first_day - 1).alias("day"), F.lit(0).alias("kind"),
-                        cents(opening_col).alias("cents"))
+                        (opening_amount(opening_col) * 100).cast("long").alias("cents"))
+    op = op.groupBy(*pool, "account_number", "day", "kind").agg(F.sum("cents").alias("cents"))
     ev = op.unionByName(mv)
     n = num_partitions or int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ev = ev.repartition(n, *pool).sortWithinPartitions(*pool, "day", "kind", "account_number")
@@ -211,6 +223,11 @@ def ledger_roll_forward(opening: DataFrame, movements: DataFrame, start, end,
                       money("sweep_c").alias("sweep_amount"), money("close_c").alias("closing_balance"))
 
 
+def unknown_movements(opening: DataFrame, movements: DataFrame, account: str = "account_number") -> DataFrame:
+    """Movements whose account has no opening row: the rejects of D09/W15."""
+    return movements.join(opening.select(account).distinct(), account, "left_anti")
+
+
 def month_end_interest(balances: DataFrame, calendar: DataFrame, rate: float,
                        date_col: str = "date", start_col: str = "starting_balance") -> DataFrame:
     """On month-end days, interest = round(starting balance × rate, 2)."""

@@ -3,15 +3,17 @@ capacity_eligibility."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesoro.functions import money as M
 from tesoro.functions import text as T
 from tesoro.operators.asof import as_of_expand
 
+# Fixed values that must equal the reference's policy.
 WARN_LEVEL = 0.75
 BREACH_LEVEL = 1.00
+HEADROOM = 1.1      # capacity a bank must have, as a multiple of the trade
 
 
 def limit_schedule(reviews: DataFrame, business_days: DataFrame, calendar_end,
@@ -63,26 +65,34 @@ def utilisation_text(limits: DataFrame, group_cols: list[str] | None = None) ->
                 F.col("n_breach").cast("string"), F.lit(T.BREACH_TEXT))).otherwise(F.lit(T.BREACH_NONE_TEXT))))
 
 
-def capacity_eligibility(trades: DataFrame, limits: DataFrame, trade_col: str = "trade_id",
-                         bank_col: str = "bank_id", date_col: str = "trade_date",
-                         size_col: str = "trade_size_usd", headroom: float = 1.1) -> DataFrame:
-    """For each trade and each bank's limit row on the trade date,
+def capacity_eligibility(trades: DataFrame, limits: DataFrame, banks: DataFrame, business_days: DataFrame,
+                         trade_col: str = "trade_id", bank_col: str = "bank_id", date_col: str = "trade_date",
+                         size_col: str = "trade_size_usd", headroom: float = HEADROOM) -> DataFrame:
+    """Every trade against every bank on the trade's (business) date:
     remaining = max(limit − exposure, 0), eligible if remaining ≥ headroom ×
     trade size, weight = remaining / Σ remaining over eligible banks (W14).
+    ``has_limit`` is false where the bank has no limit row that day (before
+    its first review): nothing remains and it is not eligible.
 
-    ``limits`` is the D05 output (one row per bank and day); the join is an
-    equi join on the date, so each trade meets only that day's bank rows.
+    ``limits`` is the D05 output (one row per bank and day).  It is reduced to
+    one array of banks per day, so a trade meets its day once and the weight
+    is array work: no window over trades.
     """
-    lim = limits.select(F.col("as_of_date").alias(date_col), bank_col,
-                        "credit_limit_usd", "counterparty_exposure_usd")
-    # an equi join on the date: each trade meets only that day's bank rows
-    j = trades.select(trade_col, date_col, size_col).join(lim, date_col)
+    calendar = business_days.agg(F.collect_list(date_col)).scalar()   # one value, bounded by the calendar
+    days = banks.select(bank_col).distinct().withColumn("_days", calendar).select(bank_col, F.explode("_days").alias(date_col))
+    lim = limits.select(F.col("as_of_date").alias(date_col), bank_col, "credit_limit_usd", "counterparty_exposure_usd")
     remaining = M.floor_at_zero(F.col("credit_limit_usd").cast("decimal(20,2)")
                                 - F.col("counterparty_exposure_usd").cast("decimal(20,2)")).cast("decimal(20,2)")
+    per_day = (days.join(lim, [date_col, bank_col], "left")
+               .withColumn("has_limit", F.col("credit_limit_usd").isNotNull())
+               .withColumn("remaining_usd", F.when(F.col("has_limit"), remaining).otherwise(F.lit(0).cast("decimal(20,2)")))
+               .groupBy(date_col).agg(F.sort_array(F.collect_list(F.struct(bank_col, "has_limit", "remaining_usd"))).alias("_banks")))
+    j = trades.select(trade_col, date_col, size_col).join(per_day, date_col)
     need = F.col(size_col).cast("decimal(20,2)") * F.lit(headroom).cast("decimal(3,1)")
-    j = (j.withColumn("remaining_usd", remaining)
-         .withColumn("eligible", F.col("remaining_usd") >= need))
-    w = Window.partitionBy(trade_col)
-    tot = F.sum(F.when(F.col("eligible"), F.col("remaining_usd"))).over(w)
-    return j.withColumn("weight", F.when(F.col("eligible"), M.safe_divide(
-        F.col("remaining_usd").cast("double"), tot.cast("double"))))
+    j = j.withColumn("_total", F.aggregate(
+        "_banks", F.lit(0).cast("decimal(30,2)"),
+        lambda acc, b: (acc + F.when(b["has_limit"] & (b["remaining_usd"] >= need), b["remaining_usd"]).otherwise(F.lit(0))).cast("decimal(30,2)")))
+    out = j.select(trade_col, date_col, size_col, "_total", F.inline("_banks"))
+    out = out.withColumn("eligible", F.col("has_limit") & (F.col("remaining_usd") >= need))
+    weight = F.when(F.col("eligible"), M.safe_divide(F.col("remaining_usd").cast("double"), F.col("_total").cast("double")))
+    return out.withColumn("weight", weight).drop("_total")

@@ -13,6 +13,7 @@ from tesoro.functions import text as T
 from tesoro.operators import intervals as I
 from tesoro.operators.calendar import roll_to_business_day
 
+# Fixed value that must equal the reference's limit: daily trade numbers have four digits.
 MAX_DAILY_SEQUENCE = 9_999
 
 
@@ -44,10 +45,10 @@ def valuation_dates(legs: DataFrame, business_days: DataFrame, as_of, trade_col:
                     date_col: str = "report_date", extra_attrs: tuple[str, ...] = ()) -> DataFrame:
     """D06 dates: business days in [trade_date, min(max value_date, as_of)],
     inclusive (Trap5, Trap6), with the first leg's bank and size (Trap7)."""
-    firsts = first_row_attributes(legs, trade_col, [bank_col, size_col, *extra_attrs], list(order))
-    span = legs.groupBy(trade_col).agg(F.min("trade_date").alias("trade_date"),
-                                       F.max("value_date").alias("_last_value"))
-    t = span.join(firsts, trade_col)
+    attrs = [bank_col, size_col, *extra_attrs]
+    first = F.min_by(F.struct(*[F.col(a) for a in attrs]), F.struct(*[F.col(c) for c in order])).alias("_first")
+    t = (legs.groupBy(trade_col).agg(F.min("trade_date").alias("trade_date"), F.max("value_date").alias("_last_value"), first)
+         .select(trade_col, "trade_date", "_last_value", *[F.col(f"_first.{a}").alias(a) for a in attrs]))
     t = t.withColumn("_end", F.least(F.col("_last_value"), F.lit(as_of).cast("date")))
     days = I.expand_active(t, business_days, "trade_date", "_end", date_col, inclusive_end=True)
     return days.drop("_end", "_last_value")
@@ -81,13 +82,15 @@ def split_across_banks(capacity: DataFrame, trade_col: str = "trade_id", bank_co
                        capacity_col: str = "remaining_usd", need_col: str = "need_usd") -> DataFrame:
     """Allocate each trade's need over banks with positive capacity,
     largest capacity first (bank id breaks ties).  A trade whose total
-    capacity + 1e-6 is below its need is rejected (no rows).  Amounts are
-    cents (DECIMAL(18,2)); the rounding residual goes to the last bank that
+    capacity + 0.000001 is below its need is rejected (no rows).  Money is
+    decimal throughout, so the test is exact; amounts are cents
+    (DECIMAL(18,2)) and the rounding residual goes to the last bank that
     received an amount."""
     c = capacity.filter(F.col(capacity_col) > 0)
-    tot = F.sum(capacity_col).over(Window.partitionBy(trade_col))
-    c = c.withColumn("_total", tot).filter(F.col("_total") + F.lit(1e-6) >= F.col(need_col).cast("double"))
-    c = (c.withColumn("_cap", F.round(F.col(capacity_col).cast("double"), 2).cast("decimal(18,2)"))
+    c = c.withColumn("_exact", F.col(capacity_col).cast("decimal(24,6)"))
+    tot = F.sum("_exact").over(Window.partitionBy(trade_col))
+    c = c.withColumn("_total", tot).filter(F.col("_total") + F.lit(Decimal("0.000001")) >= F.col(need_col).cast("decimal(24,6)"))
+    c = (c.withColumn("_cap", F.round("_exact", 2).cast("decimal(18,2)"))
          .withColumn("_need", F.col(need_col).cast("decimal(18,2)")))
     order = [F.desc(capacity_col), F.col(bank_col)]
     c = running_allocation(c, [trade_col], "_cap", "_need", order, "allocated_usd")
@@ -116,57 +119,63 @@ def split_legs_pro_rata(allocations: DataFrame, legs: DataFrame, trade_col: str
                         .otherwise(F.col("_amt"))).drop("_amt")
 
 
-def value_date_rules(trades: DataFrame, calendar: DataFrame, type_col: str = "type",
-                     months_col: str = "tenor_months", date_col: str = "trade_date") -> DataFrame:
-    """spot = +1 day; forward = +n months; swap = near leg +2 days and
-    far leg +n months; every date rolled to a business day (J09).  One row
-    per leg (leg_id 1, 2)."""
+def raw_value_dates(trades: DataFrame, type_col: str = "type", months_col: str = "tenor_months",
+                    date_col: str = "trade_date") -> DataFrame:
+    """D13 before the roll: spot = +1 day; forward = +n months; swap = near
+    leg +2 days and far leg +n months.  One row per leg (leg_id 1, 2)."""
     d, n, ty = F.col(date_col), F.col(months_col), F.col(type_col)
     leg = lambda i, v: F.struct(F.lit(i).alias("leg_id"), v.alias("raw_value_date"))
     legs = (F.when(ty == "spot", F.array(leg(1, F.date_add(d, 1))))
             .when(ty == "forward", F.array(leg(1, F.add_months(d, n))))
             .when(ty == "swap", F.array(leg(1, F.date_add(d, 2)), leg(2, F.add_months(d, n)))))
-    out = trades.select("*", F.inline(legs))
-    return roll_to_business_day(out, "raw_value_date", calendar, "value_date")
+    return trades.select("*", F.inline(legs))
+
+
+def value_date_rules(trades: DataFrame, calendar: DataFrame, type_col: str = "type",
+                     months_col: str = "tenor_months", date_col: str = "trade_date") -> DataFrame:
+    """The raw value dates rolled to a business day."""
+    return roll_to_business_day(raw_value_dates(trades, type_col, months_col, date_col), "raw_value_date",
+                                calendar, "value_date")
 
 
 def daily_sequence_id(df: DataFrame, date_col: str, prefix_col, order: list,
-                      width: int = 4, out_col: str = "trade_id", bucket=None) -> DataFrame:
-    """``prefix + yyyymmdd + zero-padded sequence`` numbered per day.
-
-    A plain per-day ``row_number`` puts a whole day in one task.  With
-    ``bucket`` (a column splitting each day into independent slices) rows
-    are numbered within (day, bucket) in parallel and shifted by the row
-    counts of the earlier buckets of that day — a two-level prefix sum whose
-    only global step runs over days × buckets count rows.  The numbering is
-    dense, unique and ordered by (bucket, order).  Adds ``seq``.
+                      width: int = 4, out_col: str = "trade_id", step: int | None = None) -> DataFrame:
+    """``prefix + yyyymmdd + zero-padded sequence`` numbered per day in
+    plain key order.  A day with more rows than ``width`` digits can number
+    fails the job (Q04): a cut number would repeat an id.  ``step`` numbers
+    wide days in parallel without changing any number, see
+    :func:`dense_sequence`.  Adds ``seq``.
     """
     prefix = prefix_col if not isinstance(prefix_col, str) else F.col(prefix_col)
-    out = dense_sequence(df, [date_col], order, bucket, "seq")
+    out = dense_sequence(df, [date_col], order, step, "seq")
     return out.withColumn(out_col, T.daily_id(prefix, F.col(date_col), F.col("seq"), width))
 
 
-def dense_sequence(df: DataFrame, group: list[str], order: list, bucket=None, out_col: str = "seq") -> DataFrame:
-    """1, 2, 3 … within each group, in (bucket, order) order.
+def dense_sequence(df: DataFrame, group: list[str], order: list, step: int | None = None,
+                   out_col: str = "seq") -> DataFrame:
+    """1, 2, 3 … within each group, in ``order``.
 
-    Without ``bucket`` this is a ``row_number`` window — one sort per group.
-    With it, rows are numbered within (group, bucket) in parallel and
-    shifted by the row counts of the group's earlier buckets: the only
-    step that sees a whole group runs over its per-bucket counts.
+    Without ``step`` this is a ``row_number`` window — one sort per group.
+    With it, each group is cut into slices of ``step`` consecutive values of
+    the first order column (a number): rows are numbered within (group,
+    slice) in parallel and shifted by the row counts of the group's earlier
+    slices.  Slices are ranges of the ordering key, so the numbers are the
+    same for every ``step``.
     """
-    if bucket is None:
+    if step is None:
         return df.withColumn(out_col, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("int"))
-    b = df.withColumn("_bucket", bucket)
-    rn = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order))
-    counts = b.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    lead = F.col(order[0]) if isinstance(order[0], str) else order[0]
+    b = df.withColumn("_slice", F.floor(lead / F.lit(step)))
+    rn = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order))
+    counts = b.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+        Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))).drop("_n")
     # left join on a key-unique side: row count is unchanged, and Catalyst
     # drops the join entirely when the caller never reads the number
-    return (b.withColumn("_rn", rn).join(offsets, [*group, "_bucket"], "left")
+    return (b.withColumn("_rn", rn).join(offsets, [*group, "_slice"], "left")
             .withColumn(out_col, (F.col("_off") + F.col("_rn")).cast("int"))
-            .drop("_bucket", "_rn", "_off"))
+            .drop("_slice", "_rn", "_off"))
 
 
 def steps_from_rate(rate_col: str, date_col: str) -> F.Column:

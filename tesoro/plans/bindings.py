@@ -31,7 +31,6 @@ LIMIT_HEADROOM = 1.2          # limit = 1.2 × mean exposure over the review per
 LIMIT_STEP = 250_000.0        # limits are rounded to this step (N-S2)
 REVIEW_MONTHS = (1, 7)        # reviews on Jan-1 and Jul-1, rolled forward (Trap15)
 BASE_CURRENCY = "NATION_0"    # the rates' base currency: always 1.0, flag raw
-LEG_BUCKETS = 8               # slices per order for the leg numbering
 LEG_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
@@ -65,10 +64,10 @@ def legs(t: Tables) -> DataFrame:
         o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         c = t("customer").select("c_custkey", "c_mktsegment")
         j = li.join(o, li.l_orderkey == o.o_orderkey)
-        # legs are numbered per order in LEG_BUCKETS independent slices
-        # (partkey mod n), so one huge order is never a single sort
+        # numbered per order by the natural line order, in the partitioning
+        # of the join; dropped by Catalyst where no caller reads the number
         from tesoro.operators.positions import dense_sequence
-        j = dense_sequence(j, ["l_orderkey"], LEG_ORDER, (F.col("l_partkey") % LEG_BUCKETS).cast("int"), "leg_id")
+        j = dense_sequence(j, ["l_orderkey"], LEG_ORDER, out_col="leg_id")
         j = j.join(c, j.o_custkey == c.c_custkey)
         trade_date = F.to_date("o_orderdate")
         return j.select(
@@ -172,7 +171,7 @@ def limit_reviews(t: Tables) -> DataFrame:
 DEPOSIT = ("Deposit", "Transactions", "Deposit movement")
 WITHDRAW = ("Withdraw", "Transactions", "Withdraw movement")
 CHARGES = ("Charges", "Fees", "Bank charges")
-TX_BUCKETS = 64   # slices per day for the distributed transaction numbering
+TX_STEP = 50_000_000   # order keys numbered together; changes no number (dense_sequence)
 
 
 def accounts(t: Tables) -> DataFrame:
@@ -195,9 +194,13 @@ def movements(t: Tables) -> DataFrame:
     """Treasury movements from lineitem: returns (R) are withdrawals, A lines
     deposits, N lines deposits of half the price when open and 1 % charges
     when filled.  ``transaction_id`` = TX + yyyymmdd + 6-digit daily number
-    (W12, numbered in 64 slices per day)."""
+    (W12)."""
+    return t.memo("movements", lambda: numbered_movements(unnumbered_movements(t)))
+
+
+def unnumbered_movements(t: Tables) -> DataFrame:
+    """The movements with their natural keys, before the daily numbering."""
     def build():
-        from tesoro.operators.positions import daily_sequence_id
         li = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                   "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
                                   "l_quantity")
@@ -216,21 +219,24 @@ def movements(t: Tables) -> DataFrame:
                       pick(0).alias("type"), pick(1).alias("category"), amount.alias("amount"),
                       pick(2).alias("description"), "l_orderkey", "l_linenumber", "l_partkey",
                       "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
-        m = m.join(acc, F.col("account_number") == F.col("_acct")).drop("_acct")
-        # a total order: rows equal on all of it are equal in every output
-        # column, so numbering is identical on any retry
-        m = daily_sequence_id(m, "date", F.lit("TX"),
-                              ["l_orderkey", "l_linenumber", "l_partkey", "account_number",
-                               "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"],
-                              width=6, out_col="transaction_id",
-                              bucket=(F.col("l_orderkey") % TX_BUCKETS).cast("int"))
-        return m.select("date", "transaction_id", "account_number", "currency", "type", "category",
-                        "amount", "description")
-    return t.memo("movements", build)
+        return m.join(acc, F.col("account_number") == F.col("_acct")).drop("_acct")
+    return t.memo("unnumbered_movements", build)
+
+
+def numbered_movements(m: DataFrame) -> DataFrame:
+    # a total order: rows equal on all of it are equal in every output
+    # column, so numbering is identical on any retry
+    from tesoro.operators.positions import daily_sequence_id
+    m = daily_sequence_id(m, "date", F.lit("TX"),
+                          ["l_orderkey", "l_linenumber", "l_partkey", "account_number",
+                           "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"],
+                          width=6, out_col="transaction_id", step=TX_STEP)
+    return m.select("date", "transaction_id", "account_number", "currency", "type", "category",
+                    "amount", "description")
 
 
 def ledger_bounds(t: Tables) -> tuple[dt.date, dt.date]:
-    return t.memo("ledger_bounds", lambda: C.date_bounds(movements(t), "date"))
+    return t.memo("ledger_bounds", lambda: C.date_bounds(unnumbered_movements(t), "date"))
 
 
 def ledger_calendar(t: Tables) -> DataFrame:

@@ -48,7 +48,8 @@ def render(body: str, *needs: str) -> str:
         visit(n)
     if not order:
         return body.strip()
-    parts = [f"{n} AS (\n{CTES[n][0]}\n)" for n in order]
+    # read by several others: computed once (a recursive one decides for itself)
+    parts = [f"{n} AS {'' if n in RECURSIVE else 'MATERIALIZED '}(\n{CTES[n][0]}\n)" for n in order]
     head = "WITH RECURSIVE " if RECURSIVE.intersection(order) else "WITH "
     return head + ",\n".join(parts) + "\n" + body.strip()
 
@@ -58,7 +59,7 @@ def render(body: str, *needs: str) -> str:
 cte("legs", """
 SELECT c.c_mktsegment AS bank_id,
        l.l_orderkey AS trade_id,
-       CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_partkey % 8, l.l_linenumber, l.l_partkey,
+       CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey,
             l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag,
             l.l_linestatus, l.l_shipdate) AS INTEGER) AS leg_id,
        CASE o.o_orderstatus WHEN 'F' THEN 'spot' WHEN 'O' THEN 'forward' WHEN 'P' THEN 'swap' END AS type,

@@ -23,7 +23,7 @@ from tesoro.plans.oracle_ctes import cte, sql
 from tesoro.plans.q_positions import limits
 from tesoro.plans.registry import query
 
-ID_BUCKETS = 16
+ID_STEP = 50_000_000   # order keys numbered together; changes no number
 
 
 def trades(t):
@@ -40,11 +40,11 @@ def trades(t):
 
 
 def value_calendar(t):
-    """Calendar long enough for the longest tenor (trade span + 6 months)."""
+    """Calendar from the first trade to past the last raw value date,
+    whatever the longest tenor."""
     def build():
-        lo, hi = C.date_bounds(trades(t), "trade_date")
-        end = dt.date(hi.year + (hi.month + 6 - 1) // 12, (hi.month + 6 - 1) % 12 + 1, 1) + dt.timedelta(days=40)
-        return C.build_calendar(t.spark, lo, end)
+        lo, hi = C.date_bounds(P.raw_value_dates(trades(t)), "trade_date", "raw_value_date")
+        return C.build_calendar(t.spark, lo, hi + dt.timedelta(days=14))
     return t.memo("value_calendar", build)
 
 
@@ -60,21 +60,28 @@ FROM orders o JOIN (SELECT trade_id, sum(trade_size_usd) AS trade_size_usd FROM
 cte("trade_ids", """
 SELECT trade_id AS order_key, trade_date, type,
        CASE type WHEN 'spot' THEN 'SP' WHEN 'forward' THEN 'FW' ELSE 'SW' END || strftime(trade_date, '%Y%m%d')
-       || lpad(CAST(row_number() OVER (PARTITION BY trade_date ORDER BY trade_id % 16, trade_id) AS VARCHAR), 4, '0') AS new_trade_id,
-       row_number() OVER (PARTITION BY trade_date ORDER BY trade_id % 16, trade_id) AS seq
+       || lpad(CAST(row_number() OVER (PARTITION BY trade_date ORDER BY trade_id) AS VARCHAR), 4, '0') AS new_trade_id,
+       row_number() OVER (PARTITION BY trade_date ORDER BY trade_id) AS seq
 FROM trades
 """, "trades")
 
+cte("booked", """
+SELECT t.*, coalesce((SELECT min(report_date) FROM bdays WHERE report_date >= t.trade_date),
+                     (SELECT max(report_date) FROM bdays)) AS booking_date
+FROM trades t
+""", "trades", "bdays")
+
 cte("capacity", """
-SELECT trade_id, trade_date, bank_id, trade_size_usd, remaining_usd, eligible,
+SELECT trade_id, booking_date, bank_id, trade_size_usd, has_limit, remaining_usd, eligible,
        CASE WHEN eligible THEN CAST(remaining_usd AS DOUBLE)
             / CAST(sum(CASE WHEN eligible THEN remaining_usd END) OVER (PARTITION BY trade_id) AS DOUBLE) END AS weight
-FROM (SELECT t.trade_id, t.trade_date, l.bank_id, t.trade_size_usd,
-             CAST(greatest(CAST(l.credit_limit_usd AS DECIMAL(20,2)) - CAST(l.counterparty_exposure_usd AS DECIMAL(20,2)), 0) AS DECIMAL(20,2)) AS remaining_usd,
-             CAST(greatest(CAST(l.credit_limit_usd AS DECIMAL(20,2)) - CAST(l.counterparty_exposure_usd AS DECIMAL(20,2)), 0) AS DECIMAL(20,2))
-               >= CAST(t.trade_size_usd AS DECIMAL(20,2)) * 1.1 AS eligible
-      FROM trades t JOIN limits l ON l.as_of_date = t.trade_date)
-""", "trades", "limits")
+FROM (SELECT *, has_limit AND remaining_usd >= CAST(trade_size_usd AS DECIMAL(20,2)) * 1.1 AS eligible
+      FROM (SELECT t.trade_id, t.booking_date, b.bank_id, t.trade_size_usd, l.bank_id IS NOT NULL AS has_limit,
+                   CAST(greatest(coalesce(CAST(l.credit_limit_usd AS DECIMAL(20,2))
+                                          - CAST(l.counterparty_exposure_usd AS DECIMAL(20,2)), 0), 0) AS DECIMAL(20,2)) AS remaining_usd
+            FROM booked t, (SELECT DISTINCT c_mktsegment AS bank_id FROM customer) b
+            LEFT JOIN limits l ON l.as_of_date = t.booking_date AND l.bank_id = b.bank_id))
+""", "booked", "limits")
 
 cte("alloc", """
 SELECT trade_id, bank_id, remaining_usd, need,
@@ -86,14 +93,18 @@ FROM (SELECT trade_id, bank_id, remaining_usd, CAST(trade_size_usd AS DECIMAL(18
 
 
 def capacity(t):
-    return t.memo("capacity", lambda: L.capacity_eligibility(trades(t), limits(t)))
+    """Every trade against every bank on its booking date (the trade date
+    rolled to a business day, J09)."""
+    def build():
+        booked = C.roll_to_business_day(trades(t), "trade_date", B.trade_calendar(t), "booking_date")
+        banks = t("customer").select(F.col("c_mktsegment").alias("bank_id")).distinct()
+        return L.capacity_eligibility(booked, limits(t), banks, B.bdays(t, "booking_date"), date_col="booking_date")
+    return t.memo("capacity", build)
 
 
 cte("vcal", """
 SELECT CAST(g.d AS DATE) AS d FROM (SELECT min(trade_date) AS lo, max(trade_date) AS hi FROM trades) b,
-  generate_series(CAST(b.lo AS TIMESTAMP),
-                  CAST(CAST(date_trunc('month', b.hi) AS DATE) + INTERVAL 6 MONTH + INTERVAL 40 DAY AS TIMESTAMP),
-                  INTERVAL 1 DAY) g(d)
+  generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi + INTERVAL 2 YEAR AS TIMESTAMP), INTERVAL 1 DAY) g(d)
 """, "trades")
 
 
@@ -116,12 +127,11 @@ def d13(t):
 
 @query("w12_daily_sequence_id", sql("SELECT order_key, new_trade_id FROM trade_ids", "trade_ids"))
 def w12(t):
-    """Trade ids = type code + yyyymmdd + 4-digit daily number, numbered in
-    16 slices per day (see :func:`daily_sequence_id`)."""
+    """Trade ids = type code + yyyymmdd + 4-digit daily number; the 10,000th
+    trade of a day fails the query (see :func:`daily_sequence_id`)."""
     tr = trades(t)
     code = T.code_map(F.col("type"), T.TRADE_TYPE_CODES)
-    out = P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, out_col="new_trade_id",
-                              bucket=(F.col("trade_id") % ID_BUCKETS).cast("int"))
+    out = P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, out_col="new_trade_id", step=ID_STEP)
     return out.select(F.col("trade_id").alias("order_key"), "new_trade_id")
 
 
@@ -142,18 +152,19 @@ SELECT max(seq) AS max_daily_sequence, max(seq) > 9999 AS overflow FROM trade_id
 """, "trade_ids"))
 def q04(t):
     tr = trades(t)
-    out = P.daily_sequence_id(tr, "trade_date", F.lit("X"), ["trade_id"], width=4, out_col="_id",
-                              bucket=(F.col("trade_id") % ID_BUCKETS).cast("int"))
+    out = P.dense_sequence(tr, ["trade_date"], ["trade_id"], ID_STEP)
     return out.agg(F.max("seq").alias("max_daily_sequence"),
                    (F.max("seq") > P.MAX_DAILY_SEQUENCE).alias("overflow"))
 
 
 @query("d10_capacity_eligibility", sql("""
-SELECT trade_id, bank_id, CAST(remaining_usd AS DOUBLE) AS remaining_usd, eligible, weight FROM capacity
+SELECT trade_id, bank_id, booking_date, has_limit, CAST(remaining_usd AS DOUBLE) AS remaining_usd, eligible, weight FROM capacity
 """, "capacity"))
 def d10(t):
-    return capacity(t).select("trade_id", "bank_id", F.col("remaining_usd").cast("double").alias("remaining_usd"),
-                              "eligible", "weight")
+    """Every trade × every bank; ``has_limit`` is false before the bank's
+    first limit (nothing remaining, never eligible)."""
+    return capacity(t).select("trade_id", "bank_id", "booking_date", "has_limit",
+                              F.col("remaining_usd").cast("double").alias("remaining_usd"), "eligible", "weight")
 
 
 @query("w14_share_of_total", sql("""
@@ -179,19 +190,46 @@ def w13(t):
     return out.select("trade_id", "bank_id", F.col("allocated_usd").cast("double").alias("allocated_usd"))
 
 
-@query("d11_split_across_banks", sql("""
-SELECT a.trade_id, a.bank_id, CAST(a.allocated_usd + CASE WHEN a.last_rank = 1 THEN a.need - a.total_alloc ELSE 0 END AS DOUBLE) AS allocated_usd
+cte("split", """
+SELECT a.trade_id, a.bank_id, a.need,
+       a.allocated_usd + CASE WHEN a.last_rank = 1 THEN a.need - a.total_alloc ELSE 0 END AS allocated_usd
 FROM (SELECT *, sum(allocated_usd) OVER (PARTITION BY trade_id) AS total_alloc,
              row_number() OVER (PARTITION BY trade_id ORDER BY remaining_usd ASC, bank_id DESC) AS last_rank
       FROM alloc WHERE allocated_usd > 0
         AND trade_id IN (SELECT trade_id FROM capacity GROUP BY trade_id HAVING count_if(eligible) = 0
                          AND sum(remaining_usd) >= max(CAST(trade_size_usd AS DECIMAL(18,2))))) a
-""", "alloc", "capacity"))
-def d11(t):
-    """Trades no single bank can take (no eligible bank) split across banks;
-    trades whose total capacity falls short are rejected (no rows)."""
+""", "alloc", "capacity")
+
+
+def split(t):
     c = capacity(t)
     unplaced = c.groupBy("trade_id").agg(F.count_if("eligible").alias("_e")).filter(F.col("_e") == 0)
     c = c.join(unplaced.select("trade_id"), "trade_id", "left_semi").withColumn("need_usd", F.col("trade_size_usd"))
-    out = P.split_across_banks(c, capacity_col="remaining_usd", need_col="need_usd")
-    return out.select("trade_id", "bank_id", F.col("allocated_usd").cast("double").alias("allocated_usd"))
+    return P.split_across_banks(c, capacity_col="remaining_usd", need_col="need_usd")
+
+
+@query("d11_split_across_banks", sql("""
+SELECT trade_id, bank_id, CAST(allocated_usd AS DOUBLE) AS allocated_usd FROM split
+""", "split"))
+def d11(t):
+    """Trades no single bank can take (no eligible bank) split across banks;
+    trades whose total capacity falls short are rejected (no rows)."""
+    return split(t).select("trade_id", "bank_id", F.col("allocated_usd").cast("double").alias("allocated_usd"))
+
+
+@query("d11_split_legs", sql("""
+SELECT trade_id, bank_id, leg_id,
+       CAST(CASE WHEN leg_id = max(leg_id) OVER w
+                 THEN allocated_usd - (sum(part) OVER w - part) ELSE part END AS DOUBLE) AS split_amount_usd
+FROM (SELECT s.trade_id, s.bank_id, l.leg_id, s.allocated_usd,
+             CAST(round(CAST(l.trade_size_usd AS DOUBLE) * (CAST(s.allocated_usd AS DOUBLE) / CAST(s.need AS DOUBLE)), 2) AS DECIMAL(18,2)) AS part
+      FROM split s JOIN legs l ON l.trade_id = s.trade_id)
+WINDOW w AS (PARTITION BY trade_id, bank_id)
+""", "split", "legs"))
+def d11_legs(t):
+    """The legs of split trades: each bank's share of every leg, the last leg
+    taking the cents left by rounding."""
+    need = trades(t).select("trade_id", F.col("trade_size_usd").alias("need_usd"))
+    legs = B.legs(t).select("trade_id", "leg_id", F.col("trade_size_usd").alias("leg_amount_usd"))
+    out = P.split_legs_pro_rata(split(t).join(need, "trade_id"), legs)
+    return out.select("trade_id", "bank_id", "leg_id", F.col("split_amount_usd").cast("double").alias("split_amount_usd"))

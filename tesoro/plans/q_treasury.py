@@ -27,7 +27,7 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 cte("movements", """
 SELECT date,
        'TX' || strftime(date, '%Y%m%d') || lpad(CAST(row_number() OVER (PARTITION BY date
-            ORDER BY l_orderkey % 64, l_orderkey, l_linenumber, l_partkey, account_number, l_quantity,
+            ORDER BY l_orderkey, l_linenumber, l_partkey, account_number, l_quantity,
                      l_extendedprice, l_returnflag, l_linestatus) AS VARCHAR), 6, '0') AS transaction_id,
        account_number, currency,
        CASE kind WHEN 'W' THEN 'Withdraw' WHEN 'C' THEN 'Charges' ELSE 'Deposit' END AS type,
@@ -47,14 +47,20 @@ cte("mov_daily", """
 SELECT account_number, date, sum(amount) AS total_movements FROM movements GROUP BY account_number, date
 """, "movements")
 
+cte("led_days", """
+SELECT CAST(g.d AS DATE) AS date FROM (SELECT min(date) AS lo, max(date) AS hi FROM mov_daily) b,
+  generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) g(d)
+""", "mov_daily")
+
 cte("w15", """
-SELECT d.date, d.account_number, a.currency,
-       CAST(a.opening_balance + sum(d.total_movements) OVER w - d.total_movements AS DECIMAL(28,2)) AS starting_balance,
-       CAST(d.total_movements AS DECIMAL(28,2)) AS total_movements,
-       CAST(a.opening_balance + sum(d.total_movements) OVER w AS DECIMAL(28,2)) AS closing_balance
-FROM mov_daily d JOIN accounts a ON a.account_number = d.account_number
-WINDOW w AS (PARTITION BY d.account_number ORDER BY d.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-""", "mov_daily", "accounts")
+SELECT d.date, a.account_number, a.currency,
+       CAST(a.opening_balance + sum(coalesce(m.total_movements, 0)) OVER w - coalesce(m.total_movements, 0) AS DECIMAL(28,2)) AS starting_balance,
+       CAST(coalesce(m.total_movements, 0) AS DECIMAL(28,2)) AS total_movements,
+       CAST(a.opening_balance + sum(coalesce(m.total_movements, 0)) OVER w AS DECIMAL(28,2)) AS closing_balance
+FROM accounts a CROSS JOIN led_days d
+LEFT JOIN mov_daily m ON m.account_number = a.account_number AND m.date = d.date
+WINDOW w AS (PARTITION BY a.account_number ORDER BY d.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""", "mov_daily", "led_days", "accounts")
 
 cte("sw_sides", """
 SELECT date, currency, account_number, bal,
@@ -123,9 +129,12 @@ cte("ledger", "SELECT * FROM led_rec WHERE date >= (SELECT lo FROM led_bounds)",
 # --- Spark side -------------------------------------------------------------
 
 def w15(t):
-    """Daily balances without sweeps: read by both sides of the sweep and by
-    the closing join, so staged once (accounts × movement days)."""
-    return t.memo("w15", lambda: B.stage(LG.balance_roll_forward(B.accounts(t), B.movements(t))))
+    """Daily balances of every account without sweeps: read by both sides of
+    the sweep and by the closing join, so staged once (accounts × days)."""
+    def build():
+        lo, hi = B.ledger_bounds(t)
+        return B.stage(LG.balance_roll_forward(B.accounts(t), B.movements(t), lo, hi))
+    return t.memo("w15", build)
 
 
 def sweeps(t, mode):
@@ -161,24 +170,28 @@ def a01(t):
 
 
 @query("j01_left_join_totals", sql("""
-SELECT a.account_number, a.currency, CAST(a.opening_balance AS DOUBLE) AS starting_balance,
+SELECT a.account_number, a.currency, CAST(a.opening_balance + coalesce(e.tot, 0) AS DOUBLE) AS starting_balance,
        CAST(coalesce(m.tot, 0) AS DOUBLE) AS total_movements,
-       CAST(a.opening_balance + coalesce(m.tot, 0) AS DOUBLE) AS closing_balance
-FROM accounts a LEFT JOIN (SELECT account_number, sum(amount) AS tot FROM movements
-                           WHERE date = (SELECT max(date) FROM movements) GROUP BY account_number) m
-  ON m.account_number = a.account_number
+       CAST(a.opening_balance + coalesce(e.tot, 0) + coalesce(m.tot, 0) AS DOUBLE) AS closing_balance
+FROM accounts a
+LEFT JOIN (SELECT account_number, sum(amount) AS tot FROM movements
+           WHERE date = (SELECT max(date) FROM movements) GROUP BY account_number) m ON m.account_number = a.account_number
+LEFT JOIN (SELECT account_number, sum(amount) AS tot FROM movements
+           WHERE date < (SELECT max(date) FROM movements) GROUP BY account_number) e ON e.account_number = a.account_number
 """, "accounts", "movements"))
 def j01(t):
-    """One day of the reference's loop: every account, the latest day's
-    movements summed (missing → 0), closing = starting + total (P08, P09)."""
+    """The last day of the reference's loop: every account starts from its
+    opening balance and all earlier movements; the latest day's movements are
+    summed (missing → 0), closing = starting + total (P08, P09).  One
+    aggregate over the movements serves both sums."""
     mv = B.movements(t)
     last = mv.agg(F.max("date")).scalar()
-    tot = mv.filter(F.col("date") == last).groupBy("account_number").agg(F.sum("amount").alias("_tot"))
+    part = lambda c: F.sum(F.when(c, F.col("amount")))
+    tot = mv.groupBy("account_number").agg(part(F.col("date") == last).alias("_tot"), part(F.col("date") < last).alias("_before"))
     j = B.accounts(t).join(tot, "account_number", "left")
-    total = F.coalesce(F.col("_tot"), F.lit(0))
-    return j.select("account_number", "currency", F.col("opening_balance").cast("double").alias("starting_balance"),
-                    total.cast("double").alias("total_movements"),
-                    (F.col("opening_balance") + total).cast("double").alias("closing_balance"))
+    total, start = F.coalesce(F.col("_tot"), F.lit(0)), F.col("opening_balance") + F.coalesce(F.col("_before"), F.lit(0))
+    return j.select("account_number", "currency", start.cast("double").alias("starting_balance"),
+                    total.cast("double").alias("total_movements"), (start + total).cast("double").alias("closing_balance"))
 
 
 @query("w15_balance_roll_forward", sql("""
@@ -237,8 +250,7 @@ def d09(t):
 
 @query("d12_month_end_interest", sql(f"""
 SELECT date, 'TX' || strftime(date, '%Y%m%d') || lpad(CAST(row_number() OVER (PARTITION BY date
-         ORDER BY CAST(account_number AS BIGINT) % 16, account_number)
-         AS VARCHAR), 6, '0') AS transaction_id,
+         ORDER BY CAST(account_number AS BIGINT)) AS VARCHAR), 6, '0') AS transaction_id,
        account_number, currency, 'Interest' AS type, 'Income' AS category,
        CAST(round(starting_balance * CAST({INTEREST_RATE} AS DECIMAL(10,6)), 2) AS DOUBLE) AS amount,
        'Month-end interest' AS description
@@ -247,25 +259,31 @@ FROM ledger WHERE date = last_day(date)
 def d12(t):
     from tesoro.operators.positions import daily_sequence_id
     mv = LG.month_end_interest(ledger(t), B.ledger_calendar(t), INTEREST_RATE)
-    # a month end touches every account: number in 16 slices per day
-    mv = daily_sequence_id(mv, "date", F.lit("TX"), ["account_number"], width=6, out_col="transaction_id",
-                           bucket=(F.col("account_number").cast("long") % 16).cast("int"))
+    # a month end touches every account: numbered in ranges of account numbers
+    mv = mv.withColumn("_acct", F.col("account_number").cast("long"))
+    mv = daily_sequence_id(mv, "date", F.lit("TX"), ["_acct"], width=6, out_col="transaction_id", step=1_000_000)
     return mv.select("date", "transaction_id", "account_number", "currency", "type", "category",
                      F.col("amount").cast("double").alias("amount"), "description")
 
 
 @query("d16_sweep_decomposition", sql("""
-SELECT date, currency, CAST(sum(CASE WHEN type IS DISTINCT FROM 'Internal Sweep' THEN amount ELSE 0 END) AS DOUBLE) AS movements_ex_sweeps,
-       CAST(sum(CASE WHEN type = 'Internal Sweep' THEN amount ELSE 0 END) AS DOUBLE) AS sweeps_only
-FROM (SELECT date, currency, type, CAST(amount AS DECIMAL(18,2)) AS amount FROM movements
-      UNION ALL SELECT date, currency, type, CAST(amount AS DECIMAL(18,2)) FROM ({legs}))
-GROUP BY date, currency
-""".replace("{legs}", SWEEP_LEGS.format(t="sw_water")), "movements", "sw_water"))
+SELECT x.date, x.currency, x.movements_ex_sweeps, x.sweeps_only, CAST(w.closing AS DOUBLE) AS closing_without_sweeps
+FROM (SELECT date, currency, CAST(sum(CASE WHEN type IS DISTINCT FROM 'Internal Sweep' THEN amount ELSE 0 END) AS DOUBLE) AS movements_ex_sweeps,
+             CAST(sum(CASE WHEN type = 'Internal Sweep' THEN amount ELSE 0 END) AS DOUBLE) AS sweeps_only
+      FROM (SELECT date, currency, type, CAST(amount AS DECIMAL(18,2)) AS amount FROM movements
+            UNION ALL SELECT date, currency, type, CAST(amount AS DECIMAL(18,2)) FROM ({legs}))
+      GROUP BY date, currency) x
+JOIN (SELECT date, currency, sum(closing_balance) AS closing FROM w15 GROUP BY date, currency) w
+  ON w.date = x.date AND w.currency = x.currency
+""".replace("{legs}", SWEEP_LEGS.format(t="sw_water")), "movements", "sw_water", "w15"))
 def d16(t):
+    """Movements with and without sweeps, and the closing balance that the
+    movements without sweeps give (opening + movements so far)."""
     mv, _ = sweeps(t, "waterfall")
-    allm = B.movements(t).unionByName(mv)
-    out = LG.sweep_decomposition(allm, ["date", "currency"])
-    return out.select("date", "currency", *_dbl("movements_ex_sweeps", "sweeps_only"))
+    out = LG.sweep_decomposition(B.movements(t).unionByName(mv), ["date", "currency"])
+    closing = w15(t).groupBy("date", "currency").agg(F.sum("closing_balance").alias("closing_without_sweeps"))
+    return out.join(closing, ["date", "currency"]).select(
+        "date", "currency", *_dbl("movements_ex_sweeps", "sweeps_only", "closing_without_sweeps"))
 
 
 @query("w09_month_to_date", sql("""
@@ -343,8 +361,12 @@ def a12(t):
 SELECT date, transaction_id, account_number, type, CAST(amount AS DOUBLE) AS amount FROM movements
 ORDER BY date DESC, transaction_id DESC LIMIT 5""", "movements"))
 def t02(t):
-    """Latest five movements (the top-k report; tie key = transaction id)."""
-    return (B.movements(t).orderBy(F.desc("date"), F.desc("transaction_id")).limit(5)
+    """Latest five movements (the top-k report; tie key = transaction id).
+    They lie within the latest five dates, so only those are numbered."""
+    m = B.unnumbered_movements(t)
+    dates = m.select("date").distinct().orderBy(F.desc("date")).limit(5)
+    recent = B.numbered_movements(m.join(F.broadcast(dates), "date", "left_semi"))   # five rows
+    return (recent.orderBy(F.desc("date"), F.desc("transaction_id")).limit(5)
             .select("date", "transaction_id", "account_number", "type", F.col("amount").cast("double").alias("amount")))
 
 

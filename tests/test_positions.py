@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tesoro.functions import text as T
@@ -39,8 +40,11 @@ def test_daily_ids(spark):
     tr = spark.createDataFrame([(i, "spot" if i % 3 else "swap", dt.date(2026, 1, 2 + i % 2)) for i in range(40)],
                                "trade_id int, type string, trade_date date")
     code = T.code_map(F.col("type"), T.TRADE_TYPE_CODES)
-    ids = P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, bucket=F.col("trade_id") % 4)
-    rows = ids.collect()
+    plain = {r.trade_id: r.seq for r in P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, out_col="new_id").collect()}
+    for step in (1, 3, 8, 64, 1000):    # slices never change a number
+        sliced = P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, out_col="new_id", step=step).collect()
+        assert {r.trade_id: r.seq for r in sliced} == plain
+    rows = P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, step=4).collect()
     assert all(__import__("re").fullmatch(T.TRADE_ID_PATTERN, r.trade_id) for r in rows)
     assert len({r.trade_id for r in rows}) == 40
     per_day = {}
@@ -49,6 +53,15 @@ def test_daily_ids(spark):
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in per_day.values())
 
 
+def test_sequence_overflow_raises(spark):
+    df = spark.range(10_000).selectExpr("id", "DATE '2026-01-02' AS d")
+    ok = P.daily_sequence_id(df.filter("id < 9999"), "d", F.lit("SP"), ["id"], width=4, out_col="x")
+    assert ok.agg(F.count_distinct("x")).first()[0] == 9_999
+    for step in (None, 100):
+        with pytest.raises(Exception, match="daily sequence overflow: 10000"):
+            P.daily_sequence_id(df, "d", F.lit("SP"), ["id"], width=4, out_col="x", step=step).select("x").collect()
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)

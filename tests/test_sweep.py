@@ -1,6 +1,7 @@
 """D08 / D09 on the sweep fixtures of FIXTURES.md §3, plus D09 against a
 brute-force day loop written from the rule."""
 
+import collections
 import datetime as dt
 import random
 from decimal import Decimal
@@ -8,6 +9,7 @@ from decimal import Decimal
 import numpy as np
 import pytest
 
+from tesoro.operators import ledger as LG
 from tesoro.operators.ledger import _sweep_cents, ledger_roll_forward
 from tesoro.operators.sweep import sweep_allocation, sweep_transfers
 
@@ -52,24 +54,19 @@ def test_hand_waterfall(spark):
 
 
 def brute_sweep(pre, mode):
-    """Direct transcription of the rule: loop deficits, then surpluses."""
-    n = len(pre)
-    live = list(pre)
-    d = sorted([i for i in range(n) if pre[i] < 0], key=lambda i: (pre[i], i))
-    s = sorted([i for i in range(n) if pre[i] > 0], key=lambda i: (-pre[i], i))
-    for i in d:
-        need = -pre[i]
-        for j in s:
-            if need == 0:
-                break
-            avail = pre[j] if mode == "snapshot" else live[j]
-            if avail <= 0:
-                continue
-            t = min(avail, need)
-            live[i] += t
-            live[j] -= t
-            need -= t
-    return [live[k] - pre[k] for k in range(n)]
+    """The rule, cent by cent: surplus cents stand in a row, largest account
+    first, and so do the cents asked for, largest deficit first.  Waterfall
+    pairs the two rows; in a snapshot every deficit pairs its own cents with
+    the whole row of surplus cents."""
+    order = sorted(range(len(pre)), key=lambda i: (-abs(pre[i]), i))
+    offered = [i for i in order if pre[i] > 0 for _ in range(pre[i])]
+    asked = [[i] * -pre[i] for i in order if pre[i] < 0]
+    pairs = zip(sum(asked, []), offered) if mode == "waterfall" else [p for own in asked for p in zip(own, offered)]
+    net = collections.Counter()
+    for taker, giver in pairs:
+        net[taker] += 1
+        net[giver] -= 1
+    return [net[i] for i in range(len(pre))]
 
 
 @pytest.mark.parametrize("mode", ["snapshot", "waterfall"])
@@ -119,3 +116,44 @@ def test_ledger_matches_day_loop(spark, mode):
                 bal[a] = p0 + s0
         day += dt.timedelta(days=1)
     assert got == want
+
+
+OPEN = "account_number string, currency string, opening_balance decimal(18,2)"
+MOVE = "date date, account_number string, currency string, amount decimal(18,2)"
+
+
+def test_unknown_opening_and_unknown_account(spark):
+    day = dt.date(2026, 1, 1)
+    op = spark.createDataFrame([("A", "EUR", None), ("B", "EUR", Decimal("-5.25"))], OPEN)
+    mv = spark.createDataFrame([(day, "A", "EUR", Decimal("1.10")), (day, "X", "EUR", Decimal("9.00")),
+                                (day, "Y", "GBP", Decimal("9.00"))], MOVE)
+    got = {(r.account_number, r.date.day): (str(r.starting_balance), str(r.closing_balance))
+           for r in ledger_roll_forward(op, mv, day, dt.date(2026, 1, 2)).collect()}
+    assert got == {("A", 1): ("100000.00", "99995.85"), ("B", 1): ("-5.25", "0.00"),
+                   ("A", 2): ("99995.85", "99995.85"), ("B", 2): ("0.00", "0.00")}
+    assert sorted(r.account_number for r in LG.unknown_movements(op, mv).collect()) == ["X", "Y"]
+    flat = {(r.account_number, r.date.day): str(r.closing_balance)
+            for r in LG.balance_roll_forward(op, mv, day, dt.date(2026, 1, 2)).collect()}
+    assert flat == {("A", 1): "100001.10", ("B", 1): "-5.25", ("A", 2): "100001.10", ("B", 2): "-5.25"}
+
+
+def test_quiet_pool_comes_in_bounded_frames():
+    accounts = np.array([f"A{i:04d}" for i in range(2000)], dtype=object)
+    stream = LG._PoolStream(("EUR",), accounts, np.full(2000, 100, np.int64), 0, "waterfall", ["currency"])
+    sizes = [len(f) for f in stream.advance(1500)] + [len(f) for f in stream.flush()]
+    assert sum(sizes) == 2000 * 1501
+    assert max(sizes) <= LG.FLUSH_ROWS + 2000
+
+
+def test_days_split_over_batches():
+    import pandas as pd
+    rows = [("EUR", "A", -1, 0, 500), ("EUR", "B", -1, 0, -100), ("EUR", "A", 0, 1, -50), ("EUR", "B", 0, 1, 30),
+            ("EUR", "A", 2, 1, 7), ("GBP", "C", -1, 0, 1), ("JPY", "D", 1, 1, 5)]
+    whole = pd.DataFrame(rows, columns=["currency", "account_number", "day", "kind", "cents"])
+    run = LG._ledger_kernel(0, 2, "waterfall", ["currency"])
+    want = pd.concat(list(run([whole])), ignore_index=True)
+    for size in (1, 2, 3):
+        parts = [whole.iloc[i:i + size] for i in range(0, len(whole), size)]
+        got = pd.concat(list(run(parts)), ignore_index=True)
+        pd.testing.assert_frame_equal(got, want)
+    assert set(want["currency"]) == {"EUR", "GBP"}      # a pool without accounts has no balances
