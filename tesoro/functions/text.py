@@ -55,20 +55,23 @@ def code_map(c, mapping: dict, default=None) -> Column:
     return out if default is None else F.coalesce(out, F.lit(default))
 
 
-# C-S3 compact_number: 1.23M / 45.6K / 789
+# C-S3 compact_number: 1.23M / 46K / 789; a change as "+ 1.23M", "- 46K", "- 0"
 def compact_number(x) -> Column:
+    """Millions with two decimals, thousands with none, smaller values with
+    grouped digits and none; halves round to even."""
     x = _c(x).cast("double")
     ax = F.abs(x)
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
     return (F.when(x.isNull(), F.lit(None))
-            .when(ax >= 1e9, F.format_string("%.2fB", x / 1e9))
-            .when(ax >= 1e6, F.format_string("%.2fM", x / 1e6))
-            .when(ax >= 1e3, F.format_string("%.1fK", x / 1e3))
-            .otherwise(F.format_string("%.0f", x)))
+            .when(ax >= 1e6, F.concat(sign, F.format_string("%.2fM", F.bround(ax / 1e6, 2))))
+            .when(ax >= 1e3, F.concat(sign, F.format_string("%.0fK", F.bround(ax / 1e3, 0))))
+            .otherwise(F.concat(sign, F.format_string("%,.0f", F.bround(ax, 0)))))
 
 
 def signed_compact(x) -> Column:
-    x = _c(x)
-    return F.when(x >= 0, F.concat(F.lit("+"), compact_number(x))).otherwise(compact_number(x))
+    x = _c(x).cast("double")
+    return (F.when(x.isNull(), F.lit(None)).when(x > 0, F.concat(F.lit("+ "), compact_number(x)))
+            .when(x < 0, F.concat(F.lit("- "), compact_number(F.abs(x)))).otherwise(F.lit("- 0")))
 
 
 # R-S1 regex_id_check

@@ -32,7 +32,7 @@ def as_of_expand(df: DataFrame, business_days: DataFrame, keys: list[str], effec
     end = F.coalesce(F.date_sub(F.col("_valid_to"), 1), F.lit(calendar_end).cast("date"))
     out = (iv.filter(end >= F.col(effective_col))
            .withColumn(date_col, F.explode(F.sequence(F.col(effective_col), end))))
-    out = out.join(F.broadcast(business_days), date_col, "left_semi")
+    out = out.join(business_days, date_col, "left_semi")
     return out.drop("_valid_to")
 
 

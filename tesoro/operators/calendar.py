@@ -100,7 +100,7 @@ def build_calendar(spark: SparkSession, start, end, holidays: DataFrame | None =
     if holidays is not None:
         hol = (holidays.select(F.col(holiday_col).cast("date").alias("calendar_date"))
                .distinct().withColumn("_hol", F.lit(True)))
-        cal = cal.join(F.broadcast(hol), "calendar_date", "left")
+        cal = cal.join(hol, "calendar_date", "left")
         is_bd = (~F.col("is_weekend")) & F.col("_hol").isNull()
     else:
         is_bd = ~F.col("is_weekend")
@@ -133,7 +133,7 @@ def roll_to_business_day(df: DataFrame, date_col: str, calendar: DataFrame,
     lookup = calendar.select(F.col("calendar_date").alias("_d"), F.col("next_bd").alias(out_col))
     # Scalar subquery (one value), so no fact-sized cross join is planned.
     last_bd = calendar.agg(F.max(F.when(F.col("is_business_day"), F.col("calendar_date")))).scalar()
-    out = df.join(F.broadcast(lookup), F.col(date_col) == F.col("_d"), "left").drop("_d")
+    out = df.join(lookup, F.col(date_col) == F.col("_d"), "left").drop("_d")
     return out.withColumn(
         out_col, F.when(F.col(date_col) > last_bd, last_bd).otherwise(F.col(out_col)))
 

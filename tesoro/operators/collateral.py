@@ -22,6 +22,9 @@ INITIAL_POSTED = 0  # the reference's initial-collateral constant is unused (Tra
 
 STATE = "decimal(20,4)"
 
+KPI_COLUMNS = ["initial_margin", "variation_margin", "collateral_required", "collateral_posted", "excess_deficit",
+               "total_portfolio", "open_positions"]
+
 REPORT_COLUMNS = ["report_date", "initial_margin", "variation_margin", "collateral_required",
                   "collateral_posted", "excess_deficit"]
 
@@ -90,6 +93,24 @@ def collateral_report(report_days: DataFrame, exposure: DataFrame, pnl: DataFram
     )
 
 
+def with_positions(report: DataFrame, legs: DataFrame, keys: list[str], date_col: str = "report_date") -> DataFrame:
+    """The report's latest two dates per key with the two portfolio figures of
+    the KPI cards: ``total_portfolio`` (Σ size of the legs active that day)
+    and ``open_positions`` (distinct trades).  The legs are read once, against
+    two dates per key."""
+    w = Window.partitionBy(*keys).orderBy(F.desc(date_col))
+    last = report.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 2).drop("_r")
+    dates = last.select(*keys, F.col(date_col).alias("_d"))
+    active = legs.select(*keys, "trade_id", "trade_date", "value_date", "trade_size_usd").join(dates, keys) if keys else \
+        legs.select("trade_id", "trade_date", "value_date", "trade_size_usd").join(
+            F.broadcast(dates), F.col("_d") >= F.col("trade_date"))     # two rows
+    active = active.filter((F.col("trade_date") <= F.col("_d")) & (F.col("_d") < F.col("value_date")))
+    stats = active.groupBy(*keys, F.col("_d").alias(date_col)).agg(
+        F.sum("trade_size_usd").cast("double").alias("total_portfolio"), F.count_distinct("trade_id").cast("double").alias("open_positions"))
+    out = last.join(stats, [*keys, date_col], "left")
+    return out.fillna(0.0, ["total_portfolio", "open_positions"])
+
+
 def collateral_snapshot(report: DataFrame, keys: list[str], date_col: str = "report_date",
                         measures: list[str] | None = None) -> DataFrame:
     """Each measure at the latest date and the previous date with

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesoro.operators.common import checked_broadcast
 
 # Fixed values that must equal the reference's output.
 QUALITY_RAW = "raw"
@@ -80,7 +79,7 @@ def normalise_fx_frame(df: DataFrame, targets=None, keep: list[str] | None = Non
         return out
     if isinstance(targets, DataFrame):
         codes = targets.select(canonical_key(F.col(targets.columns[0])).alias("currency"))
-        return out.join(checked_broadcast(codes), "currency", "left_semi")
+        return out.join(codes, "currency", "left_semi")
     return out.filter(F.col("currency").isin([str(t).strip().upper() for t in targets]))
 
 
@@ -143,7 +142,7 @@ def fx_history(sources: list[DataFrame], currencies: DataFrame, base_currency: s
 def missing_on_business_days(history: DataFrame, calendar: DataFrame) -> DataFrame:
     """Per currency, NULL rates on business days before and after fill."""
     bd = calendar.filter("is_business_day").select(F.col("calendar_date").alias("date"))
-    h = history.join(F.broadcast(bd), "date", "left_semi")
+    h = history.join(bd, "date", "left_semi")
     return h.groupBy("currency").agg(
         F.count_if(F.col("missing_before_fill")).alias("missing_before_fill"),
         F.count_if(F.col("fx_to_usd").isNull()).alias("missing_after_fill"))
@@ -165,7 +164,7 @@ def missing_grid(stored: DataFrame, currencies: DataFrame, calendar: DataFrame,
     reference).  Expected keys are generated per currency, then a left anti
     join removes the present ones."""
     bd = calendar.filter("is_business_day").select(F.col("calendar_date").alias("date"))
-    expected = currency_grid(currencies, start, end).join(F.broadcast(bd), "date", "left_semi")
+    expected = currency_grid(currencies, start, end).join(bd, "date", "left_semi")
     present = stored.select("date", "currency").distinct()
     return expected.join(present, ["date", "currency"], "left_anti")
 
@@ -196,6 +195,15 @@ def recent_filled_dates(stored: DataFrame, as_of, lookback: int = RECENT_FILLED_
             .select("date").distinct())
 
 
+def late_corrections(stored: DataFrame, fresh: DataFrame, as_of, lookback: int = RECENT_FILLED_LOOKBACK_DAYS) -> DataFrame:
+    """Provisional (``filled``) stored rows within ``lookback`` days of
+    as_of for which a fresh rate exists, with that rate and flag raw."""
+    recent = stored.filter((F.col("fx_quality_flag") == QUALITY_FILLED)
+                           & (F.col("date") >= F.date_sub(F.lit(as_of).cast("date"), lookback))).select("date", "currency")
+    new = fresh.filter(F.col("fx_to_usd").isNotNull()).select("date", "currency", "fx_to_usd")
+    return recent.join(new, ["date", "currency"]).withColumn("fx_quality_flag", F.lit(QUALITY_RAW))
+
+
 def convert_to_usd(facts: DataFrame, rates: DataFrame, amount_col: str, out_col: str,
                    date_col: str = "date", currency_col: str = "currency") -> DataFrame:
     """Amount / fx_to_usd looked up on (date, currency) (Trap1: the

@@ -30,12 +30,12 @@ def expand_active(df: DataFrame, business_days: DataFrame, start: str, end: str,
     """One row per (input row, business day) while the row is active.
 
     ``business_days`` is a one-column calendar of business dates named
-    ``date_col``; it is bounded by the calendar span, hence broadcast.
+    ``date_col``; it is bounded by the calendar span; the planner broadcasts it by its size.
     """
     last = F.col(end) if inclusive_end else F.date_sub(F.col(end), 1)
     rows = (df.filter(last >= F.col(start))
             .withColumn(date_col, F.explode(F.sequence(F.col(start), last))))
-    return rows.join(F.broadcast(business_days), date_col, "left_semi")
+    return rows.join(business_days, date_col, "left_semi")
 
 
 def exposure_series(df: DataFrame, business_days: DataFrame, keys: list[str], start: str,
@@ -49,14 +49,15 @@ def exposure_series(df: DataFrame, business_days: DataFrame, keys: list[str], st
     """
     stop = F.date_add(F.col(end), 1) if inclusive_end else F.col(end)
     valid = df.filter(stop > F.col(start))
-    plus = valid.select(*keys, F.col(start).alias("_d"), F.col(amount).alias("_amt"),
-                        F.lit(1).alias("_n"))
-    minus = valid.select(*keys, stop.alias("_d"), (-F.col(amount)).alias("_amt"),
-                         F.lit(-1).alias("_n"))
+    # both events of a row in one pass over the facts
+    event = lambda d, amt, n: F.struct(d.alias("_d"), amt.alias("_amt"), F.lit(n).alias("_n"))
+    signed = df.schema[amount].dataType.simpleString() if amount in df.columns else None
+    minus = (-F.col(amount)).cast(signed) if signed else -F.col(amount)
+    events = valid.select(*keys, F.inline(F.array(event(F.col(start), F.col(amount), 1), event(stop, minus, -1))))
     # Map-side partial aggregation collapses the events to one row per
     # (key, day) before the shuffle; what reaches the window is bounded by
     # keys × calendar days regardless of how many legs a key has.
-    daily = (plus.unionByName(minus).groupBy(*keys, "_d")
+    daily = (events.groupBy(*keys, "_d")
              .agg(F.sum("_amt").alias("_amt"), F.sum("_n").alias("_n")))
     w = Window.partitionBy(*keys).orderBy("_d")
     run = Window.partitionBy(*keys).orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
@@ -67,5 +68,5 @@ def exposure_series(df: DataFrame, business_days: DataFrame, keys: list[str], st
            .filter(F.col(out_count) > 0))
     # every open segment ends at a later event, so _next is never NULL here
     days = seg.withColumn(date_col, F.explode(F.sequence(F.col("_d"), F.date_sub(F.col("_next"), 1))))
-    days = days.join(F.broadcast(business_days), date_col, "left_semi")
+    days = days.join(business_days, date_col, "left_semi")
     return days.select(*keys, date_col, out_amount, F.col(out_count).cast("long").alias(out_count))

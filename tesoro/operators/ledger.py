@@ -232,7 +232,7 @@ def month_end_interest(balances: DataFrame, calendar: DataFrame, rate: float,
                        date_col: str = "date", start_col: str = "starting_balance") -> DataFrame:
     """On month-end days, interest = round(starting balance × rate, 2)."""
     me = calendar.filter(F.col("is_month_end")).select(F.col("calendar_date").alias(date_col))
-    b = balances.join(F.broadcast(me), date_col, "left_semi")
+    b = balances.join(me, date_col, "left_semi")
     amt = F.round(F.col(start_col).cast(AMOUNT) * F.lit(rate).cast("decimal(10,6)"), 2).cast(AMOUNT)
     return b.select(date_col, "account_number", "currency",
                     F.lit(INTEREST_TYPE).alias("type"), F.lit(INTEREST_CATEGORY).alias("category"),

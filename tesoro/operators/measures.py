@@ -89,7 +89,7 @@ def last_n_dates(df: DataFrame, date_col: str, n: int) -> DataFrame:
     distinct dates (bounded by the calendar); the facts are then semi-joined."""
     d = df.select(date_col).distinct()
     d = d.withColumn("_r", F.dense_rank().over(Window.orderBy(F.desc(date_col)))).filter(F.col("_r") <= n)
-    return df.join(F.broadcast(d.select(date_col)), date_col, "left_semi")
+    return df.join(d.select(date_col), date_col, "left_semi")
 
 
 def has_data_flag(calendar: DataFrame, fact: DataFrame, fact_date: str, out_col: str = "has_data",

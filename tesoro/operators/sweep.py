@@ -96,19 +96,17 @@ def sweep_transfers(balances: DataFrame, pool: list[str] | None = None,
 
 def sweep_movements(transfers: DataFrame, date_col: str = "date", currency_col: str = "currency") -> DataFrame:
     """Two movement legs per transfer: +t on the deficit, −t on the surplus."""
-    inc = transfers.select(
-        F.col(date_col).alias("date"), T.sweep_id("deficit_acct", "surplus_acct").alias("transaction_id"),
-        F.col("deficit_acct").alias("account_number"), F.col(currency_col).alias("currency"),
-        F.lit(SWEEP_TYPE).alias("type"), F.lit(SWEEP_CATEGORY).alias("category"),
-        F.col("amount").cast(AMOUNT).alias("amount"),
-        F.concat(F.lit("Sweep from "), F.col("surplus_acct").cast("string")).alias("description"))
-    out = transfers.select(
-        F.col(date_col).alias("date"), T.sweep_id("surplus_acct", "deficit_acct").alias("transaction_id"),
-        F.col("surplus_acct").alias("account_number"), F.col(currency_col).alias("currency"),
-        F.lit(SWEEP_TYPE).alias("type"), F.lit(SWEEP_CATEGORY).alias("category"),
-        (-F.col("amount")).cast(AMOUNT).alias("amount"),
-        F.concat(F.lit("Sweep to "), F.col("deficit_acct").cast("string")).alias("description"))
-    return inc.unionByName(out)
+    def leg(own, other, amount, text):
+        return F.struct(F.col(date_col).alias("date"), T.sweep_id(own, other).alias("transaction_id"),
+                        F.col(own).cast("string").alias("account_number"), F.col(currency_col).alias("currency"),
+                        F.lit(SWEEP_TYPE).alias("type"), F.lit(SWEEP_CATEGORY).alias("category"),
+                        amount.cast(AMOUNT).alias("amount"),
+                        F.concat(F.lit(text), F.col(other).cast("string")).alias("description"))
+
+    # both legs from one pass, so the transfers are computed once
+    return transfers.select(F.inline(F.array(
+        leg("deficit_acct", "surplus_acct", F.col("amount"), "Sweep from "),
+        leg("surplus_acct", "deficit_acct", -F.col("amount"), "Sweep to "))))
 
 
 def apply_sweeps(balances: DataFrame, movements: DataFrame, pool: list[str] | None = None,

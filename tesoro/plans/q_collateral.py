@@ -179,14 +179,20 @@ SELECT bank_id,
   max(CASE WHEN r = 1 THEN report_date END) AS latest_date,
   max(CASE WHEN r = 2 THEN report_date END) AS previous_date,
   {cols}
-FROM (SELECT *, row_number() OVER (PARTITION BY bank_id ORDER BY report_date DESC) AS r FROM coll_report)
+FROM (SELECT c.*, coalesce(p.total_portfolio, 0.0) AS total_portfolio, coalesce(p.open_positions, 0.0) AS open_positions,
+             row_number() OVER (PARTITION BY c.bank_id ORDER BY c.report_date DESC) AS r
+      FROM coll_report c
+      LEFT JOIN (SELECT l.bank_id, b.report_date, CAST(sum(l.trade_size_usd) AS DOUBLE) AS total_portfolio,
+                        CAST(count(DISTINCT l.trade_id) AS DOUBLE) AS open_positions
+                 FROM legs l JOIN bdays b ON b.report_date >= l.trade_date AND b.report_date < l.value_date
+                 GROUP BY l.bank_id, b.report_date) p ON p.bank_id = c.bank_id AND p.report_date = c.report_date)
 WHERE r <= 2 GROUP BY bank_id
 """
 
 
 def _snap_cols():
     out = []
-    for m in CO.REPORT_COLUMNS[1:]:
+    for m in CO.KPI_COLUMNS:
         cur = f"max(CASE WHEN r = 1 THEN {m} END)"
         prev = f"max(CASE WHEN r = 2 THEN {m} END)"
         out += [f"{cur} AS {m}_latest", f"{prev} AS {m}_previous",
@@ -194,6 +200,7 @@ def _snap_cols():
     return ",\n  ".join(out)
 
 
-@query("d14_collateral_snapshot", sql(SNAP_SQL.format(cols=_snap_cols()), "coll_report"))
+@query("d14_collateral_snapshot", sql(SNAP_SQL.format(cols=_snap_cols()), "coll_report", "legs", "bdays"))
 def d14(t):
-    return CO.collateral_snapshot(collateral(t), ["bank_id"])
+    """All seven KPI cards per bank: latest, previous and change."""
+    return CO.collateral_snapshot(CO.with_positions(collateral(t), B.legs(t), ["bank_id"]), ["bank_id"], measures=CO.KPI_COLUMNS)

@@ -81,9 +81,39 @@ def fx_calendar(t):
     return t.memo("fx_calendar", build)
 
 
-def merged(t, sources=("db", "csv", "fetched")):
-    src = {"db": src_db, "csv": src_csv, "fetched": src_fetched}
-    return FX.merge_sources([norm(t, src[s](t)) for s in sources], SEQ)
+SOURCES = ("db", "csv", "fetched")
+
+
+def all_sources(t):
+    """The three sources in one frame, each row in its source's own shape
+    (headers are one thing here: they belong to a frame) with its rank, so
+    that merging them reads the lines once."""
+    flag = F.col("l_returnflag")
+    is_csv, is_open = flag == "N", F.col("l_linestatus") == "O"
+    return rate_lines(t).select(
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.when(is_csv, F.concat(F.lit(" "), F.lower("currency"), F.lit(" "))).otherwise(F.col("currency")).alias("Currency"),
+        F.col("rate").cast("string").alias("fx_to_usd"),
+        F.when(flag == "A", F.when(is_open, "filled").otherwise("raw")).when(is_csv, F.when(is_open, "FILLED").otherwise("Raw")).alias("FX_Quality_Flag"),
+        F.when(flag == "A", 0).when(is_csv, 1).when(flag == "R", 2).alias("_src"), *SEQ).filter("_src IS NOT NULL")
+
+
+def merged(t, sources=SOURCES):
+    ranks = [SOURCES.index(s) for s in sources]
+    rows = FX.normalise_fx_frame(all_sources(t).filter(F.col("_src").isin(ranks)), currencies(t), keep=[*SEQ, "_src"])
+    return FX.keep_last(rows, ["date", "currency"], ["_src", *SEQ], ["fx_to_usd", "fx_quality_flag"])
+
+
+def dirty(t):
+    """The CSV source with the faults the normaliser exists for, placed by
+    the lines' own keys: text that is no date or number, an unknown flag, a
+    missing flag, no currency, a currency that is not asked for."""
+    k = F.col("l_orderkey")
+    return src_csv(t).select(
+        F.when(k % 11 == 0, "not a date").otherwise(F.col("date")).alias("date"),
+        F.when(k % 13 == 0, F.lit(None)).when(k % 17 == 0, " xxx").otherwise(F.col("Currency")).alias("Currency"),
+        F.when(k % 7 == 0, "n/a").otherwise(F.col("fx_to_usd")).alias("fx_to_usd"),
+        F.when(k % 5 == 0, "Guessed").when(k % 19 == 0, F.lit(None)).otherwise(F.col("FX_Quality_Flag")).alias("FX_Quality_Flag"), *SEQ)
 
 
 def history(t):
@@ -114,6 +144,14 @@ SELECT date, currency, rate AS fx_to_usd, l_orderkey, l_linenumber, l_partkey,
 FROM rate_lines
 """, "rate_lines")
 
+cte("rate_dirty", """
+SELECT CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE date END AS date,
+       CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 17 = 0 THEN 'XXX' ELSE currency END AS currency,
+       CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE fx_to_usd END AS fx_to_usd,
+       CASE WHEN l_orderkey % 5 = 0 OR l_orderkey % 19 = 0 THEN 'raw' ELSE fx_quality_flag END AS fx_quality_flag
+FROM rate_src WHERE src = 1
+""", "rate_src")
+
 cte("fx_merged", """
 SELECT date, currency, src, fx_to_usd, fx_quality_flag FROM rate_src
 QUALIFY row_number() OVER (PARTITION BY date, currency ORDER BY src DESC, l_orderkey DESC, l_linenumber DESC,
@@ -187,12 +225,10 @@ def p02(t):
     return FX.add_missing_columns(src_fetched(t), FX.FX_TYPES).select(*FX.FX_COLUMNS)
 
 
-@query("p03_lenient_cast", sql("""
-SELECT date, fx_to_usd FROM rate_src WHERE src = 1
-""", "rate_src"))
+@query("p03_lenient_cast", sql("SELECT date, fx_to_usd FROM rate_dirty", "rate_dirty"))
 def p03(t):
     """CSV text dates and numbers parsed leniently (bad text → NULL)."""
-    c = FX.normalise_headers(src_csv(t))
+    c = FX.normalise_headers(dirty(t))
     return c.select(FX.lenient_date(F.col("date")).alias("date"), FX.lenient_double(F.col("fx_to_usd")).alias("fx_to_usd"))
 
 
@@ -205,28 +241,33 @@ def p04(t):
 
 
 @query("p05_enum_whitelist_default", sql("""
-SELECT fx_quality_flag, count(*) AS n FROM rate_src WHERE src = 1 GROUP BY fx_quality_flag
-""", "rate_src"))
+SELECT fx_quality_flag, count(*) AS n FROM rate_dirty GROUP BY fx_quality_flag
+""", "rate_dirty"))
 def p05(t):
-    c = FX.normalise_headers(src_csv(t))
+    """Flags that are unknown or missing count as raw."""
+    c = FX.normalise_headers(dirty(t))
     return c.groupBy(FX.whitelist_flag(F.col("fx_quality_flag")).alias("fx_quality_flag")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
 @query("f01_drop_null_keys", sql("""
-SELECT count(*) AS kept_rows FROM rate_src WHERE date IS NOT NULL AND currency IS NOT NULL
-""", "rate_src"))
+SELECT count(*) AS kept_rows, (SELECT count(*) FROM rate_dirty) AS all_rows
+FROM rate_dirty WHERE date IS NOT NULL AND currency IS NOT NULL
+""", "rate_dirty"))
 def f01(t):
-    allsrc = norm(t, src_db(t)).unionByName(norm(t, src_csv(t))).unionByName(norm(t, src_fetched(t)))
-    return allsrc.agg(F.count(F.lit(1)).alias("kept_rows"))
+    """Rows without a date or currency go."""
+    rows = dirty(t)
+    kept = FX.normalise_fx_frame(rows, None)
+    return kept.agg(F.count(F.lit(1)).alias("kept_rows")).select("kept_rows", rows.agg(F.count(F.lit(1))).scalar().alias("all_rows"))
 
 
 @query("f02_in_list_filter", sql("""
-SELECT currency, count(*) AS n FROM rate_src WHERE currency IN (SELECT n_name FROM nation) GROUP BY currency
-""", "rate_src"))
+SELECT currency, count(*) AS n FROM rate_dirty
+WHERE date IS NOT NULL AND currency IN (SELECT n_name FROM nation) GROUP BY currency
+""", "rate_dirty"))
 def f02(t):
-    allsrc = norm(t, src_db(t)).unionByName(norm(t, src_csv(t))).unionByName(norm(t, src_fetched(t)))
-    return allsrc.groupBy("currency").agg(F.count(F.lit(1)).alias("n"))
+    """Rows of currencies that are not in the target list go."""
+    return norm(t, dirty(t)).groupBy("currency").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("w03_dedup_keep_last", sql("""
@@ -364,28 +405,38 @@ def d04(t):
 
 
 @query("x05_late_correction", sql("""
-SELECT s.date, s.currency, s.fx_to_usd AS old_rate, f.fx_to_usd AS new_rate, 'raw' AS new_flag
-FROM fx_stored s JOIN (SELECT date, currency, fx_to_usd FROM rate_src WHERE src = 2
-                       QUALIFY row_number() OVER (PARTITION BY date, currency ORDER BY l_orderkey DESC, l_linenumber DESC,
-                                                  l_partkey DESC, fx_to_usd DESC) = 1) f
+SELECT s.date, s.currency, coalesce(f.fx_to_usd, s.fx_to_usd) AS fx_to_usd,
+       CASE WHEN f.fx_to_usd IS NOT NULL THEN 'raw' ELSE s.fx_quality_flag END AS fx_quality_flag
+FROM fx_stored s LEFT JOIN (SELECT date, currency, fx_to_usd FROM rate_src WHERE src = 2
+                            QUALIFY row_number() OVER (PARTITION BY date, currency ORDER BY l_orderkey DESC, l_linenumber DESC,
+                                                       l_partkey DESC, fx_to_usd DESC) = 1) f
   ON f.date = s.date AND f.currency = s.currency
-WHERE s.fx_quality_flag = 'filled' AND s.date >= (SELECT hi FROM fx_bounds) - 7 AND f.fx_to_usd IS NOT NULL
+ AND s.fx_quality_flag = 'filled' AND s.date >= (SELECT hi FROM fx_bounds) - 7
 """, "fx_stored", "rate_src", "fx_bounds"))
 def x05(t):
     """Provisional (``filled``) stored rows of the last 7 days that the
-    fetched source now covers: replaced by the new value, promoted to raw."""
+    fetched source now covers take the new value and become raw.  The
+    corrections are written back by keyed upsert (K05), twice: a repeated run
+    changes nothing.  Returns the stored table afterwards."""
+    from tesoro.session import scratch_path
+    from tesoro.sinks import writers as K
     lo, hi = fx_bounds(t)
-    recent = stored(t).filter((F.col("fx_quality_flag") == FX.QUALITY_FILLED)
-                              & (F.col("date") >= F.date_sub(F.lit(hi), FX.RECENT_FILLED_LOOKBACK_DAYS)))
-    fresh = FX.merge_sources([norm(t, src_fetched(t))], SEQ).select(
-        "date", "currency", F.col("fx_to_usd").alias("new_rate")).filter(F.col("new_rate").isNotNull())
-    j = recent.join(fresh, ["date", "currency"])
-    return j.select("date", "currency", F.col("fx_to_usd").alias("old_rate"), "new_rate",
-                    F.lit(FX.QUALITY_RAW).alias("new_flag"))
+    period = F.date_format("date", "yyyy-MM").alias("period")
+    path = scratch_path(t.spark, "x05")
+    K.upsert_by_key(t.spark, path, stored(t).select("*", period), ["date", "currency"], partition_col="period")
+    fixes = FX.late_corrections(t.spark.read.parquet(path), merged(t, ("fetched",)), hi)
+    for _ in range(2):
+        K.upsert_by_key(t.spark, path, fixes.select("*", period), ["date", "currency"], partition_col="period")
+    return t.spark.read.parquet(path).select(*FX.FX_COLUMNS)
+
+
+# one column per currency of the driver tables' nation table (25 codes)
+NATIONS = [f"NATION_{i}" for i in range(25)]
 
 
 @query("a16_pivot_rates", sql("""
-SELECT * FROM (PIVOT (SELECT date, currency, fx_to_usd FROM fx_history) ON currency USING first(fx_to_usd) GROUP BY date)
+SELECT date, """ + ", ".join(f"max(CASE WHEN currency = '{c}' THEN fx_to_usd END) AS {c}" for c in NATIONS) + """
+FROM fx_history GROUP BY date
 """, "fx_history"))
 def a16(t):
     """Long → wide: one column per currency.  The pivot values come from the

@@ -11,10 +11,10 @@ from tesoro.functions import text as T
 from tesoro.operators import calendar as C
 from tesoro.operators import limits as L
 from tesoro.operators import measures as MS
-from tesoro.operators.common import checked_broadcast
 from tesoro.plans import bindings as B
 from tesoro.plans.oracle_ctes import cte, sql
 from tesoro.plans.q_collateral import collateral, report_days, trade_mtm
+from tesoro.operators.intervals import exposure_series
 from tesoro.plans.q_positions import limits, portfolio
 from tesoro.plans.registry import query
 
@@ -123,10 +123,22 @@ FROM portfolio GROUP BY report_date
 """, "portfolio"))
 def a06(t):
     """Open trades as rows (legs × banks) vs open positions as distinct
-    trade ids (Trap18), per report date."""
-    return portfolio(t).groupBy("report_date").agg(
-        F.count(F.lit(1)).alias("open_trade_rows"), F.count_distinct("trade_id").alias("open_positions"),
-        F.count_if(F.col("type") == "swap").alias("swap_rows"))
+    trade ids (Trap18), per report date.  Both are running sums of starts and
+    ends: rows over legs, positions over trades (a trade's legs start
+    together, so it is open from its trade date to its last value date)."""
+    legs = B.legs(t).select("trade_id", "trade_date", "value_date", F.when(F.col("type") == "swap", 1).otherwise(0).alias("swap"))
+    rows = exposure_series(legs, B.bdays(t), [], "trade_date", "value_date", "swap", out_amount="swap_rows", out_count="open_trade_rows")
+    spans = (legs.groupBy("trade_id", "trade_date").agg(F.max("value_date").alias("value_date")).withColumn("one", F.lit(1)))
+    open_ = exposure_series(spans, B.bdays(t), [], "trade_date", "value_date", "one", out_amount="_", out_count="open_positions").drop("_")
+    return rows.join(open_, "report_date").select("report_date", "open_trade_rows", "open_positions", "swap_rows")
+
+
+def seen_legs(t):
+    """Legs that are active on at least one business day: the first business
+    day from the trade date lies before the value date.  No day is expanded
+    to tell."""
+    rolled = C.roll_to_business_day(B.legs(t), "trade_date", B.trade_calendar(t), "_first")
+    return rolled.filter((F.col("_first") >= F.col("trade_date")) & (F.col("_first") < F.col("value_date"))).drop("_first")
 
 
 @query("a07_distinct_count", sql("""
@@ -137,11 +149,9 @@ SELECT count(DISTINCT CASE WHEN type = 'spot' THEN trade_id END) AS spots,
 FROM portfolio
 """, "portfolio"))
 def a07(t):
-    p = portfolio(t)
-    ty = F.col("type")
-    return p.agg(F.count_distinct(F.when(ty == "spot", F.col("trade_id"))).alias("spots"),
-                 F.count_distinct(F.when(ty == "forward", F.col("trade_id"))).alias("forwards"),
-                 F.count_distinct(F.when(ty == "swap", F.col("trade_id"))).alias("swaps"),
+    p = seen_legs(t)
+    of = lambda ty: F.count_distinct(F.when(F.col("type") == ty, F.col("trade_id")))
+    return p.agg(of("spot").alias("spots"), of("forward").alias("forwards"), of("swap").alias("swaps"),
                  F.count_distinct("bank_id").alias("banks"))
 
 
@@ -149,8 +159,9 @@ def a07(t):
 SELECT count(*) AS total_trades FROM (SELECT DISTINCT trade_id, leg_id FROM portfolio)
 """, "portfolio"))
 def a08(t):
-    """Total Trades: distinct (trade_id, leg_id) pairs, all dates."""
-    return portfolio(t).select("trade_id", "leg_id").distinct().agg(F.count(F.lit(1)).alias("total_trades"))
+    """Total Trades: distinct (trade_id, leg_id) pairs, all dates.  The
+    numbering makes every leg one pair, so the legs are counted."""
+    return seen_legs(t).agg(F.count(F.lit(1)).alias("total_trades"))
 
 
 @query("j15_role_playing_date_join", sql("""
@@ -160,15 +171,13 @@ SELECT c.calendar_date,
 FROM cal c
 """, "cal", "portfolio"))
 def j15(t):
-    """The calendar joined once on trade_date (new) and once on value_date
-    (matured): distinct (trade_id, leg_id) pairs per calendar day."""
-    p = portfolio(t)
-    new = (p.select("trade_id", "leg_id", "trade_date").distinct().groupBy(F.col("trade_date").alias("calendar_date"))
-           .agg(F.count(F.lit(1)).alias("new_trades")))
-    mat = (p.select("trade_id", "leg_id", "value_date").distinct().groupBy(F.col("value_date").alias("calendar_date"))
-           .agg(F.count(F.lit(1)).alias("matured_trades")))
-    cal = B.trade_calendar(t).select("calendar_date")
-    j = cal.join(new, "calendar_date", "left").join(mat, "calendar_date", "left")
+    """The calendar joined on trade_date (new) and value_date (matured):
+    distinct (trade_id, leg_id) pairs per calendar day, both roles from one
+    pass over the legs."""
+    role = lambda d, new, old: F.struct(F.col(d).alias("calendar_date"), F.lit(new).alias("n"), F.lit(old).alias("m"))
+    days = (seen_legs(t).select(F.inline(F.array(role("trade_date", 1, 0), role("value_date", 0, 1))))
+            .groupBy("calendar_date").agg(F.sum("n").alias("new_trades"), F.sum("m").alias("matured_trades")))
+    j = B.trade_calendar(t).select("calendar_date").join(days, "calendar_date", "left")
     return j.select("calendar_date", F.coalesce("new_trades", F.lit(0)).alias("new_trades"),
                     F.coalesce("matured_trades", F.lit(0)).alias("matured_trades"))
 
@@ -228,7 +237,7 @@ WHERE bank_id IN (SELECT DISTINCT bank_id FROM legs WHERE bank_id IN {SLICER}) G
 def f09(t):
     """A slicer on the bank dimension propagated to the fact (semi join)."""
     banks = B.legs(t).select("bank_id").distinct().filter(F.col("bank_id").isin(*SLICER))
-    e = B.exposure(t).join(checked_broadcast(banks), "bank_id", "left_semi")
+    e = B.exposure(t).join(banks, "bank_id", "left_semi")
     return e.groupBy("report_date").agg(F.sum("exposure").cast("double").alias("exposure"))
 
 
@@ -315,16 +324,25 @@ def a24(t):
     return out
 
 
+ALL_KPIS = [*KPIS, "total_portfolio", "open_positions"]
+
+
 @query("a25_latest_vs_previous_cards", sql("""
 SELECT """ + ", ".join(
     f"max(CASE WHEN r = 1 THEN {k} END) AS {k}_latest, max(CASE WHEN r = 2 THEN {k} END) AS {k}_previous, "
     f"coalesce(max(CASE WHEN r = 1 THEN {k} END), 0) - coalesce(max(CASE WHEN r = 2 THEN {k} END), 0) AS {k}_change"
-    for k in KPIS) + """
-FROM (SELECT *, row_number() OVER (ORDER BY report_date DESC) AS r FROM coll_total) WHERE r <= 2
-""", "coll_total"))
+    for k in ALL_KPIS) + """
+FROM (SELECT c.*, coalesce(p.total_portfolio, 0.0) AS total_portfolio, coalesce(p.open_positions, 0.0) AS open_positions,
+             row_number() OVER (ORDER BY c.report_date DESC) AS r
+      FROM coll_total c
+      LEFT JOIN (SELECT report_date, CAST(sum(trade_size_usd) AS DOUBLE) AS total_portfolio,
+                        CAST(count(DISTINCT trade_id) AS DOUBLE) AS open_positions FROM portfolio GROUP BY report_date) p
+        ON p.report_date = c.report_date) WHERE r <= 2
+""", "coll_total", "portfolio"))
 def a25(t):
-    from tesoro.operators.collateral import collateral_snapshot
-    s = collateral_snapshot(coll_total(t).withColumn("_k", F.lit(1)), ["_k"])
+    """The seven KPI cards over all banks: latest, previous and change."""
+    from tesoro.operators.collateral import collateral_snapshot, with_positions
+    s = collateral_snapshot(with_positions(coll_total(t), B.legs(t), []).withColumn("_k", F.lit(1)), ["_k"], measures=ALL_KPIS)
     return s.drop("_k", "latest_date", "previous_date")
 
 
@@ -440,37 +458,53 @@ def cs1(t):
                     T.change_colour(ch).alias("colour"))
 
 
+# Binding: every nation is a "bank" whose code is picked by its key; SANX is
+# none of the codes (only whole codes match).
+BANK_CODES = ["SAN", "CITI", "HSBC", "JPM", "FXPB", "SANX"]
+
+
 @query("c_s2_code_map", sql(f"""
-SELECT bank_id, coalesce(CASE upper(substr(bank_id, 1, 4)) {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in T.BANK_THEME_COLOURS.items())} END,
-                         '{T.BANK_THEME_DEFAULT}') AS theme_colour
-FROM (SELECT DISTINCT bank_id FROM legs)
-""", "legs"))
+SELECT n_name AS bank_id, bank_code,
+       CASE bank_code {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in T.BANK_THEME_COLOURS.items())} ELSE '{T.BANK_THEME_DEFAULT}' END AS theme_colour
+FROM (SELECT n_name, {BANK_CODES}[n_nationkey % 6 + 1] AS bank_code FROM nation)
+"""))
 def cs2(t):
-    """Bank code (first four letters) → theme colour, default grey."""
-    b = B.legs(t).select("bank_id").distinct()
-    return b.select("bank_id", T.code_map(F.upper(F.substring("bank_id", 1, 4)), T.BANK_THEME_COLOURS,
-                                          T.BANK_THEME_DEFAULT).alias("theme_colour"))
+    """Bank code → theme colour, by the whole code; default grey."""
+    codes = F.array(*[F.lit(c) for c in BANK_CODES])
+    b = t("nation").select(F.col("n_name").alias("bank_id"), F.get(codes, (F.col("n_nationkey") % 6).cast("int")).alias("bank_code"))
+    return b.withColumn("theme_colour", T.code_map("bank_code", T.BANK_THEME_COLOURS, T.BANK_THEME_DEFAULT))
 
 
 def _compact_sql(x: str) -> str:
-    ax = f"abs({x})"
-    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {ax} >= 1e9 THEN printf('%.2fB', {x} / 1e9) "
-            f"WHEN {ax} >= 1e6 THEN printf('%.2fM', {x} / 1e6) WHEN {ax} >= 1e3 THEN printf('%.1fK', {x} / 1e3) "
-            f"ELSE printf('%.0f', {x}) END")
+    """The cards' number format: M with two decimals, K with none, else
+    grouped digits without decimals."""
+    return (f"CASE WHEN abs({x}) >= 1000000 THEN CASE WHEN {x} < 0 THEN '-' ELSE '' END || printf('%.2f', abs({x}) / 1000000.0) || 'M' "
+            f"WHEN abs({x}) >= 1000 THEN CASE WHEN {x} < 0 THEN '-' ELSE '' END || printf('%.0f', abs({x}) / 1000.0) || 'K' "
+            f"ELSE format('{{:,.0f}}', {x}) END")
+
+
+def _change_sql(x: str) -> str:
+    return f"CASE WHEN {x} > 0 THEN '+ ' || {_compact_sql(x)} WHEN {x} < 0 THEN '- ' || {_compact_sql(f'abs({x})')} ELSE '- 0' END"
+
+
+CARD_TEXTS = ["collateral_posted", "excess_deficit", "variation_margin"]
 
 
 @query("c_s3_compact_number", sql(f"""
-SELECT report_date, {_compact_sql('collateral_posted')} AS posted_text,
-       CASE WHEN ch >= 0 THEN '+' || {_compact_sql('ch')} ELSE {_compact_sql('ch')} END AS change_text
-FROM (SELECT report_date, collateral_posted,
-             collateral_posted - coalesce(lag(collateral_posted) OVER (ORDER BY report_date), 0) AS ch FROM coll_total)
+SELECT report_date, {', '.join(f"{_compact_sql(k)} AS {k}_text, {_change_sql(k + '_ch')} AS {k}_change_text" for k in CARD_TEXTS)},
+       {_compact_sql('small')} AS small_text, {_change_sql('small')} AS small_change_text
+FROM (SELECT report_date, {', '.join(f"{k}, {k} - coalesce(lag({k}) OVER (ORDER BY report_date), 0) AS {k}_ch" for k in CARD_TEXTS)},
+             CAST(dayofyear(report_date) * 25 - 4000 AS DOUBLE) AS small FROM coll_total)
 """, "coll_total"))
 def cs3(t):
-    """KPI text: 1.23M / 45.6K and signed change text."""
-    s = MS.previous_day(coll_total(t), [], "report_date", ["collateral_posted"])
-    ch = MS.daily_change("collateral_posted", "collateral_posted_prev")
-    return s.select("report_date", T.compact_number("collateral_posted").alias("posted_text"),
-                    T.signed_compact(ch).alias("change_text"))
+    """KPI texts and signed change texts: millions, thousands, units, zero and
+    negatives (``small`` runs from -3,975 to 5,150 with the day of the year)."""
+    s = MS.previous_day(coll_total(t), [], "report_date", CARD_TEXTS)
+    small = (F.dayofyear("report_date") * 25 - 4000).cast("double")
+    cols = []
+    for k in CARD_TEXTS:
+        cols += [T.compact_number(k).alias(f"{k}_text"), T.signed_compact(MS.daily_change(k, f"{k}_prev")).alias(f"{k}_change_text")]
+    return s.select("report_date", *cols, T.compact_number(small).alias("small_text"), T.signed_compact(small).alias("small_change_text"))
 
 
 @query("w11_continuous_workday_index", sql("""

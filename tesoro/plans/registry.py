@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tesoro.plans.bindings import Tables
 
@@ -15,10 +16,15 @@ _TABLES: dict = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """One memoising loader per (session, directory) so bindings that several
-    queries share (calendar bounds) are computed once."""
-    key = (id(spark), sf_dir)
+    """One memoising loader per (application, directory, state of its files)
+    so bindings that several queries share (calendar bounds) are computed
+    once, but never outlive their session or tables that were rewritten."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+    state = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime")).first()
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(state))
     if key not in _TABLES:
+        for old in [k for k in _TABLES if k[0] != key[0] or k[1] == sf_dir]:
+            del _TABLES[old]
         _TABLES[key] = Tables(spark, sf_dir)
     return _TABLES[key]
 

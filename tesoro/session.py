@@ -4,6 +4,7 @@ shared work folder (``spark.checkpoint.dir``) used for staged tables."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,8 +45,9 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables and checkpoints.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem).  Only when the session has none (local tests) do we create
-    one under the system temp folder and register it.
+    filesystem).  A session on a local master that has none (tests) gets one
+    under the system temp folder; on a cluster a machine-local folder would
+    lose data, so a missing setting is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -55,6 +57,9 @@ def work_dir(spark: SparkSession) -> str:
     jdir = spark.sparkContext.getCheckpointDir()
     if jdir:
         return jdir
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set; on {master or 'a cluster'} it must name a shared folder")
     local = tempfile.mkdtemp(prefix="tesoro-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

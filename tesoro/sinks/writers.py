@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesoro.operators.common import checked_broadcast
 from tesoro.session import scratch_path
 from tesoro.sources.readers import path_exists
 
@@ -23,21 +22,28 @@ def csv_overwrite(df: DataFrame, path: str) -> None:
 
 def per_day_partition_write(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet",
                             mode: str = "append") -> None:
-    """One folder per date (date=YYYY-MM-DD); readers prune by it."""
-    w = df.repartition(date_col).write.mode(mode).partitionBy(date_col)
+    """One folder per date (date=YYYY-MM-DD); readers prune by it.  Rows
+    are rebalanced by date: small days share tasks, a hot day is split over
+    several tasks and files."""
+    w = df.hint("rebalance", F.col(date_col)).write.mode(mode).partitionBy(date_col)
     (w.option("header", True).csv(path) if fmt == "csv" else w.format(fmt).save(path))
 
 
 def replace_by_date(df: DataFrame, path: str, date_col: str = "date", fmt: str = "parquet") -> None:
     """Rewrite only the dates present in ``df`` (dynamic partition
     overwrite), so a rerun of the same days is idempotent."""
-    (df.repartition(date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", F.col(date_col)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).format(fmt).save(path))
 
 
-def incremental_append(df: DataFrame, path: str, date_col: str, mark) -> int:
-    """First run (no mark) writes everything; later runs append only
-    rows newer than the mark (X04).  Returns the mark used (or None)."""
+def incremental_append(df: DataFrame, path: str, date_col: str):
+    """The first run writes everything; later runs append only rows
+    newer than the stored high-water mark (X04).  The mark is read from the
+    table itself, so a retried run appends nothing twice.  Returns the mark
+    used (None on the first run)."""
+    mark = None
+    if path_exists(df.sparkSession, path):
+        mark = df.sparkSession.read.schema(df.schema).parquet(path).agg(F.max(date_col)).first()[0]
     rows = df if mark is None else df.filter(F.col(date_col) > F.lit(mark))
     rows.write.mode("append").parquet(path)
     return mark
@@ -72,33 +78,52 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert_by_key(spark: SparkSession, path: str, incoming: DataFrame, keys: list[str],
-                  partition_col: str | None = None) -> str:
-    """Rows of ``incoming`` replace existing rows with the same key;
-    other existing rows stay.  Without ``partition_col`` the merged table is
-    written to a new folder and that folder is returned (callers swap the
-    pointer).  With it, only partitions touched by ``incoming`` are merged,
-    staged, then swapped in by dynamic partition overwrite."""
+                  partition_col: str | None = None, recency: list[str] | None = None) -> str:
+    """Rows of ``incoming`` replace the rows with the same key (NULL
+    equals NULL) in the table at ``path``; other rows stay.
+
+    ``incoming`` is reduced to its last row per key (W03, by ``recency``) and
+    staged once; the merged rows are staged too before they are swapped in,
+    so a job never reads what it overwrites and a failed run can be repeated.
+    With ``partition_col`` only the touched partitions are merged and
+    replaced, else the table is rewritten in place."""
+    fresh = _staged(spark, keep_last_per_key(incoming, keys, recency or []), "upsert-incoming")
     if not path_exists(spark, path):
+        merged = fresh
+    else:
+        old = spark.read.parquet(path)
         if partition_col:
-            replace_by_date(incoming, path, partition_col)
-            return path
-        incoming.write.mode("overwrite").parquet(path)
-        return path
-    existing = spark.read.parquet(path)
-    if partition_col is None:
-        merged = existing.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming)
-        out = scratch_path(spark, "upsert")
-        merged.write.parquet(out)
-        return out
-    touched = incoming.select(partition_col).distinct()
-    old = existing.join(checked_broadcast(touched), partition_col, "left_semi")
-    merged = old.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming.select(*existing.columns))
-    stage = scratch_path(spark, "upsert-stage")
-    merged.write.partitionBy(partition_col).parquet(stage)
-    replace_by_date(spark.read.parquet(stage), path, partition_col)
+            old = old.join(fresh.select(partition_col).distinct(), partition_col, "left_semi")
+        match = [old[k].eqNullSafe(fresh[k]) for k in keys]
+        merged = _staged(spark, old.join(fresh, match, "left_anti").unionByName(fresh.select(*old.columns)), "upsert-merged")
+    if partition_col:
+        replace_by_date(merged, path, partition_col)
+    else:
+        merged.write.mode("overwrite").parquet(path)
     return path
 
 
+def replace_by_source(spark: SparkSession, path: str, incoming: DataFrame, date_col: str, source_col: str) -> str:
+    """All rows of a source file are replaced together: on the dates that
+    ``incoming`` touches, rows of other files stay and rows of its files are
+    replaced, so late files add to their day and a repeated load changes
+    nothing."""
+    fresh = _staged(spark, incoming, "source-incoming")
+    merged = fresh
+    if path_exists(spark, path):
+        old = spark.read.parquet(path).join(fresh.select(date_col).distinct(), date_col, "left_semi")
+        rest = old.join(fresh.select(source_col).distinct(), source_col, "left_anti")
+        merged = _staged(spark, rest.select(*fresh.columns).unionByName(fresh), "source-merged")
+    replace_by_date(merged, path, date_col)
+    return path
+
+
+def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def create_table_if_absent(spark: SparkSession, path: str, schema) -> DataFrame:
     """An empty typed table when none exists; never touches data that
     is already there."""

@@ -23,11 +23,12 @@ def test_incremental_append(spark):
     p = scratch_path(spark, "t-inc")
     missing = S.read_or_empty(spark, p, SCHEMA)
     assert Q.high_water_mark(missing, "report_date").first()[0] is None
-    K.incremental_append(table(spark, 3), p, "report_date", None)
+    assert K.incremental_append(table(spark, 3), p, "report_date") is None
     mark = Q.high_water_mark(spark.read.parquet(p), "report_date").first()[0]
     assert mark == D[2]
     assert Q.incremental_slice(table(spark, 5), "report_date", mark).count() == 2
-    K.incremental_append(table(spark, 5), p, "report_date", mark)
+    assert K.incremental_append(table(spark, 5), p, "report_date") == mark
+    K.incremental_append(table(spark, 5), p, "report_date")     # a repeated run adds nothing
     out = spark.read.parquet(p)
     assert out.count() == 5 and out.select("report_date").distinct().count() == 5
 
@@ -49,6 +50,14 @@ def test_upsert_and_duplicate_deletes(spark):
     K.upsert_by_key(spark, p, inc, ["date", "currency"], partition_col="date")
     got = {(r.date, r.rate) for r in spark.read.parquet(p).collect()}
     assert got == {(D[0], 1.0), (D[1], 2.1), (D[2], 2.2)}
+    # in place without partitions; duplicates and NULL keys in the new rows
+    q = scratch_path(spark, "t-k05-plain")
+    K.upsert_by_key(spark, q, base, ["date", "currency"])
+    more = spark.createDataFrame([(D[1], "EUR", 3.0), (D[1], "EUR", 4.0), (None, "EUR", 5.0)], base.schema)
+    for _ in range(2):
+        assert K.upsert_by_key(spark, q, more, ["date", "currency"], recency=["rate"]) == q
+    assert {(r.date, r.rate) for r in spark.read.parquet(q).collect()} == {(D[0], 1.0), (D[1], 4.0), (None, 5.0)}
+    assert spark.read.parquet(q).count() == 3
     dup = spark.createDataFrame([(D[0], "EUR", 1, 1.0), (D[0], "EUR", 2, 1.5), (D[1], "EUR", 1, 3.0)],
                                 "date date, currency string, seq int, rate double")
     a = {tuple(r) for r in K.keep_last_per_key(dup, ["date", "currency"], ["seq"]).collect()}
@@ -70,6 +79,49 @@ def test_daily_file_stream_rerun_safe(spark):
     df2 = spark.createDataFrame([(D[4], "TX9", 9.0)], schema)
     df2.write.mode("append").option("header", True).csv(landing)
     daily_file_stream(spark, landing, schema, target, ckpt)
-    # the late file for day 5 replaces that day (replace-by-date semantics)
+    # the late file adds to its day; no row of the first batch is lost
     out = spark.read.parquet(target)
-    assert out.count() == 5 and out.filter(F.col("id") == "TX9").count() == 1
+    assert sorted(r.id for r in out.collect()) == ["TX0", "TX1", "TX2", "TX3", "TX4", "TX9"]
+    # all files loaded again (new checkpoint): the table stays as it is
+    daily_file_stream(spark, landing, schema, target, scratch_path(spark, "t-ckpt2"))
+    assert spark.read.parquet(target).count() == 6
+
+
+def test_dated_scan_opens_only_the_last_days(spark):
+    p = scratch_path(spark, "t-s03")
+    df = table(spark, 5).withColumn("date", F.col("report_date"))
+    K.per_day_partition_write(df, p, "date")
+    out = S.dated_directory_scan(spark, p, SCHEMA, r"date=(\d{4}-\d{2}-\d{2})", last_n=2, reader="parquet")
+    assert sorted(r.file_date for r in out.collect()) == D[3:]
+    assert len(out.inputFiles()) == 2
+
+
+def test_drifted_headers_and_quoted_cells(spark):
+    p = scratch_path(spark, "t-s04")
+    types = {"bank": "string", "account": "string", "note": "string"}
+    spark.createDataFrame([("b1", "a1", "x, y"), ("b2", "a2", "bank,account,note,other")], "bank string, account string, note string") \
+        .coalesce(1).write.option("header", True).csv(f"{p}/wide")
+    spark.createDataFrame([("a3", "lower,case")], "account string, note string").coalesce(1).write.option("header", True).csv(f"{p}/narrow")
+    dim = spark.createDataFrame([("a3", "b3")], "account string, bank string")
+    out = S.drifted_schema_scan(spark, p, types, dimension=dim, key="account", backfill=["bank"])
+    assert sorted(map(tuple, out.collect())) == [("b1", "a1", "x, y"), ("b2", "a2", "bank,account,note,other"), ("b3", "a3", "lower,case")]
+
+
+def test_work_dir_needs_a_shared_folder_on_a_cluster(spark):
+    import pytest
+
+    from tesoro.session import work_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return "yarn" if key == "spark.master" else default
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(Session())
