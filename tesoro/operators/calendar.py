@@ -2,8 +2,9 @@
 latest-date label (P12).
 
 The calendar is a *dimension*: its size is fixed by the requested date span,
-never by the fact volume.  ``build_calendar`` asserts the span so that joining
-it with ``F.broadcast`` is always safe.
+never by the fact volume.  Dates outside ``PLAUSIBLE`` (a year typed as 9999)
+never bound a calendar; they are rejects (``implausible_dates``) and match no
+calendar day.
 """
 
 from __future__ import annotations
@@ -35,11 +36,29 @@ def _as_date(x) -> dt.date:
     return dt.date.fromisoformat(str(x)[:10])
 
 
+# Dates that may bound a calendar.
+PLAUSIBLE = (dt.date(1900, 1, 1), dt.date(2099, 12, 31))
+
+
+def _plausible(c: str) -> Column:
+    return F.col(c).cast("date").between(*(F.lit(d) for d in PLAUSIBLE))
+
+
+def implausible_dates(df: DataFrame, *cols: str) -> DataFrame:
+    """The rejects: rows with a date that no calendar will cover."""
+    bad = F.lit(False)
+    for c in cols:
+        bad = bad | ~F.coalesce(_plausible(c), F.lit(True))
+    return df.filter(bad)
+
+
 def date_bounds(df: DataFrame, *cols: str) -> tuple[dt.date, dt.date]:
-    """(min, max) over one or more date columns: a single scalar row."""
+    """(min, max) over the plausible dates of one or more columns: a single
+    scalar row."""
     aggs = []
     for c in cols:
-        aggs += [F.min(F.col(c).cast("date")), F.max(F.col(c).cast("date"))]
+        d = F.when(_plausible(c), F.col(c).cast("date"))
+        aggs += [F.min(d), F.max(d)]
     row = df.agg(*aggs).first()
     lows = [v for v in row[0::2] if v is not None]
     highs = [v for v in row[1::2] if v is not None]

@@ -177,17 +177,22 @@ TX_STEP = 50_000_000   # order keys numbered together; changes no number (dense_
 def accounts(t: Tables) -> DataFrame:
     """dim_accounts + opening balance: one account per supplier, held at a
     'bank' = the supplier's region, in the currency = its nation."""
+    return t.memo("accounts", lambda: keyed_accounts(t).drop("s_suppkey"))
+
+
+def keyed_accounts(t: Tables) -> DataFrame:
+    """The accounts with their integer key, for joins with the facts."""
     def build():
         s = t("supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
         n = t("nation").select("n_nationkey", "n_name", "n_regionkey")
         r = t("region").select("r_regionkey", "r_name")
         j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
-        return j.select(F.col("r_regionkey").cast("string").alias("bank_id"),
+        return j.select("s_suppkey", F.col("r_regionkey").cast("string").alias("bank_id"),
                         F.col("r_name").alias("bank_name"),
                         F.col("s_suppkey").cast("string").alias("account_number"),
                         F.col("n_name").alias("currency"),
                         M.money("s_acctbal").alias("opening_balance"))
-    return t.memo("accounts", build)
+    return t.memo("keyed_accounts", build)
 
 
 def movements(t: Tables) -> DataFrame:
@@ -204,7 +209,7 @@ def unnumbered_movements(t: Tables) -> DataFrame:
         li = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                   "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
                                   "l_quantity")
-        acc = accounts(t).select(F.col("account_number").alias("_acct"), "currency")
+        acc = keyed_accounts(t).select(F.col("s_suppkey").alias("l_suppkey"), "currency", "bank_name")
         price = M.money("l_extendedprice")
         kind = (F.when(F.col("l_returnflag") == "R", F.lit("W"))
                 .when(F.col("l_returnflag") == "A", F.lit("D"))
@@ -215,11 +220,11 @@ def unnumbered_movements(t: Tables) -> DataFrame:
         pick = lambda i: (F.when(kind == "W", F.lit(WITHDRAW[i])).when(kind == "C", F.lit(CHARGES[i]))
                           .otherwise(F.lit(DEPOSIT[i])))
         m = li.select(F.to_date("l_shipdate").alias("date"),
-                      F.col("l_suppkey").cast("string").alias("account_number"),
+                      "l_suppkey", F.col("l_suppkey").cast("string").alias("account_number"),
                       pick(0).alias("type"), pick(1).alias("category"), amount.alias("amount"),
                       pick(2).alias("description"), "l_orderkey", "l_linenumber", "l_partkey",
                       "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
-        return m.join(acc, F.col("account_number") == F.col("_acct")).drop("_acct")
+        return m.join(acc, "l_suppkey")
     return t.memo("unnumbered_movements", build)
 
 

@@ -560,13 +560,11 @@ GROUP BY a.bank_name, year(m.date), strftime(m.date, '%B'), m.type
 """, "movements", "accounts"))
 def j13(t):
     """Fact → account (→ bank, snowflake) and → date dimension, summed at
-    the dimension grain.  Dimensions are joined after the fact is reduced
-    to their keys, so the large side is shuffled once."""
-    m = B.movements(t).groupBy("account_number", "date", "type").agg(
+    the dimension grain.  The account is joined once, on its integer key; the
+    fact is reduced to bank, day and type before it meets the calendar."""
+    m = B.unnumbered_movements(t).groupBy("bank_name", "date", "type").agg(
         F.sum("amount").alias("_amt"), F.count(F.lit(1)).alias("_n"))
-    lo, hi = B.ledger_bounds(t)
     cal = B.ledger_calendar(t).select(F.col("calendar_date").alias("date"), "year", "month_name")
-    acc = B.accounts(t).select("account_number", "bank_name")
-    j = m.join(acc, "account_number").join(F.broadcast(cal), "date")
+    j = m.join(cal, "date")
     return j.groupBy("bank_name", "year", "month_name", "type").agg(
         F.sum("_amt").cast("double").alias("amount"), F.sum("_n").alias("n"))

@@ -56,3 +56,9 @@ def test_workday_index_and_label(spark):
     assert rows[dt.date(2026, 1, 5)].workday_index == 3
     assert rows[dt.date(2026, 1, 12)].date_label == "Latest Date"
     assert rows[dt.date(2026, 1, 2)].date_label == "02-Jan-2026"
+
+
+def test_one_bad_date_does_not_bound_the_calendar(spark):
+    df = spark.createDataFrame([(1, dt.date(2026, 1, 2)), (2, dt.date(9999, 12, 31)), (3, dt.date(2026, 3, 1)), (4, None)], "id int, d date")
+    assert C.date_bounds(df, "d") == (dt.date(2026, 1, 2), dt.date(2026, 3, 1))
+    assert [r.id for r in C.implausible_dates(df, "d").collect()] == [2]
