@@ -34,6 +34,8 @@ CAPACITY = 2048
 SLICE_ROWS = 4_000
 #: Words remembered by one task; beyond it the memory starts afresh.
 CACHE_WORDS = 600_000
+#: Characters of text encoded together.
+GROUP_CHARS = 6_000_000
 
 
 def encoder(tokenizer_file: str):
@@ -44,6 +46,7 @@ def encoder(tokenizer_file: str):
     merges), so the ids of each word are remembered.  New words of plain
     letters are encoded together, one call for many; a token that ends a word
     is marked in the vocabulary, which parts the result."""
+    import operator
     import os
     import re
 
@@ -56,9 +59,9 @@ def encoder(tokenizer_file: str):
     ends_word = np.zeros(1 + max(vocabulary.values()), bool)
     ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
     letters = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
-    plain = re.compile(f"({letters})([.,:;!?$*&%#|]*)")
+    plain = re.compile(f"^({letters})([.,:;!?$*&%#|]*)$", re.MULTILINE)
     known: dict[str, bytes] = {}    # words as they stand between spaces
-    parts: dict[str, bytes] = {}    # lower-case letters, or signs
+    parts: dict[str, bytes] = {"": b""}    # lower-case letters, or signs
 
     def ids(s: str):
         return np.asarray(tok.encode(s, add_special_tokens=False).ids, "<u4")
@@ -79,22 +82,24 @@ def encoder(tokenizer_file: str):
             known.clear()
         if len(parts) > CACHE_WORDS:
             parts.clear()
+            parts[""] = b""
         words = [t.replace("\n", " ").split(" ") for t in texts]
         new = set().union(*words).difference(known)
-        cut = []
-        for w in new:
-            m = plain.fullmatch(w)
-            if m is None:
-                known[w] = ids(w).tobytes() if w else b""
-            else:
-                cut.append((w, m[1].lower(), m[2]))
-        fresh = list({core for _, core, _ in cut}.difference(parts))
-        groups = [fresh[at:at + 1000] for at in range(0, len(fresh), 1000)]
+        # no word holds a line feed, so one search over all new words parts them
+        cut = plain.findall("\n".join(new))
+        written, signs = ([x[i] for x in cut] for i in (0, 1))
+        cores = "\n".join(written).lower().split("\n") if cut else []
+        missing = list(set(cores).difference(parts))
+        groups = [missing[at:at + 1000] for at in range(0, len(missing), 1000)]
         for own, encoding in zip(groups, tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
             learn(own, encoding)
-        for signs in {x for *_, x in cut}.difference(parts):
-            parts[signs] = ids(signs).tobytes() if signs else b""
-        known.update((w, parts[core] + parts[signs]) for w, core, signs in cut)
+        for x in set(signs).difference(parts):
+            parts[x] = ids(x).tobytes()
+        done = list(map(operator.add, written, signs))
+        known.update(zip(done, map(operator.add, map(parts.__getitem__, cores), map(parts.__getitem__, signs))))
+        if len(done) < len(new):
+            for w in new.difference(done):
+                known[w] = ids(w).tobytes() if w else b""
         return [b"".join(map(known.__getitem__, own)) for own in words]
 
     return encode
@@ -108,12 +113,18 @@ def tokenized_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPAC
         end = int(end_id).to_bytes(4, "little")
         for b in batches:
             rows = []
-            for part in (b.slice(at, 500) for at in range(0, b.num_rows, 500)):
-                for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
+            texts, size, ids_of = [], 0, b.column(0).to_pylist()
+            for i, text in enumerate(b.column(1)):
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size < GROUP_CHARS and i + 1 < b.num_rows:
+                    continue
+                for doc, ids in zip(ids_of[i + 1 - len(texts):], encode(texts)):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[at:at + 4 * capacity]
                         rows.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
+                texts, size = [], 0
             yield rows
 
     return map_rows(text_of(docs), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
