@@ -29,10 +29,21 @@ def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def row_keys(docs: DataFrame) -> DataFrame:
-    """docs with k1, k2: 128 bits that stand for id and text of a row."""
+def row_keys(docs: DataFrame, k1: str = "k1", k2: str = "k2") -> DataFrame:
+    """docs with two columns, 128 bits that stand for id and text of a row."""
     doc, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"k1": F.xxhash64(doc, text), "k2": F.xxhash64(text, F.lit(1), doc)})
+    return docs.withColumns({k1: F.xxhash64(doc, text), k2: F.xxhash64(text, F.lit(1), doc)})
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has a column of that name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        taken.add(n.lower())
+        out.append(n)
+    return out
 
 
 def map_rows(df: DataFrame, fn: Callable, ddl: str) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesoro.llm.common import row_keys, stage
+from tesoro.llm.common import fresh, row_keys, stage
 
 MIN_LINES = 2
 #: A boundary follows where the first hexadecimal digit of the rolled hash is smaller.
@@ -76,21 +76,23 @@ def repeated_chunks(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return same.groupBy("k1", "k2").agg(F.collect_set("pos").alias("removed"))
 
 
-def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """docs with the repeated chunks cut out of ``text``; n_lines, n_removed
-    (lines) and n_chunks (removed) follow the columns of docs, under names
-    that start with ``dedup_``."""
+def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, counts: bool = True) -> DataFrame:
+    """docs with the repeated chunks cut out of ``text``, all other columns
+    as they are; with ``counts``, n_lines, n_removed (lines) and n_chunks
+    (removed) follow (with underscores before a name that docs has)."""
     found = repeated_chunks(docs, min_lines)
-    rows = row_keys(docs).withColumnsRenamed({"k1": "_k1", "k2": "_k2"}).join(
-        found.withColumnsRenamed({"k1": "_k1", "k2": "_k2", "removed": "_removed"}), ["_k1", "_k2"], "left")
-    text, removed = F.col("text"), F.col("_removed")
+    a, b, gone, lines, cut, parts = fresh(docs, "_k1", "_k2", "_removed", "n_lines", "n_removed", "n_chunks")
+    rows = row_keys(docs, a, b).join(found.withColumnsRenamed({"k1": a, "k2": b, "removed": gone}), [a, b], "left")
+    text, removed = F.col("text"), F.col(gone)
     kept = F.when(removed.isNull(), text).otherwise(unmarked(F.filter(chunks(text), lambda c, i: ~F.array_contains(removed, i))))
-    lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    cut = F.when(removed.isNull(), F.lit(0)).otherwise(
-        F.aggregate(F.filter(chunks(text), lambda c, i: F.array_contains(removed, i)), F.lit(0), lambda a, c: a + n_lines(c)))
-    return rows.select(*[kept.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                       F.coalesce(lines, F.lit(0)).cast("long").alias("dedup_lines"), cut.cast("long").alias("dedup_removed"),
-                       F.coalesce(F.size(removed), F.lit(0)).alias("dedup_chunks"))
+    out = [kept.alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    if counts:
+        n = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+        cut_lines = F.when(removed.isNull(), F.lit(0)).otherwise(
+            F.aggregate(F.filter(chunks(text), lambda c, i: F.array_contains(removed, i)), F.lit(0), lambda acc, c: acc + n_lines(c)))
+        out += [F.coalesce(n, F.lit(0)).cast("long").alias(lines), cut_lines.cast("long").alias(cut),
+                F.coalesce(F.size(removed), F.lit(0)).alias(parts)]
+    return rows.select(*out)
 
 
 ORACLE = """

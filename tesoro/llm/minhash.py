@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesoro.llm.common import row_keys, smallest_labels, stage, text_of
+from tesoro.llm.common import fresh, row_keys, smallest_labels, stage, text_of
 
 BUCKETS = 128
 BAND = 4
@@ -355,9 +355,10 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents of smallest id of each component, all columns as they
     are; of rows equal in id and text one stays."""
     found = components(docs, words, percent)
-    gone = found.where(~F.col("kept")).select("k1", "k2").distinct()
-    out = row_keys(docs).join(gone, ["k1", "k2"], "left_anti")
-    repeated = found.where("kept").groupBy("k1", "k2").count().where("count > 1")
+    a, b = fresh(docs, "k1", "k2")
+    gone = found.where(~F.col("kept")).select(F.col("k1").alias(a), F.col("k2").alias(b)).distinct()
+    out = row_keys(docs, a, b).join(gone, [a, b], "left_anti")
+    repeated = found.where("kept").groupBy("k1", "k2").agg(F.count("*").alias("rows")).where("rows > 1")
     if repeated.take(1):
-        out = out.dropDuplicates(["k1", "k2"])
+        out = out.dropDuplicates([a, b])
     return out.select(*docs.columns)

@@ -38,8 +38,7 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"),
-                        F.col("dedup_chunks").alias("n_chunks"), F.sha2("text", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2("text", 256).alias("kept_sha256"))
 
 
 ORACLE["op4_line_dedup"] = line_dedup.ORACLE

@@ -46,12 +46,12 @@ def test_matches_brute_force(spark, docs_of):
         rows.append((i, "\n".join(lines)))
     rows += [(100, None), (101, ""), (102, "\n"), (103, rows[4][1]), (7, rows[7][1]), (None, rows[9][1]), (104, "\n".join(["r"] * 5000))]
     out = ld.line_dedup(docs_of(rows))
-    assert out.columns == docs_of([]).columns + ["dedup_lines", "dedup_removed", "dedup_chunks"]
+    assert out.columns == docs_of([]).columns + ["_n_lines", "n_removed", "n_chunks"]
     want = brute(rows)
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(((d, want[d, t]) for d, t in rows), key=str)
-    assert sum(r.dedup_removed for r in out.collect()) > 100
+    assert sum(r.n_removed for r in out.collect()) > 100
     for r in out.collect():
-        if r.text is not None and r.dedup_removed == 0:
+        if r.text is not None and r.n_removed == 0:
             assert (r.doc_id, r.text) in rows
 
 
