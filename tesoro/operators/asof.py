@@ -1,5 +1,4 @@
-"""As-of operators: J11 limit_as_of_join (backward, inclusive), J10
-previous_date_with_data (backward, strict), W05 previous-day value.
+"""As-of operator J11 limit_as_of_join (backward, inclusive).
 
 No as-of join exists in the DataFrame API.  Sparse dated values (reviews)
 are turned into validity intervals with ``lead`` over the *sparse* table,
@@ -34,37 +33,3 @@ def as_of_expand(df: DataFrame, business_days: DataFrame, keys: list[str], effec
            .withColumn(date_col, F.explode(F.sequence(F.col(effective_col), end))))
     out = out.join(business_days, date_col, "left_semi")
     return out.drop("_valid_to")
-
-
-def as_of_lookup(facts: DataFrame, dated: DataFrame, keys: list[str], fact_date: str,
-                 dated_date: str, value_cols: list[str]) -> DataFrame:
-    """Backward inclusive as-of join for arbitrary fact dates.
-
-    Union facts and dated rows per key, order by date (dated rows first on
-    ties, so "inclusive"), and carry the last dated values forward with
-    ``last(ignorenulls=True)``.  One sort per key, no range join.
-    """
-    f = facts.withColumn("_t", F.col(fact_date)).withColumn("_src", F.lit(1))
-    d = dated.select(*keys, F.col(dated_date).alias("_t"), *value_cols).withColumn("_src", F.lit(0))
-    for c in value_cols:
-        f = f.withColumn(c, F.lit(None).cast(dated.schema[c].dataType)) if c not in facts.columns else f
-    for c in facts.columns:
-        if c not in d.columns:
-            d = d.withColumn(c, F.lit(None).cast(facts.schema[c].dataType))
-    u = f.unionByName(d.select(*f.columns))
-    w = (Window.partitionBy(*keys).orderBy("_t", "_src")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    for c in value_cols:
-        u = u.withColumn(c, F.last(c, ignorenulls=True).over(w))
-    return u.filter(F.col("_src") == 1).drop("_t", "_src")
-
-
-def previous_with_data(series: DataFrame, keys: list[str], date_col: str, value_cols: list[str],
-                       suffix: str = "_prev") -> DataFrame:
-    """J10/W05 on a day-grain series: values of the strictly earlier latest
-    date that has data (the series only holds dates with data)."""
-    w = Window.partitionBy(*keys).orderBy(date_col)
-    out = series.withColumn(f"{date_col}{suffix}", F.lag(date_col).over(w))
-    for c in value_cols:
-        out = out.withColumn(f"{c}{suffix}", F.lag(c).over(w))
-    return out

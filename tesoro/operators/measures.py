@@ -60,10 +60,12 @@ def rolling_avg(series: DataFrame, keys: list[str], date_col: str, value_col: st
                 out_col: str | None = None) -> DataFrame:
     """W08 (B02): mean over the ``days`` calendar days ending today
     (today − days + 1 … today); days without data are skipped, not zeroed.
-    A RANGE frame on the day number, so gaps in the series are handled."""
+    A RANGE frame on the day number, so gaps in the series are handled.
+    Decimals are summed exactly before the division."""
     dn = F.datediff(F.col(date_col), F.lit(EPOCH).cast("date"))
     w = Window.partitionBy(*keys).orderBy(dn).rangeBetween(-(days - 1), 0)
-    return series.withColumn(out_col or f"{value_col}_avg{days}", F.avg(value_col).over(w))
+    mean = F.sum(value_col).over(w).cast("double") / F.count(value_col).over(w).cast("double")
+    return series.withColumn(out_col or f"{value_col}_avg{days}", mean)
 
 
 def ratio_of_sums(num: Column | str, den: Column | str) -> Column:

@@ -14,6 +14,7 @@ from tesoro.operators import measures as MS
 from tesoro.plans import bindings as B
 from tesoro.plans.oracle_ctes import cte, sql
 from tesoro.plans.q_collateral import collateral, report_days, trade_mtm
+from tesoro.operators.collateral import initial_margin
 from tesoro.operators.intervals import exposure_series
 from tesoro.plans.q_positions import limits, portfolio
 from tesoro.plans.registry import query
@@ -99,11 +100,10 @@ WINDOW w AS (PARTITION BY bank_id ORDER BY report_date RANGE BETWEEN INTERVAL 29
 """, "coll_report"))
 def w08(t):
     """30-calendar-day mean of IM per bank; days without a row are skipped."""
-    s = collateral(t).select("bank_id", "report_date", F.col("initial_margin").cast(D).alias("_im"))
-    dn = F.datediff("report_date", F.lit(MS.EPOCH).cast("date"))
-    w = Window.partitionBy("bank_id").orderBy(dn).rangeBetween(-29, 0)
-    return s.select("bank_id", "report_date",
-                    (F.sum("_im").over(w).cast("double") / F.count("_im").over(w).cast("double")).alias("im_avg30"))
+    # the margin follows from the exposure alone: no valuation, no recurrence
+    e = B.exposure(t).select("bank_id", "report_date", "exposure")
+    s = report_days(t).join(e, ["bank_id", "report_date"], "left").withColumn("_im", initial_margin("exposure").cast(D))
+    return MS.rolling_avg(s, ["bank_id"], "report_date", "_im", 30, "im_avg30").select("bank_id", "report_date", "im_avg30")
 
 
 @query("w17_last_n_dates", sql("""
