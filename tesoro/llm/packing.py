@@ -31,26 +31,26 @@ from tesoro.llm.common import map_rows, stage, text_of
 
 CAPACITY = 2048
 #: Rows numbered together when pieces of one length get their ranks.
-SLICE_ROWS = 4_000
-#: Words remembered by one task; beyond it the memory starts afresh.
-CACHE_WORDS = 600_000
-#: Characters of text encoded together.
-GROUP_CHARS = 6_000_000
+SLICE_ROWS = 500
+#: Bytes of text encoded together.
+GROUP_CHARS = 16_000_000
 
 
 def encoder(tokenizer_file: str):
-    """list of texts -> little-endian uint32 ids, as the tokenizer gives for
-    each whole text.
+    """Arrow array of texts -> (all ids as uint32, where each text's ids
+    begin), as the tokenizer gives for each whole text.
 
     No token spans a space or a line feed (white space is dropped before the
-    merges), so the ids of each word are remembered.  New words of plain
-    letters are encoded together, one call for many; a token that ends a word
-    is marked in the vocabulary, which parts the result."""
+    merges), so the texts are split there by Arrow and only distinct words are
+    encoded.  Those of plain letters, perhaps with signs behind, are encoded
+    together, one call for many; a token that ends a word is marked in the
+    vocabulary, which parts the result."""
     import operator
     import os
     import re
 
     import numpy as np
+    import pyarrow.compute as pc
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task keeps to its core
@@ -58,49 +58,50 @@ def encoder(tokenizer_file: str):
     vocabulary = tok.get_vocab()
     ends_word = np.zeros(1 + max(vocabulary.values()), bool)
     ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-    letters = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
-    plain = re.compile(f"^({letters})([.,:;!?$*&%#|]*)$", re.MULTILINE)
-    known: dict[str, bytes] = {}    # words as they stand between spaces
-    parts: dict[str, bytes] = {"": b""}    # lower-case letters, or signs
-
-    def ids(s: str):
-        return np.asarray(tok.encode(s, add_special_tokens=False).ids, "<u4")
-
-    def learn(words: list[str], encoding) -> None:
-        """Lower-case words of plain letters, encoded together."""
-        found = np.asarray(encoding.ids, "<u4")
-        cuts = np.r_[0, np.nonzero(ends_word[found])[0] + 1]
-        if len(cuts) != len(words) + 1 or cuts[-1] != len(found):
-            parts.update((w, ids(w).tobytes()) for w in words)
-            return
-        data = found.tobytes()
-        cuts = (cuts * 4).tolist()
-        parts.update(zip(words, (data[i:j] for i, j in zip(cuts, cuts[1:]))))
-
-    def encode(texts: list[str]) -> list[bytes]:
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        if len(parts) > CACHE_WORDS:
-            parts.clear()
-            parts[""] = b""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*words).difference(known)
-        # no word holds a line feed, so one search over all new words parts them
-        cut = plain.findall("\n".join(new))
-        written, signs = ([x[i] for x in cut] for i in (0, 1))
-        cores = "\n".join(written).lower().split("\n") if cut else []
-        missing = list(set(cores).difference(parts))
-        groups = [missing[at:at + 1000] for at in range(0, len(missing), 1000)]
+    # every word is one line: letters and then signs, or anything else
+    parts = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,:;!?$*&%#|]*)|([^\\n]*))$", re.MULTILINE)
+
+    def ids(s: str) -> bytes:
+        return np.asarray(tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def plain(words: list[str]) -> dict[str, bytes]:
+        """Ids of lower-case words of plain letters, encoded together."""
+        out = {"": b""}
+        groups = [words[at:at + 1000] for at in range(0, len(words), 1000)]
         for own, encoding in zip(groups, tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-            learn(own, encoding)
-        for x in set(signs).difference(parts):
-            parts[x] = ids(x).tobytes()
-        done = list(map(operator.add, written, signs))
-        known.update(zip(done, map(operator.add, map(parts.__getitem__, cores), map(parts.__getitem__, signs))))
-        if len(done) < len(new):
-            for w in new.difference(done):
-                known[w] = ids(w).tobytes() if w else b""
-        return [b"".join(map(known.__getitem__, own)) for own in words]
+            found = np.asarray(encoding.ids, "<u4")
+            cuts = np.r_[0, np.nonzero(ends_word[found])[0] + 1]
+            if len(cuts) != len(own) + 1 or cuts[-1] != len(found):
+                out.update((w, ids(w)) for w in own)
+                continue
+            data, cuts = found.tobytes(), (cuts * 4).tolist()
+            out.update(zip(own, (data[i:j] for i, j in zip(cuts, cuts[1:]))))
+        return out
+
+    def encode(texts):
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        names = words.dictionary.to_pylist()
+        cut = parts.findall("\n".join(names)) if names else []
+        cores = "\n".join([x[0] for x in cut]).lower().split("\n") if cut else []
+        signs = [x[1] for x in cut]
+        core_ids, sign_ids = plain(list(set(cores).difference([""]))), {x: ids(x) if x else b"" for x in set(signs)}
+        found = list(map(operator.add, map(core_ids.__getitem__, cores), map(sign_ids.__getitem__, signs)))
+        for i, x in enumerate(cut):
+            if x[2]:
+                found[i] = ids(x[2])
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        start, data = np.cumsum(size) - size, np.frombuffer(b"".join(found), "<u4")
+        at = words.indices.to_numpy()
+        each = size[at]
+        ends = np.cumsum(each, dtype=np.int64)
+        begins = np.r_[0, ends][lists.offsets.to_numpy()]
+        flat = np.empty(begins[-1], "<u4")
+        for i in range(0, len(at), 1 << 18):    # a stretch of words at a time bounds the index arrays
+            n, stop = each[i:i + (1 << 18)], ends[i:i + (1 << 18)]
+            first = stop[0] - n[0]
+            flat[first:stop[-1]] = data[np.repeat(start[at[i:i + (1 << 18)]] - (stop - n - first), n) + np.arange(stop[-1] - first)]
+        return flat, begins
 
     return encode
 
@@ -108,23 +109,30 @@ def encoder(tokenizer_file: str):
 def tokenized_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: each document's ids and an end
     id, cut only where longer than ``capacity``."""
+    def groups(column):
+        """Row ranges of about ``GROUP_CHARS`` bytes of text."""
+        import numpy as np
+        import pyarrow.compute as pc
+        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            stop = max(first + 1, int(np.searchsorted(ends, before + GROUP_CHARS, "right")))
+            yield first, stop
+            first = stop
+
     def run(batches):
         encode = encoder(tokenizer_file)
         end = int(end_id).to_bytes(4, "little")
         for b in batches:
-            rows = []
-            texts, size, ids_of = [], 0, b.column(0).to_pylist()
-            for i, text in enumerate(b.column(1)):
-                texts.append(text.as_py())
-                size += len(texts[-1])
-                if size < GROUP_CHARS and i + 1 < b.num_rows:
-                    continue
-                for doc, ids in zip(ids_of[i + 1 - len(texts):], encode(texts)):
-                    ids += end
+            rows, doc_ids = [], b.column(0).to_pylist()
+            for first, stop in groups(b.column(1)):
+                flat, begins = encode(b.column(1).slice(first, stop - first))
+                for doc, x, y in zip(doc_ids[first:stop], begins.tolist(), begins[1:].tolist()):
+                    ids = flat[x:y].tobytes() + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         cut = ids[at:at + 4 * capacity]
                         rows.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
-                texts, size = [], 0
             yield rows
 
     return map_rows(text_of(docs), run, "doc_id long, piece int, start long, length long, ids_crc32 long")

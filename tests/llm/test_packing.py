@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tesoro.llm import packing
@@ -45,9 +46,12 @@ def test_encoder_equals_the_tokenizer():
     encode = packing.encoder(FILE)
     texts = ["", " ", "Hello, WORLD!!", "it's don't CAN'T", "a\tb\x0bc d e\x1cf", "É é ΟΔΟΣ İstanbul ﬁ", "x<|endoftext|>y <|endoftext|>",
              "12 3.4,5 cọ́", "日本語 テスト", "á! b,́ ñ.", "ab'll we're ''s", "a  \n\n b\r\nc", "$$$word%%% WORD.## 🙂🙂 a🙂"]
-    for own in (texts, texts[::-1], [t.upper() + "..." for t in texts]):
-        for t, got in zip(own, encode(own)):
-            assert np.frombuffer(got, "<u4").tolist() + [0] == ids_of(t), repr(t)
+    for own in (texts, texts[::-1], [t.upper() + "..." for t in texts], ["a\n\nb"], []):
+        for at in range(min(2, len(own) + 1)):
+            flat, begins = encode(pa.array(["x"] * at + own, pa.string()).slice(at))
+            assert len(begins) == len(own) + 1
+            for t, x, y in zip(own, begins, begins[1:]):
+                assert flat[x:y].tolist() + [0] == ids_of(t), repr(t)
 
 
 def test_query_matches_brute_force(spark, docs_of):
