@@ -10,16 +10,25 @@ from pyspark.sql import functions as F
 from tesoro.session import scratch_path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared work folder and read it
-    back: cuts the lineage with files every executor can see."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back: cuts the lineage with files every executor can see.  The shuffle
+    files of the write are dropped when it ends; nothing reads them again."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,19 +76,20 @@ def smallest_labels(edges: DataFrame, a: str = "a", b: str = "b", name: str = "c
     node of an edge to another, with ``label`` the smallest node reachable.
 
     Alternates large-star and small-star steps.  Both only group a node with
-    its neighbourhood minimum (a partial aggregate and an equi join, so a hub
-    is never gathered in one task); every step is a written table, so a lost
-    executor repeats one step.  Ends when the edge set no longer changes.
+    its neighbourhood minimum: a partial aggregate, written as a table, and an
+    equi join with it, so the rows of a hub can be split over tasks.  Every
+    step is a written table, so a lost executor repeats one step.  Ends when
+    the edge set no longer changes.
     """
     e = stage(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
               .where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
     mark = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), name)
+        large = stage(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                      .where("u <> v").distinct(), name)
+        low2 = stage(large.groupBy("u").agg(F.min("v").alias("m")), name)
         small = (large.join(low2, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("s"))

@@ -58,8 +58,9 @@ def repeated_chunks(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     keys = stage(parts.where(n_lines(F.col("chunk")) >= min_lines)
                  .select("doc_id", "k1", "k2", "pos", F.xxhash64("chunk").alias("c"), F.length("chunk").alias("size")), "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "k1", "k2", "pos")
-    groups = (keys.groupBy("c", "size").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-              .where(F.col("first") != F.col("last")).select("c", "size", "first"))
+    # written, so that the join below can split a hot hash over tasks
+    groups = stage(keys.groupBy("c", "size").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                   .where(F.col("first") != F.col("last")).select("c", "size", "first"), "line-groups")
     asked = stage(keys.join(groups, ["c", "size"]).select(
         "k1", "k2", "pos", "c", "size",
         ((F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2")) & (F.col("pos") == F.col("first.pos"))).alias("is_first")).distinct(), "line-asked")

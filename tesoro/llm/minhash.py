@@ -224,7 +224,8 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
     """a, b: a spanning forest of the candidate pairs of every band's meeting."""
     bands = nodes.select("node", F.explode(F.array(*[
         F.xxhash64(F.lit(i), F.substring("regs", 2 * BAND * i + 1, 2 * BAND)) for i in range(BUCKETS // BAND)])).alias("key"))
-    sizes = bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    # written, so that the join with it can split a hot band over tasks
+    sizes = stage(bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "near-bands")
     met = bands.join(sizes, "key").withColumn("tiles", F.ceil(F.col("m") / (2 * TILE)))
     tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
     # every pair of tiles of a meeting is one group; a small meeting is one tile
