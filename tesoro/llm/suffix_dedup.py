@@ -21,10 +21,12 @@ judged on the input.
   the classes of equal windows at each offset; all but the earliest window of
   a class go.
 * Hot groups.  Stretches equal within one task's batch are reduced to the
-  earliest before the shuffle.  An anchor held by more than ``HOT_SHARE`` of
-  the documents (found on ``HOT_SAMPLE`` documents; at most about
-  ``1 / HOT_SHARE`` times the anchors of a document, so broadcast) is replaced
-  by the whole windows around it, whose hashes spread over all tasks.
+  earliest before the shuffle.  ``GRAM``-byte strings in more than
+  ``HOT_SHARE`` of the documents (found on ``HOT_SAMPLE`` documents; at most
+  the bytes of a document / ``HOT_SHARE`` of them, so broadcast) become
+  anchors only where a window has no other.  So a common line names no group
+  of its own: its windows are named by the text beside it, and windows within
+  a longer common passage are equal and reduced as above.
 
 Defined results: a null text is empty; rows equal in id and text count as one
 document; documents of one id are ordered by a hash of their text, null ids
@@ -41,8 +43,8 @@ from tesoro.llm.common import map_rows, row_keys, stage, text_of
 LENGTH = 100
 GRAM = 32
 PIECE = 1 << 19         # window starts handled at once
-HOT_SHARE = 0.001
-HOT_SAMPLE = 20_000
+HOT_SHARE = 0.001       # of the documents
+HOT_SAMPLE = 20_000     # documents
 _BASE, _MIX1, _MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 _PLACE_BITS = 28
 
@@ -79,20 +81,48 @@ class Prefixes:
         return (self.sums[end] - self.sums[start]) * self.inverse[start]
 
 
-def stretches(pieces: list[tuple[int, int, bytes]], length: int = LENGTH, gram: int = GRAM):
+class HotGrams:
+    """The frequent grams, by their hashes."""
+
+    def __init__(self, hashes):
+        import numpy as np
+        self.hashes = np.sort(np.asarray(hashes, dtype=np.int64).view(np.uint64))
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[self.hashes >> np.uint64(44)] = True
+
+    def mask(self, grams):
+        import numpy as np
+        out = self.seen[grams >> np.uint64(44)]
+        if len(self.hashes):
+            at = np.nonzero(out)[0]
+            near = np.minimum(np.searchsorted(self.hashes, grams[at]), len(self.hashes) - 1)
+            out[at] = self.hashes[near] == grams[at]
+        return out
+
+
+def stretches(pieces: list[tuple[int, int, bytes]], length: int = LENGTH, gram: int = GRAM, hot: HotGrams | None = None):
     """Stretches of ``pieces`` (document, place in it, bytes), as arrays:
     document, first window, number of windows, anchor's place in the first
-    window, anchor hash, stretch hash."""
+    window, anchor hash, stretch hash, and a byte of hash for the text right
+    and left of the anchor (0 where the piece ends before).
+
+    A window reaches at least half of the rest to the left or to the right of
+    its anchor, so stretches of one anchor share a window only if one of these
+    bytes agrees."""
     import numpy as np
     data = np.frombuffer(b"".join(p[2] for p in pieces), np.uint8)
     size = len(data)
     none = np.zeros(0, np.int64)
+    nothing = (none,) * 4 + (none.astype(np.uint64),) * 2 + (none,) * 2
     if size < length:
-        return (none,) * 4 + (none.astype(np.uint64),) * 2
+        return nothing
     h = Prefixes(data)
     at = np.arange(size - gram + 1)
     grams = _mix(h.part(at, at + gram))
-    key = (grams >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | at.astype(np.uint64)
+    # smallest hash first, then leftmost; frequent grams after all others
+    key = (grams >> np.uint64(_PLACE_BITS + 1) << np.uint64(_PLACE_BITS)) | at.astype(np.uint64)
+    if hot is not None:
+        key |= hot.mask(grams).astype(np.uint64) << np.uint64(63)
     wide, n = length - gram + 1, size - length + 1
     width = 1
     while 2 * width <= wide:
@@ -107,7 +137,7 @@ def stretches(pieces: list[tuple[int, int, bytes]], length: int = LENGTH, gram:
     np.add.at(step, ends, -1)
     window = np.nonzero(np.cumsum(step)[:n] == 0)[0]
     if not len(window):
-        return (none,) * 4 + (none.astype(np.uint64),) * 2
+        return nothing
     own = anchor[window]
     first = np.nonzero(np.r_[True, own[1:] != own[:-1]])[0]
     lo, count = window[first], np.diff(np.r_[first, len(window)])
@@ -116,7 +146,14 @@ def stretches(pieces: list[tuple[int, int, bytes]], length: int = LENGTH, gram:
     piece = np.searchsorted(ends, lo, "right")
     doc = np.array([p[0] for p in pieces], np.int64)[piece]
     place = np.array([p[1] for p in pieces], np.int64)[piece] + lo - starts[piece]
-    return doc, place, count, offset, grams[own[first]], whole
+    half, at = (length - gram) // 2, own[first]
+
+    def beside(start, end):
+        inside = (start >= starts[piece]) & (end <= ends[piece])
+        start, end = np.where(inside, start, 0), np.where(inside, end, 0)
+        return np.where(inside, 1 + (_mix(h.part(start, end)) >> np.uint64(32)) % np.uint64(255), 0).astype(np.int64)
+
+    return (doc, place, count, offset, grams[at], whole, beside(at, at + length - half), beside(at - half - 1, at + gram))
 
 
 def _pieces(texts, length: int):
@@ -138,109 +175,100 @@ def _pieces(texts, length: int):
         yield group
 
 
-#: geo packs a stretch's first window, number of windows, anchor place and ``gone``.
+#: geo packs the bytes of the text beside the anchor, a stretch's first
+#: window, number of windows, anchor place and ``gone``.
 _STRETCH = "anchor long, whole long, doc_id long, k1 long, geo long"
 
 
-def packed_geo(lo, n, off, gone):
+def packed_geo(lo, n, off, gone, right=0, left=0):
     import numpy as np
-    return (lo << 15) | (n.astype(np.int64) << 8) | (off.astype(np.int64) << 1) | gone.astype(np.int64)
+    return (right << 54) | (left << 46) | (lo << 15) | (n.astype(np.int64) << 8) | (off.astype(np.int64) << 1) | gone.astype(np.int64)
 
 
 def unpacked_geo(geo):
-    """lo, n, off, gone"""
-    return geo >> 15, (geo >> 8) & 127, (geo >> 1) & 127, (geo & 1).astype(bool)
+    """lo, n, off, gone, right, left"""
+    return (geo >> 15) & 0x7FFFFFFF, (geo >> 8) & 127, (geo >> 1) & 127, (geo & 1).astype(bool), geo >> 54, (geo >> 46) & 255
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, k1, text.  k1 tells rows of one id apart; it is 0 where the ids
-    are unique, which spares its bytes in every shuffle."""
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """(doc_id, k1, text; whether the ids are unique).  k1 tells rows of one
+    id (or of none) apart; it is 0 where the ids are unique, which spares its
+    bytes in every shuffle."""
     n = docs.agg(F.count("*").alias("n"), F.count_distinct(F.col("doc_id").cast("long")).alias("d")).first()
     rows = row_keys(text_of(docs)).select("doc_id", "k1", "text")
-    return rows.withColumn("k1", F.lit(0).cast("long")) if n["n"] == n["d"] else rows
+    unique = n["n"] == n["d"]
+    return (rows.withColumn("k1", F.lit(0).cast("long")) if unique else rows), unique
+
+
+def same_document(a: str, b: str):
+    """Join condition on doc_id and k1 (which also tells a null id)."""
+    none = F.lit(0).cast("long")
+    return (F.coalesce(F.col(f"{a}.doc_id"), none) == F.coalesce(F.col(f"{b}.doc_id"), none)) & (F.col(f"{a}.k1") == F.col(f"{b}.k1"))
 
 
 def stretch_rows(rows: DataFrame, hot: list[int], length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """One row a stretch; ``gone`` where an equal one stands earlier in the
     same batch (its anchor is then a mere spreading key)."""
-    hot_keys = sorted(hot)
-
-    def windows(group, row, lo, n):
-        """Rows, places and hashes of the single windows of stretches."""
-        import numpy as np
-        data = np.frombuffer(b"".join(p[2] for p in group), np.uint8)
-        base = np.cumsum([0] + [len(p[2]) for p in group])
-        at = {(p[0], p[1]): int(x) - p[1] for p, x in zip(group, base)}
-        shift = np.array([at[r, x // PIECE * PIECE] for r, x in zip(row.tolist(), lo.tolist())], np.int64)
-        i = np.repeat(np.arange(len(lo)), n)
-        place = lo[i] + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-        start = place + shift[i]
-        return row[i], place, _mix(Prefixes(data).part(start, start + length)).view(np.int64)
-
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        hot_set = np.array(hot_keys, np.int64)
+        frequent = HotGrams(hot)
         for b in batches:
             ids = b.column(0)
             order_id = ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
             k1 = b.column(1).to_numpy(zero_copy_only=False)
-
-            def first(row, lo, n, off, a, s):
-                """Sorted columns, without repeated rows, and ``gone``."""
-                by = np.lexsort((lo, k1[row], order_id[row], s, a))
-                row, lo, n, off, a, s = (x[by] for x in (row, lo, n, off, a, s))
-                equal = np.r_[False, (a[1:] == a[:-1]) & (s[1:] == s[:-1])] if len(a) else np.zeros(0, bool)
-                twice = equal & np.r_[False, (lo[1:] == lo[:-1]) & (k1[row][1:] == k1[row][:-1]) & (order_id[row][1:] == order_id[row][:-1])] if len(a) else equal
-                return [x[~twice] for x in (row, lo, n, off, a, s, equal)]
-
-            parts, hot_parts = [], []
-            for group in _pieces(b.column(2), length):
-                row, lo, n, off, a, s = stretches(group, length, gram)
-                parts.append((row, lo, n, off, a.view(np.int64), s.view(np.int64)))
-                is_hot = np.isin(a.view(np.int64), hot_set) if len(hot_set) else np.zeros(len(a), bool)
-                if is_hot.any():
-                    # whole windows instead of the hot anchor, of the first of equal stretches
-                    _, one = np.unique(np.stack([a[is_hot], s[is_hot]]), axis=1, return_index=True)
-                    one = np.nonzero(is_hot)[0][np.sort(one)]
-                    hot_parts.append((*windows(group, row[one], lo[one], n[one]), a[one].view(np.int64)))
+            parts = [stretches(group, length, gram, frequent) for group in _pieces(b.column(2), length)]
             if not parts:
                 continue
-            row, lo, n, off, a, s, gone = first(*(np.concatenate(x) for x in zip(*parts)))
-            if hot_parts:
-                keep = gone | ~np.isin(a, hot_set)
-                w_row, w_lo, w = (np.concatenate(x) for x in list(zip(*hot_parts))[:3])
-                ones, zeros = np.ones(len(w), np.int64), np.zeros(len(w), np.int64)
-                own = first(w_row, w_lo, ones, zeros, w, _mix(w.view(np.uint64) + np.uint64(1)).view(np.int64))
-                row, lo, n, off, a, s, gone = (np.r_[x[keep], y] for x, y in zip((row, lo, n, off, a, s, gone), own))
-            a = np.where(gone, _mix((k1[row] * 31 + order_id[row] + lo * 7).view(np.uint64)).view(np.int64), a)
+            row, lo, n, off, a, s, right, left = (np.concatenate(x) for x in zip(*parts))
+            a, s = a.view(np.int64), s.view(np.int64)
+            by = np.lexsort((lo, k1[row], order_id[row], s, a))
+            row, lo, n, off, a, s, right, left = (x[by] for x in (row, lo, n, off, a, s, right, left))
+            gone = np.r_[False, (a[1:] == a[:-1]) & (s[1:] == s[:-1])] if len(a) else np.zeros(0, bool)
+            if gone.any():      # but a repeated row of one document is that document
+                twice = gone & np.r_[False, (lo[1:] == lo[:-1]) & (k1[row][1:] == k1[row][:-1]) & (order_id[row][1:] == order_id[row][:-1])]
+                row, lo, n, off, a, s, right, left, gone = (x[~twice] for x in (row, lo, n, off, a, s, right, left, gone))
+                a, s = np.where(gone, (lo + row * 31) & 0xFFFF, a), np.where(gone, 0, s)
+                right, left = np.where(gone, 0, right), np.where(gone, 0, left)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(s), ids.take(pa.array(row)), pa.array(k1[row]), pa.array(packed_geo(lo, n, off, gone))],
+                [pa.array(a), pa.array(s), ids.take(pa.array(row)), pa.array(k1[row]), pa.array(packed_geo(lo, n, off, gone, right, left))],
                 names=["anchor", "whole", "doc_id", "k1", "geo"])
 
     return rows.mapInArrow(run, _STRETCH)
 
 
-def hot_anchors(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, share: float = HOT_SHARE, sample: int = HOT_SAMPLE) -> list[int]:
-    """Anchors with more different stretches than ``share`` of a sample of
-    documents.  They only decide how work is dealt out, never what is found."""
+def hot_grams(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, share: float = HOT_SHARE, sample: int = HOT_SAMPLE) -> list[int]:
+    """Hashes of the grams that a sample shows more often than ``share`` of
+    its documents.  They only decide how work is dealt out, never what is
+    found."""
     total = rows.count()
     every = max(1, total // sample)
     part = rows.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(every)) == 0)
 
+    def frequent(found, kind=None):
+        import numpy as np
+        key, n = (np.concatenate(x) for x in zip(*found))
+        names, of = np.unique(key, return_inverse=True)
+        n = np.bincount(of, n, len(names)).astype(np.int64)
+        names, n = names[n > 1], n[n > 1]
+        return (names if kind is None else names.view(kind)), n
+
     def run(batches):
         import numpy as np
         for b in batches:
-            found = [stretches(g, length, gram)[4:] for g in _pieces(b.column(2), length)]
+            found: list[tuple] = []
+            for group in _pieces(b.column(2), length):
+                data = np.frombuffer(b"".join(p[2] for p in group), np.uint8)
+                at = np.arange(len(data) - gram + 1)
+                found.append(np.unique(_mix(Prefixes(data).part(at, at + gram)), return_counts=True))
+                if sum(len(k) for k, _ in found) > 4_000_000:   # bounds the memory; a gram seen once so far is not frequent
+                    found = [frequent(found)]
             if found:
-                a, s = (np.concatenate(x) for x in zip(*found))
-                pairs = np.unique(np.stack([a, s]), axis=1)
-                key, n = np.unique(pairs[0], return_counts=True)
-                yield [(int(x), int(c)) for x, c in zip(key.view(np.int64), n) if c > 1]
+                yield [(int(x), int(c)) for x, c in zip(*frequent(found, np.int64))]
 
-    counts = map_rows(part, run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    counts = map_rows(part, run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     least = max(20, int(share * min(total, sample)))
-    return [r["anchor"] for r in counts.where(F.col("n") > least).collect()]
+    return [r["gram"] for r in counts.where(F.col("n") > least).collect()]
 
 
 def _carried(batches, key: str):
@@ -263,9 +291,10 @@ def _carried(batches, key: str):
 
 
 def judged_stretches(rows: DataFrame) -> DataFrame:
-    """Stretches that go as a whole (``gone``) and the earliest ones of
-    anchors with several different stretches; all others are dropped."""
-    place = [F.col("doc_id").isNull(), "doc_id", "k1", "geo"]
+    """Stretches that go as a whole (``gone``) and, of anchors with several
+    different stretches, the earliest ones that may share a window with
+    another; all others are dropped."""
+    place = [F.col("doc_id").isNull(), "doc_id", "k1", F.col("geo").bitwiseAND(F.lit((1 << 46) - 1))]   # lo leads
     placed = rows.repartition("anchor").sortWithinPartitions("anchor", "whole", *place)
 
     def run(batches):
@@ -274,16 +303,22 @@ def judged_stretches(rows: DataFrame) -> DataFrame:
         for t in _carried(batches, "anchor"):
             a, s, k1, geo = (t.column(c).to_numpy() for c in ("anchor", "whole", "k1", "geo"))
             ids = t.column("doc_id").fill_null(np.iinfo(np.int64).max).to_numpy()
-            lo, n, off, gone = unpacked_geo(geo)
+            lo, n, off, gone, right, left = unpacked_geo(geo)
             new_a = np.r_[True, a[1:] != a[:-1]]
             new = new_a | np.r_[True, s[1:] != s[:-1]]
             # the same place twice: a document whose row is repeated
             twice = ~new & np.r_[False, (ids[1:] == ids[:-1]) & (k1[1:] == k1[:-1]) & (lo[1:] == lo[:-1])]
             different = np.add.reduceat((new & ~gone).astype(np.int64), np.nonzero(new_a)[0])[np.cumsum(new_a) - 1]
-            start = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
+            start = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))   # the earliest equal stretch
             same_place = (ids == ids[start]) & (k1 == k1[start]) & (lo == lo[start])
             gone = gone | ~(new | same_place)
-            keep = pa.array(~twice & (gone | (different > 1)))
+            group = np.cumsum(new_a)
+            alike = np.zeros(len(a), bool)
+            for side in (right, left):
+                own = np.nonzero(new & ~gone & (different > 1) & (side > 0))[0]
+                _, of, count = np.unique(group[own] * 256 + side[own], return_inverse=True, return_counts=True)
+                alike[own] |= count[of] > 1
+            keep = pa.array(~twice & (gone | alike))
             yield pa.RecordBatch.from_arrays(
                 [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (
                     c.filter(keep) for c in (t.column("anchor"), t.column("doc_id"), t.column("k1"), pa.array(packed_geo(lo, n, off, gone))))],
@@ -458,19 +493,21 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> t
     """From :func:`keyed` rows: (texts of documents with repeats: doc_id, k1,
     text and ``own``, an array of (lo, n) windows that go; more windows:
     doc_id, k1, lo, n)."""
-    judged = judged_stretches(stretch_rows(rows, hot_anchors(rows, length, gram), length, gram))
-    by_doc = judged.groupBy("doc_id", "k1").agg(F.collect_list(F.struct("anchor", "geo")).alias("own"))
-    t, d = rows.alias("t"), by_doc.alias("d")
-    held = stage(t.join(d, F.col("t.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("t.k1") == F.col("d.k1")))
-                 .select("t.doc_id", "t.k1", "t.text", "d.own").dropDuplicates(["doc_id", "k1"]), "suffix-texts")
+    judged = judged_stretches(stretch_rows(rows, hot_grams(rows, length, gram), length, gram))
+    gone = F.col("geo").bitwiseAND(F.lit(1)) == 1
+    # each of the large shuffles (stretches, texts) belongs to a written step of its own
+    by_doc = stage(judged.groupBy("doc_id", "k1").agg(F.collect_list(F.struct(
+        F.when(gone, F.lit(0).cast("long")).otherwise(F.col("anchor")).alias("anchor"), "geo")).alias("own")), "suffix-judged")
+    held = rows.alias("t").join(by_doc.alias("d"), same_document("t", "d")).select("t.doc_id", "t.k1", "t.text", "d.own")
+    held = stage(held, "suffix-texts")
     geo = lambda s: s["geo"]
-    lo, n = (lambda s: F.shiftright(geo(s), 15)), (lambda s: F.shiftright(geo(s), 8).bitwiseAND(F.lit(127)).cast("int"))
+    lo, n = (lambda s: F.shiftright(geo(s), 15).bitwiseAND(F.lit(0x7FFFFFFF))), (lambda s: F.shiftright(geo(s), 8).bitwiseAND(F.lit(127)).cast("int"))
     asked = (held.select("doc_id", "k1", F.encode("text", "UTF-8").alias("bytes"), F.explode(F.filter("own", lambda s: geo(s).bitwiseAND(F.lit(1)) == 0)).alias("s"))
              .select("doc_id", "k1", "s.anchor", lo(F.col("s")).alias("lo"), n(F.col("s")).alias("n"),
                      F.shiftright("s.geo", 1).bitwiseAND(F.lit(127)).cast("int").alias("off"),
                      F.substring("bytes", lo(F.col("s")).cast("int") + 1, n(F.col("s")) + (length - 1)).alias("data")))
     own = F.transform(F.filter("own", lambda s: geo(s).bitwiseAND(F.lit(1)) == 1), lambda s: F.struct(lo(s).alias("lo"), n(s).alias("n")))
-    return held.withColumn("own", own), sorted_groups(asked, length, gram)
+    return held.withColumn("own", own), stage(sorted_groups(asked, length, gram), "suffix-windows")
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -478,12 +515,11 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     bytes; null where nothing is removed)."""
     if not 8 <= gram <= length < gram + 127:
         raise ValueError("gram must be 8 to length, and length less than gram + 127")
-    texts = keyed(docs)
-    held, more = repeated_spans(texts, length, gram)
+    texts, unique = keyed(docs)
+    held, more = repeated_spans(texts if unique else texts.dropDuplicates(["doc_id", "k1"]), length, gram)
     extra = more.groupBy("doc_id", "k1").agg(F.collect_list(F.struct("lo", "n")).alias("extra"))
-    h, e = held.alias("h"), extra.alias("e")
     spans = F.when(F.col("e.extra").isNull(), F.col("h.own")).otherwise(F.concat("h.own", "e.extra"))
-    rows = (h.join(e, F.col("h.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("h.k1") == F.col("e.k1")), "left")
+    rows = (held.alias("h").join(extra.alias("e"), same_document("h", "e"), "left")
             .select("h.doc_id", "h.k1", "h.text", spans.alias("spans")).where(F.size("spans") > 0))
 
     def cut(batches):
@@ -504,8 +540,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
 
     cuts = map_rows(rows, cut, "doc_id long, k1 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     base = texts.select("doc_id", "k1", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
-    b, c = base.alias("b"), cuts.alias("c")
-    return (b.join(c, F.col("b.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("b.k1") == F.col("c.k1")), "left")
+    return (base.alias("b").join(cuts.alias("c"), same_document("b", "c"), "left")
             .select("b.doc_id", "b.n_bytes", F.coalesce("c.n_removed", F.lit(0).cast("long")).alias("n_removed"),
                     F.coalesce("c.n_spans", F.lit(0).cast("long")).alias("n_spans"),
                     F.coalesce("c.kept_sha256", "b.whole").alias("kept_sha256"), "c.kept"))

@@ -94,7 +94,7 @@ def test_hot_groups_pieces_and_small_grams(spark, docs_of, monkeypatch):
     want = brute(rows)
     assert got(sd.suffix_dedup(docs_of(rows))) == want
     monkeypatch.setattr(sd, "PIECE", 150)
-    assert sd.hot_anchors(sd.keyed(docs_of(rows)))
+    assert sd.hot_grams(sd.keyed(docs_of(rows))[0])
     assert got(sd.suffix_dedup(docs_of(rows))) == want
     assert got(sd.suffix_dedup(docs_of(rows), gram=12)) == want
 
