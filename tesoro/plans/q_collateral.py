@@ -82,6 +82,9 @@ FROM (
     ON v.bank_id = r.bank_id AND v.report_date = r.report_date)
 """, "report_days", "exposure", "trade_mtm")
 
+# Fixed values that must equal the reference's policy, as in
+# tesoro.operators.collateral: margin 5 %, buffer 500,000, smallest move
+# 50,000, moves in steps of 10,000.
 cte("coll_rec", """
 SELECT bank_id, 1 AS rn, CAST(0 AS DECIMAL(20,4)) AS posted FROM coll_series WHERE rn = 1
 UNION ALL
