@@ -14,6 +14,10 @@ template's distinct words.  The join is exact set similarity with filters:
 * positional: the words left after the first common one in either ordered
   list must still reach ``need``; survivors are verified on full sets.
 
+With ``marks``, a notice that holds one of its label's marks (word runs that
+tell it from its siblings: "lesser general public", "by sa") is met only by a
+block in which a mark of that label stands, word after word.
+
 The templates are part of the library (a fixed list), so they travel with the
 tasks.  Phrase places (the base labels) come from the same word list.
 
@@ -23,7 +27,7 @@ repeated ones and null ids; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +67,19 @@ TEMPLATES = [
     ("proprietary", "All rights reserved No part of this publication may be reproduced without prior written permission"),
 ]
 
+# Word runs that tell a license from those with almost the same notice.
+MARKS = {
+    "mit": ["mit license"],
+    "apache": ["apache license"],
+    "gpl": ["gnu general public license"],
+    "lgpl": ["lesser general public license"],
+    "agpl": ["affero general public license"],
+    "cc-by": ["cc by"],
+    "cc-by-nc": ["by nc"],
+    "cc-by-sa": ["by sa", "by nc sa"],
+    "cc-by-nd": ["by nd", "by nc nd"],
+}
+
 
 def _word_sets(templates) -> list[tuple[str, set[bytes]]]:
     return [(label, set(ascii_words(text))) for label, text in templates]
@@ -87,43 +104,50 @@ def template_frequencies(docs: DataFrame, templates=TEMPLATES) -> dict[bytes, in
     return {w: 0 for w in universe} | {bytes(r["word"]): r["n"] for r in rows}
 
 
+def _holds(words: Sequence[bytes], run: list[bytes]) -> bool:
+    return any(words[i:i + len(run)] == run for i, w in enumerate(words) if w == run[0])
+
+
 class TemplateIndex:
     """Prefix index over templates in the corpus's frequency order."""
 
-    def __init__(self, frequencies: dict[bytes, int], templates=TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, frequencies: dict[bytes, int], templates=TEMPLATES, threshold: float = THRESHOLD, marks=None):
         self.rank = {w: i for i, (_, w) in enumerate(sorted((n, w) for w, n in frequencies.items()))}
         self.templates = []
         self.prefix: dict[bytes, list[int]] = {}
-        for label, words in _word_sets(templates):
+        for (label, words), (_, notice) in zip(_word_sets(templates), templates):
+            own = [ascii_words(m) for m in (marks or {}).get(label, ())]
+            own = own if any(_holds(ascii_words(notice), m) for m in own) else []
             ordered = sorted(words, key=self.rank.__getitem__)
             need = max(1, -(-round(threshold * 1000) * len(ordered) // 1000))
             for w in ordered[:len(ordered) - need + 1]:
                 self.prefix.setdefault(w, []).append(len(self.templates))
-            self.templates.append((label, ordered, need))
+            self.templates.append((label, ordered, need, own))
 
-    def matches(self, block: Iterable[bytes]) -> list[tuple[str, float]]:
+    def matches(self, block: Sequence[bytes]) -> list[tuple[str, float]]:
         """(label, containment) of every template that the block meets."""
         held = sorted((w for w in set(block) if w in self.rank), key=self.rank.__getitem__)
         place = {w: j for j, w in enumerate(held)}
         out = []
         for t in sorted({t for w in held for t in self.prefix.get(w, ())}):
-            label, words, need = self.templates[t]
+            label, words, need, own = self.templates[t]
             if len(held) < need:
                 continue
             i = next(i for i, w in enumerate(words) if w in place)
             if 1 + min(len(words) - i - 1, len(held) - place[words[i]] - 1) < need:
                 continue
             common = sum(w in place for w in words)
-            if common >= need:
+            if common >= need and (not own or any(_holds(block, m) for m in own)):
                 out.append((label, common / len(words)))
         return out
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD, step: int = STEP) -> DataFrame:
+def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD, step: int = STEP,
+                 marks: dict[str, list[str]] | None = None) -> DataFrame:
     """Per document: n_words, n_base, first_word, last_word, base_labels,
     labels, score (the largest containment met; 1 where a base phrase stands;
     else 0) and blocks (label, first word, containment) of matching blocks."""
-    index = TemplateIndex(template_frequencies(docs, templates), templates, threshold)
+    index = TemplateIndex(template_frequencies(docs, templates), templates, threshold, marks)
     wanted: dict[bytes, list[tuple[list[bytes], str]]] = {}
     for text, label in phrases:
         words = ascii_words(text)

@@ -32,7 +32,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_scan(table(spark, sf_dir, "documents"))
+    return licenses.license_scan(table(spark, sf_dir, "documents"), marks=licenses.MARKS)
 
 
 @query

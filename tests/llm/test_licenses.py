@@ -51,3 +51,20 @@ def test_scan_matches_brute_force(spark, docs_of):
 
 def test_empty_table(docs_of):
     assert lic.license_scan(docs_of([])).collect() == []
+
+
+def test_marks_tell_sibling_notices_apart(docs_of):
+    rows = [(1, "Licensed under the GNU General Public License."), (2, "Licensed under CC BY-NC 4.0"), (3, "Licensed under CC BY 4.0"),
+            (4, "This work is licensed under the GNU Lesser General Public License version 3"), (5, "licensed under the GNU Affero General Public License"),
+            (6, "Licensed under CC BY-SA 3.0"), (7, "licensed under CC BY-NC-SA 4.0"), (8, "released mit under the new license"),
+            (9, "Released under the MIT License"), (10, "sa mère: licensed under CC BY 4.0"), (11, lic.TEMPLATES[1][1])]
+    got = {r.doc_id: r.labels for r in lic.license_scan(docs_of(rows), marks=lic.MARKS).collect()}
+    assert got == {1: "gpl", 2: "cc-by,cc-by-nc", 3: "cc-by", 4: "lgpl", 5: "agpl", 6: "cc-by,cc-by-sa", 7: "cc-by,cc-by-nc,cc-by-sa", 8: "",
+                   9: "mit", 10: "cc-by", 11: "mit"}
+
+
+def test_query_uses_marks(spark):
+    from tesoro.llm.queries import QUERIES
+    labels = [(set(filter(None, r.base_labels.split(","))), set(filter(None, r.labels.split(",")))) for r in QUERIES["op3_license_scans"](spark, "/root/testdata/sf0.01").collect()]
+    assert any("gpl" in b for b, _ in labels)
+    assert not any({"lgpl", "agpl"} <= a or {"cc-by-sa", "cc-by-nd"} <= a for _, a in labels)
