@@ -13,6 +13,11 @@ documents is one row a task.  Texts are shuffled by document, never by chunk
 hash, except the chunks that occur more than once, for their comparison; that
 join has one row a hash on one side, and a hot hash on the other can be split.
 
+``whole_runs`` takes every two neighbouring lines instead of the chunks: a run
+of ``MIN_LINES`` lines or more that stands earlier in the corpus is made of
+pairs that do, so all its lines go whatever surrounds it.  The earliest place
+of a line is never removed.
+
 Defined results: null texts are left as they are; empty lines are lines; rows
 equal in id and text count as one document (both get its text); null ids come
 last in the order; other columns are kept as they are.
@@ -77,22 +82,57 @@ def repeated_chunks(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return same.groupBy("k1", "k2").agg(F.collect_set("pos").alias("removed"))
 
 
-def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, counts: bool = True) -> DataFrame:
-    """docs with the repeated chunks cut out of ``text``, all other columns
-    as they are; with ``counts``, n_lines, n_removed (lines) and n_chunks
-    (removed) follow (with underscores before a name that docs has)."""
-    found = repeated_chunks(docs, min_lines)
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """k1, k2 (of the row), removed: places of the lines in a pair of lines
+    that stands earlier, without overlap."""
+    texts = row_keys(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL"))
+    lines = F.split("text", "\n", -1)
+    hashed = texts.where(F.instr("text", "\n") > 0).select("doc_id", "k1", "k2", F.transform(lines, lambda x: F.xxhash64(x)).alias("h"))
+    pairs = F.zip_with(F.slice("h", F.lit(1), F.size("h") - 1), F.slice("h", F.lit(2), F.size("h") - 1), lambda a, b: F.xxhash64(a, b))
+    keys = stage(hashed.select("doc_id", "k1", "k2", F.posexplode(pairs).alias("pos", "c")), "line-pairs")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "k1", "k2", "pos")
+    # written, so that the join below can split a hot hash over tasks
+    groups = stage(keys.groupBy("c").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                   .where(F.col("first") != F.col("last")).select("c", "first"), "line-groups")
+    same_row = (F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2"))
+    asked = stage(keys.join(groups, "c").where(~(same_row & (F.col("pos") == F.col("first.pos") + 1)))
+                  .select("k1", "k2", "pos", "c", (same_row & (F.col("pos") == F.col("first.pos"))).alias("is_first")).distinct(), "line-asked")
+    by_doc = asked.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "c", "is_first")).alias("asked"))
+    with_text = (texts.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]).join(by_doc, ["k1", "k2"])
+                 .select("k1", "k2", "asked", lines.alias("lines")))
+    beside = stage(with_text.select("k1", "k2", F.explode(F.transform("asked", lambda a: F.struct(
+        a["pos"].alias("pos"), a["c"].alias("c"), a["is_first"].alias("is_first"),
+        F.concat_ws("\n", F.col("lines")[a["pos"]], F.col("lines")[a["pos"] + 1]).alias("pair")))).alias("a")).select("k1", "k2", "a.*"), "line-texts")
+    first = beside.where("is_first").select("c", F.col("pair").alias("original"))
+    same = beside.where("NOT is_first").join(first, "c").where(F.col("pair") == F.col("original"))
+    return (same.groupBy("k1", "k2").agg(F.collect_set("pos").alias("at"))
+            .select("k1", "k2", F.array_sort(F.array_union("at", F.transform("at", lambda p: p + 1))).alias("removed")))
+
+
+def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, counts: bool = True, whole_runs: bool = False) -> DataFrame:
+    """docs with the repeated chunks (``whole_runs``: runs of two lines or
+    more) cut out of ``text``, all other columns as they are; with ``counts``,
+    n_lines, n_removed (lines) and n_chunks (removed; runs) follow (with
+    underscores before a name that docs has)."""
+    if whole_runs and min_lines != 2:
+        raise ValueError("whole runs are found from two lines on")
+    found = repeated_lines(docs) if whole_runs else repeated_chunks(docs, min_lines)
     a, b, gone, lines, cut, parts = fresh(docs, "_k1", "_k2", "_removed", "n_lines", "n_removed", "n_chunks")
     rows = row_keys(docs, a, b).join(found.withColumnsRenamed({"k1": a, "k2": b, "removed": gone}), [a, b], "left")
     text, removed = F.col("text"), F.col(gone)
-    kept = F.when(removed.isNull(), text).otherwise(unmarked(F.filter(chunks(text), lambda c, i: ~F.array_contains(removed, i))))
+    if whole_runs:
+        rest = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(removed, i)), "\n")
+    else:
+        rest = unmarked(F.filter(chunks(text), lambda c, i: ~F.array_contains(removed, i)))
+    kept = F.when(removed.isNull(), text).otherwise(rest)
     out = [kept.alias("text") if c == "text" else F.col(c) for c in docs.columns]
     if counts:
         n = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-        cut_lines = F.when(removed.isNull(), F.lit(0)).otherwise(
+        pieces = F.filter(removed, lambda i: ~F.array_contains(removed, i - 1)) if whole_runs else removed
+        cut_lines = F.when(removed.isNull(), F.lit(0)).otherwise(F.size(removed) if whole_runs else
             F.aggregate(F.filter(chunks(text), lambda c, i: F.array_contains(removed, i)), F.lit(0), lambda acc, c: acc + n_lines(c)))
         out += [F.coalesce(n, F.lit(0)).cast("long").alias(lines), cut_lines.cast("long").alias(cut),
-                F.coalesce(F.size(removed), F.lit(0)).alias(parts)]
+                F.coalesce(F.size(pieces), F.lit(0)).alias(parts)]
     return rows.select(*out)
 
 
