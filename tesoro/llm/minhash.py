@@ -303,7 +303,8 @@ def confirmed_edges(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
 def cluster_links(members: DataFrame, words: int, percent: int) -> DataFrame:
     """a, b: links that connect each cluster of ``members`` (cluster, node,
-    text) as the full sets do."""
+    k1, k2, text) as the full sets do.  A node whose id stands for several
+    texts has a row for each."""
     sizes = members.groupBy("cluster").agg(F.count("*").alias("m"), F.min("node").alias("center"))
     sizes = stage(sizes.withColumn("tiles", F.ceil(F.col("m") / TILE)), "near-sizes")
     rows = members.join(sizes, "cluster")
@@ -324,8 +325,8 @@ def cluster_links(members: DataFrame, words: int, percent: int) -> DataFrame:
     open_rows = mine.join(left, "cluster")
     one = (open_rows.where(F.col("label") != F.col("center")).withColumn("lo", part).withColumn("hi", F.explode(all_tiles)))
     two = open_rows.withColumn("hi", tile).withColumn("lo", F.explode(F.sequence(zero, F.col("parts") - 1)))
-    both = one.select("cluster", "lo", "hi", "node", "text").unionByName(two.select("cluster", "lo", "hi", "node", "text"))
-    both = both.dropDuplicates(["cluster", "lo", "hi", "node"])
+    both = one.select("cluster", "lo", "hi", "node", "k1", "k2", "text").unionByName(two.select("cluster", "lo", "hi", "node", "k1", "k2", "text"))
+    both = both.dropDuplicates(["cluster", "lo", "hi", "node", "k1", "k2"])
     return edges.unionByName(confirmed_edges(both, words, percent))
 
 
@@ -340,8 +341,8 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     cluster = smallest_labels(candidate_edges(nodes, percent / 100), name="near-candidates")
     wanted = nodes.select("node", "k1", "k2").join(cluster, "node").select("k1", "k2", "node", F.col("label").alias("cluster"))
     texts = row_keys(text_of(docs))
-    members = stage(wanted.join(texts.select("k1", "k2", "text"), ["k1", "k2"]).select("cluster", "node", "text")
-                    .dropDuplicates(["cluster", "node"]), "near-members")
+    members = stage(wanted.join(texts.select("k1", "k2", "text"), ["k1", "k2"]).select("cluster", "node", "k1", "k2", "text")
+                    .dropDuplicates(["cluster", "node", "k1", "k2"]), "near-members")
     label = smallest_labels(cluster_links(members, words, percent), name="near-components")
     named = (nodes.select("s1", "s2", "n", "node").join(label, "node", "left")
              .select("s1", "s2", "n", F.coalesce("label", "node").alias("c")))

@@ -103,3 +103,17 @@ def test_odd_rows(spark, docs_of):
     assert ids == sorted([1, 2, 3, 4, 6, 7, 8, None], key=str)
     assert mh.components(docs_of([])).collect() == []
     assert mh.keep_first(docs_of([])).collect() == []
+
+
+def test_every_text_of_a_repeated_id_is_compared(docs_of, monkeypatch):
+    rng = random.Random(13)
+    rows, nears = [], []
+    for i in range(0, 120, 3):
+        one, two = (" ".join(f"g{i}w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(2))
+        # one document near each text, so that both are in the cluster
+        rows += [(i, one), (i, two), (i + 1, one + " more"), (i + 2, two + " more")]
+        nears += [(i + 1, i), (i + 2, i)]
+    for tile in (mh.TILE, 2):
+        monkeypatch.setattr(mh, "TILE", tile)
+        label = {r.doc_id: r.component_id for r in mh.components(docs_of(rows)).collect()}
+        assert all(label[d] == c for d, c in nears)
