@@ -69,8 +69,8 @@ def banded_alignment(item: bytes, text: bytes, low: int, high: int, most: int) -
         new[(ends < 0) | (ends > n)] = far
         # text character added: cost grows by one for each step to the right
         k = np.arange(len(new))
-        low_at = np.minimum.accumulate((new - k) * 4096 + k)           # carries the place of the minimum
-        src = low_at % 4096
+        low_at = np.minimum.accumulate((new - k) * len(new) + k)       # carries the place of the minimum
+        src = low_at % len(new)
         cost, start = new[src] + k - src, first[src]
         cost[(ends < 0) | (ends > n)] = far
         if cost.min() > most:

@@ -68,3 +68,11 @@ def test_blocks_of_items_and_empty_tables(spark, docs_of, monkeypatch):
     assert sorted(map(str, dec.contaminated(docs_of(docs), bench).collect())) == one
     assert dec.contaminated(docs_of([]), bench).collect() == []
     assert dec.contaminated(docs_of(docs), bench.where("false")).collect() == []
+
+
+def test_band_of_many_diagonals():
+    rng = random.Random(12)
+    chars = lambda n: bytes(rng.choice(b"abcdefghij") for _ in range(n))
+    item, head = chars(300), chars(6000)
+    text = head + item[:100] + item[101:200] + b"z" + item[200:] + chars(50)
+    assert dec.banded_alignment(item, text, 0, 6100, 20) == (2, 6000, 6300)
