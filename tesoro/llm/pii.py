@@ -15,12 +15,20 @@ functions only.
 5. ``redact`` replaces spans: a base span by its kind, a term by a general
    label.
 
+``whole`` takes whole documents instead of contexts: co-occurrence counts
+every word of a document with every entity the document names, and a disclosed
+term is a span wherever it stands, in documents that don't name the entity
+too.  Entities and terms whose counts can't reach the thresholds are left out
+before pairs are made, which changes no result.
+
 The patterns are written so that each place of a text is tried once (no
 nested repetition that could be re-entered), so very long runs stay linear.
 
 Counts are partial aggregates by term and entity, so a word or an address in
 a third of all documents is summed before it is shuffled.  Texts are read
-twice and never shuffled; only contexts of base spans are.
+twice and never shuffled; only contexts of base spans are.  With ``whole`` they
+are read four times, and those that hold a disclosed term are shuffled by row
+key.
 
 Defined results: null texts are empty; every row is reported, repeated ones
 and null ids too (rows equal in id and text share one set of spans); other
@@ -52,6 +60,10 @@ PATTERNS = {
 #: A text without it holds no match.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 WORD = r"[\p{L}\p{N}]++"
+#: Words and what lies between them: together the whole text.
+PIECE = r"[\p{L}\p{N}]++|[^\p{L}\p{N}]++"
+#: Stands for a base span while the words around it are read; no letter, no digit.
+HOLE = "\ue000"
 
 
 def matches(text: Column, kind: str) -> Column:
@@ -102,9 +114,24 @@ def placed(text: Column, found: Column, pattern: str, context: int = 0) -> Colum
     return F.when(F.size(found) > 0, F.aggregate(beside, zero, step, lambda acc: acc["out"])).otherwise(zero["out"])
 
 
-def base_spans(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
+def free_words(text: Column, spans: Column) -> Column:
+    """The distinct words, in lower case, that touch no span."""
+    plain = F.translate(text, HOLE, " ")
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, s):
+        gap = F.substring(plain, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(gap, F.lit(HOLE))).alias("out"))
+
+    rest = F.aggregate(spans, zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(plain, acc["at"] + 1, F.length(plain))))
+    words = F.regexp_extract_all(rest, F.lit(r"[\p{L}\p{N}\x{E000}]++"), F.lit(0))
+    return F.array_distinct(F.transform(F.filter(words, lambda w: F.instr(w, HOLE) == 0), lambda w: F.lower(w)))
+
+
+def base_spans(docs: DataFrame, context: int = CONTEXT, words: bool = False) -> DataFrame:
     """doc_id, k1, k2 (row key) and ``spans``: array of (start, rank, kind,
-    end, value, left, right), by start and then kind."""
+    end, value, left, right), by start and then kind; with ``words`` the free
+    words of the rows with spans."""
     d = row_keys(text_of(docs))
     d = d.select("*", *[matches(F.col("text"), k).alias(f"m_{k}") for k in KINDS])
 
@@ -115,7 +142,11 @@ def base_spans(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
             s["value"].alias("value"), s["left"].alias("left"), s["right"].alias("right")))
 
     spans = [of_kind(rank, kind) for rank, kind in enumerate(KINDS)]
-    return d.select("doc_id", "k1", "k2", F.array_sort(F.concat(*spans)).alias("spans"))
+    if not words:
+        return d.select("doc_id", "k1", "k2", F.array_sort(F.concat(*spans)).alias("spans"))
+    free = F.when(F.size("spans") > 0, free_words(F.col("text"), F.col("spans"))).otherwise(F.array().cast("array<string>"))
+    return (d.select("doc_id", "k1", "k2", "text", F.array_sort(F.concat(*spans)).alias("spans"))
+            .select("doc_id", "k1", "k2", "spans", free.alias("words")))
 
 
 def context_terms(base: DataFrame) -> DataFrame:
@@ -163,9 +194,72 @@ def disclosed_terms(docs: DataFrame, base: DataFrame, context: DataFrame, min_do
             .where((F.col("share") >= min_share) & (F.col("bits") >= min_bits)))
 
 
-def personal_data(docs: DataFrame) -> DataFrame:
+def words_of(text: Column) -> Column:
+    """The distinct words in lower case."""
+    return F.array_distinct(F.transform(F.filter(F.split(text, r"[^\p{L}\p{N}]++"), lambda w: w != ""), lambda w: F.lower(w)))
+
+
+def whole_terms(docs: DataFrame, base: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE,
+                min_bits: float = MIN_BITS) -> DataFrame:
+    """entity, term, share, bits of the terms that exceed the thresholds,
+    counted over whole documents."""
+    total = float(max(base.count(), 1))
+    named = base.where(F.size("spans") > 0).dropDuplicates(["k1", "k2"])
+    names = named.select("k1", "k2", F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))).alias("entity"))
+    bits = lambda share: F.log2(share / (F.col("held") / F.lit(total)))
+    # a term's share is 1 at most and its documents with the entity are no more than the entity's
+    held = (names.groupBy("entity").agg(F.count("*").alias("held"))
+            .where((F.col("held") >= min_docs) & (bits(F.lit(1.0)) >= min_bits)))
+    names = stage(names.join(held, "entity"), "pii-names")
+    words = stage(named.join(names.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
+                  .select("k1", "k2", F.explode("words").alias("term")), "pii-words")
+    seen = (docs.select(F.explode(words_of(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("term"))
+            .groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= min_docs)
+            .join(words.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs), "term", "left_semi"))
+    share = F.least(F.col("both") / F.col("df"), F.lit(1.0))
+    return (words.join(seen, "term").join(names, ["k1", "k2"]).where(F.col("held") >= F.col("df") * min_share)
+            .groupBy("entity", "term", "df", "held").agg(F.count("*").alias("both")).where(F.col("both") >= min_docs)
+            .select("entity", "term", share.alias("share"), bits(share).alias("bits"))
+            .where((F.col("share") >= min_share) & (F.col("bits") >= min_bits)))
+
+
+def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """k1, k2, extra: the places of the terms in all documents."""
+    rows = row_keys(text_of(docs)).select("k1", "k2", "text")
+    holding = (rows.select("k1", "k2", F.explode(words_of(F.col("text"))).alias("term")).join(terms, "term", "left_semi")
+               .groupBy("k1", "k2").agg(F.collect_set("term").alias("terms")))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>").alias("out"))
+
+    def step(acc, piece):
+        end = acc["at"] + F.length(piece)
+        span = F.struct(acc["at"].alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(F.array_contains("terms", F.lower(piece)), F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+
+    holding = stage(holding, "pii-holding")
+    # keys alone first: a small table, so that only the texts concerned are shuffled
+    texts = stage(rows.join(stage(holding.select("k1", "k2"), "pii-keys"), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]), "pii-texts")
+    pieces = F.regexp_extract_all("text", F.lit(PIECE), F.lit(0))
+    return (texts.join(holding, ["k1", "k2"])
+            .select("k1", "k2", F.aggregate(pieces, zero, step, lambda acc: acc["out"]).alias("extra")))
+
+
+def whole_personal_data(docs: DataFrame) -> DataFrame:
+    base = stage(base_spans(docs, context=0, words=True), "pii-base")
+    terms = stage(whole_terms(docs, base).select("term").distinct(), "pii-terms")
+    plain = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
+    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
+    rows = (base.select("doc_id", "k1", "k2", plain.alias("base")).join(term_places(docs, terms), ["k1", "k2"], "left")
+            .select("doc_id", "k1", "k2", "base", F.coalesce("extra", none).alias("extra")))
+    free = F.filter("extra", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+    return rows.select("doc_id", "k1", "k2", "base", F.array_sort(F.concat(F.col("base"), free)).alias("spans"))
+
+
+def personal_data(docs: DataFrame, whole: bool = False) -> DataFrame:
     """doc_id, k1, k2, base and spans: arrays of (start, rank, kind, end),
-    ``spans`` with the disclosed terms."""
+    ``spans`` with the disclosed terms; ``whole``: found in whole documents,
+    not in the contexts of base spans alone."""
+    if whole:
+        return whole_personal_data(docs)
     base = stage(base_spans(docs), "pii-base")
     held = base.where(F.size("spans") > 0)
     context = stage(context_terms(held.dropDuplicates(["k1", "k2"])), "pii-context")

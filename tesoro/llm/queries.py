@@ -68,7 +68,7 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents"), whole=True))
 
 
 @query

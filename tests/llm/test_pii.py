@@ -97,3 +97,45 @@ def test_matches_brute_force(spark, docs_of):
 
 def test_empty_table(docs_of):
     assert pii.digest(pii.personal_data(docs_of([]))).collect() == []
+
+
+def whole_spans(rows):
+    """Brute force: every free word of a document counts with every entity, every place of a told term is a span."""
+    texts = [(d, t or "") for d, t in rows]
+    word = re.compile(r"[^\W_]+")
+    df, held, both = collections.Counter(), collections.defaultdict(set), collections.defaultdict(set)
+    for _, t in texts:
+        df.update({m[0].lower() for m in word.finditer(t)})
+    free = lambda t, b: [(m[0].lower(), *m.span()) for m in word.finditer(t) if not any(s < m.end() and e > m.start() for s, _, _, e in b)]
+    for key in set(texts):
+        b = base(key[1])
+        for e in {key[1][s:z].lower() for s, _, _, z in b}:
+            held[e].add(key)
+            for w in {w for w, _, _ in free(key[1], b)}:
+                both[e, w].add(key)
+    told = set()
+    for (e, w), keys in both.items():
+        share = min(1.0, len(keys) / df[w])
+        if len(keys) >= pii.MIN_DOCS and share >= pii.MIN_SHARE and math.log2(share / (len(held[e]) / len(texts))) >= pii.MIN_BITS:
+            told.add(w)
+    return [(d, base(t), sorted(base(t) + [(x, 4, "term", y) for w, x, y in free(t, base(t)) if w in told])) for d, t in texts]
+
+
+def far_cases():
+    far = "plain words only and more " * 12
+    rows = [(i, f"Xanadu {far} jo@far.example end {i} \ue000Xanadu éjo@far.example") for i in range(500, 504)]
+    return cases() + rows + [(510, "no entity, but XANADU\ue000is named"), (511, "1987 12 Karlsplatz 4111 1111 1111 1111 x"), (512, None)]
+
+
+def test_whole_documents_match_brute_force(docs_of):
+    rows = far_cases()
+    found = pii.personal_data(docs_of(rows), whole=True)
+    got = sorted((tuple(r) for r in pii.digest(found).collect()), key=str)
+    want = sorted(((d, *[sum(s[2] == k for s in b) for k in pii.KINDS], hashlib.sha256(text(b).encode()).hexdigest(), text(a))
+                   for d, b, a in whole_spans(rows)), key=str)
+    for g, w in zip(got, want):
+        assert g == w
+    assert len(got) == len(want)
+    clean = {r.doc_id: r.text for r in pii.redact(docs_of(rows), found).collect()}
+    assert "Xanadu" not in clean[500] and "XANADU" not in clean[510]
+    assert pii.digest(pii.personal_data(docs_of([]), whole=True)).collect() == []
