@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesoro.llm import decontaminate, licenses, line_dedup, minhash, packing, pii, quality, suffix_dedup, topk, toxicity
+from tesoro.llm import (decontaminate, licenses, line_dedup, minhash, packing, pii, quality, spelling, suffix_dedup, token_alignment, topk,
+                        toxicity)
 from tesoro.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +77,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokenizers
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), slip=97)
+
+
+ORACLE["op12_spelling_variants"] = spelling.ORACLE
+
+
 ORACLE["op8_exact_top_k"] = """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
