@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesoro.llm import (decontaminate, licenses, line_dedup, minhash, packing, pii, quality, spelling, suffix_dedup, token_alignment, topk,
-                        toxicity)
+from tesoro.llm import (decontaminate, licenses, line_dedup, minhash, packing, pii, quality, quality_rules, spelling, suffix_dedup,
+                        token_alignment, topk, toxicity)
 from tesoro.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op12_spelling_variants"] = spelling.ORACLE
 
 
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 ORACLE["op8_exact_top_k"] = """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
