@@ -71,6 +71,10 @@ def map_rows(df: DataFrame, fn: Callable, ddl: str) -> DataFrame:
     return df.mapInArrow(run, ddl)
 
 
+#: Rows of an edge table that make a task of their own.
+EDGE_ROWS = 200_000
+
+
 def smallest_labels(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
     """Connected components of ``edges`` (long ids): (node, label) for every
     node of an edge to another, with ``label`` the smallest node reachable.
@@ -78,29 +82,35 @@ def smallest_labels(edges: DataFrame, a: str = "a", b: str = "b", name: str = "c
     Alternates large-star and small-star steps.  Both only group a node with
     its neighbourhood minimum: a partial aggregate, written as a table, and an
     equi join with it, so the rows of a hub can be split over tasks.  Every
-    step is a written table, so a lost executor repeats one step.  Ends when
-    the edge set no longer changes.
+    step is a written table, so a lost executor repeats one step; it has as
+    many tasks as its edges fill, whatever the number of shuffle partitions.
+    Ends when every component is a star around its smallest node.
     """
     e = stage(edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
               .where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
-    mark = None
-    while True:
+    tasks = 1 + e.count() // EDGE_ROWS      # the edges never become more
+    if len(e.inputFiles()) > tasks:
+        e = stage(e.coalesce(tasks), name)
+    while _open_nodes(e).coalesce(tasks).take(1):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), name)
+        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")).coalesce(tasks), name)
         large = stage(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                      .where("u <> v").distinct(), name)
-        low2 = stage(large.groupBy("u").agg(F.min("v").alias("m")), name)
+                      .where("u <> v").distinct().coalesce(tasks), name)
+        low2 = stage(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks), name)
         small = (large.join(low2, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("s"))
             .select("s.*").where("u <> v").distinct())
-        e = stage(small, name)
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
-                    F.sum("v").alias("s")).first()
-        if now == mark:
-            found = e.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
-            return found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
-        mark = now
+        e = stage(small.coalesce(tasks), name)
+    found = e.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    return found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
+
+
+def _open_nodes(e: DataFrame) -> DataFrame:
+    """Nodes that keep edges (u, v), u > v, from being stars around the v."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        e.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)")
 
 
 #: Upper-case ASCII letters become lower case, every other ASCII byte that is

@@ -9,11 +9,11 @@
    default similarity 0.8 a linked pair misses all 32 bands with a chance of
    5e-8 (6e-11 at 0.85).
 4. Where nodes meet, the collision-corrected Jaccard estimate (less five
-   standard errors) and the sizes decide on candidates.  Only a spanning
-   forest of each meeting is written, never all its pairs.
+   standard errors) and the sizes decide on candidates.  Of each meeting only
+   its trees are written, as stars around their smallest node, never all pairs.
 5. Candidates are joined into clusters.  Within a cluster the links are
-   confirmed on full sets with integers, again as a spanning forest: a pair is
-   compared only while its two sides are not yet connected.
+   confirmed on full sets with integers, again as trees: a pair is compared
+   only while its two sides are not yet connected.
 
 Meetings and clusters of any size are cut into tiles of about ``TILE`` nodes.
 A large meeting compares all pairs of tiles of small registers; a large
@@ -167,18 +167,24 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 class Forest:
-    """Union-find over a tile; ``edges`` are the links that joined two trees."""
+    """Union-find over a tile whose rows are sorted by node.  Rows of the same
+    node (an id with several sets) are one from the start."""
 
-    def __init__(self, n: int):
+    def __init__(self, node: list[int]):
         import numpy as np
-        self.label = np.arange(n)
-        self.edges: list[tuple[int, int]] = []
+        self.node = np.array(node)
+        self.label = np.maximum.accumulate(np.where(np.r_[True, self.node[1:] != self.node[:-1]], np.arange(len(node)), 0))
 
     def join(self, i: int, j: int) -> None:
-        a, b = self.label[i], self.label[j]
+        a, b = sorted((self.label[i], self.label[j]))
         if a != b:
             self.label[self.label == b] = a
-            self.edges.append((i, j))
+
+    def stars(self) -> list[tuple[int, int]]:
+        """(node, the smallest node of its tree) of all nodes but those."""
+        import numpy as np
+        off = np.nonzero(self.node != self.node[self.label])[0]
+        return list(dict.fromkeys(zip(self.node[off].tolist(), self.node[self.label[off]].tolist())))
 
 
 def _grouped(batches, fn, key_columns: int, names: list[str]):
@@ -221,7 +227,8 @@ def _grouped(batches, fn, key_columns: int, names: list[str]):
 
 
 def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
-    """a, b: a spanning forest of the candidate pairs of every band's meeting."""
+    """a, b: every band's meeting as stars, which connect its nodes as its
+    candidate pairs do."""
     bands = nodes.select("node", F.explode(F.array(*[
         F.xxhash64(F.lit(i), F.substring("regs", 2 * BAND * i + 1, 2 * BAND)) for i in range(BUCKETS // BAND)])).alias("key"))
     # written, so that the join with it can split a hot band over tasks
@@ -238,7 +245,7 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
         import numpy as np
         r = np.frombuffer(b"".join(regs), np.uint16).reshape(len(node), BUCKETS)
         size = np.array(n, float)
-        forest = Forest(len(node))
+        forest = Forest(node)
         chance = 0.5 / (1 << MANTISSA)      # that registers of different minima agree
         for i in range(len(node) - 1):
             rest = i + 1 + np.nonzero(forest.label[i + 1:] != forest.label[i])[0]
@@ -250,19 +257,20 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
             error = 5 * np.sqrt(threshold * (1 - threshold) / np.minimum(BUCKETS, small))
             for j in rest[(estimate >= threshold - error) & (small >= threshold * large - 1e-9)]:
                 forest.join(i, int(j))
-        return [(node[i], node[j]) for i, j in forest.edges]
+        return forest.stars()
 
-    return rows.mapInArrow(lambda batches: _grouped(batches, meet, 3, ["a", "b"]), "a long, b long").distinct()
+    return rows.mapInArrow(lambda batches: _grouped(batches, meet, 3, ["a", "b"]), "a long, b long")
 
 
 def confirmed_edges(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: a spanning forest of the true links in each group (cluster, lo,
-    hi) of ``rows`` (cluster, lo, hi, node, text)."""
+    """a, b: stars that connect the nodes of each group (cluster, lo, hi) of
+    ``rows`` (cluster, lo, hi, node, text) as the true links do; b is the
+    smallest node of its star."""
     def meet(node, text):
         import numpy as np
         sets = list(Shingler(words).sets(text))
         size = np.array([len(s) for s in sets])
-        forest = Forest(len(node))
+        forest = Forest(node)
         as_set: dict[int, set] = {}
 
         def own(i):
@@ -294,29 +302,39 @@ def confirmed_edges(rows: DataFrame, words: int, percent: int) -> DataFrame:
                 for j in rest.tolist():
                     if forest.label[i] != forest.label[j] and linked(len(own(i) & own(j)), i, j):
                         forest.join(i, j)
-        return [(node[i], node[j]) for i, j in forest.edges]
+        return forest.stars()
 
     rows = (rows.select("cluster", "lo", "hi", "node", "text").repartition("cluster", "lo", "hi")
             .sortWithinPartitions("cluster", "lo", "hi", "node"))
     return rows.mapInArrow(lambda batches: _grouped(batches, meet, 3, ["a", "b"]), "a long, b long")
 
 
-def cluster_links(members: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: links that connect each cluster of ``members`` (cluster, node,
-    k1, k2, text) as the full sets do.  A node whose id stands for several
-    texts has a row for each."""
+def cluster_labels(members: DataFrame, words: int, percent: int) -> DataFrame:
+    """node, label: the component, by its smallest node, of every linked node
+    of the clusters ``members`` (cluster, node, k1, k2, text).  A node whose
+    id stands for several texts has a row for each.
+
+    A cluster of one tile is resolved where it is compared; only the stars of
+    larger ones are joined by steps over the edges."""
     sizes = members.groupBy("cluster").agg(F.count("*").alias("m"), F.min("node").alias("center"))
     sizes = stage(sizes.withColumn("tiles", F.ceil(F.col("m") / TILE)), "near-sizes")
     rows = members.join(sizes, "cluster")
     zero = F.lit(0).cast("long")
     tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
     all_tiles = F.sequence(zero, F.col("tiles") - 1)
-    # the smallest node joins every tile of its cluster
-    first = rows.withColumn("lo", F.explode(F.when(F.col("node") == F.col("center"), all_tiles).otherwise(F.array(tile))))
-    edges = stage(confirmed_edges(first.withColumn("hi", F.col("lo")), words, percent), "near-links")
+
+    def resolved(stars):
+        found = stars.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        return found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
+
+    one_tile = rows.where("tiles = 1").withColumn("lo", zero).withColumn("hi", zero)
+    done = resolved(stage(confirmed_edges(one_tile, words, percent), "near-links"))
     large = sizes.where("tiles > 1")
     if not large.take(1):
-        return edges
+        return done
+    # the smallest node joins every tile of its cluster
+    first = rows.where("tiles > 1").withColumn("lo", F.explode(F.when(F.col("node") == F.col("center"), all_tiles).otherwise(F.array(tile))))
+    edges = stage(confirmed_edges(first.withColumn("hi", F.col("lo")), words, percent), "near-links")
     label = smallest_labels(edges, name="near-first")
     mine = members.join(large, "cluster").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     apart = mine.where(F.col("label") != F.col("center"))       # a component with the center has it as label
@@ -327,7 +345,7 @@ def cluster_links(members: DataFrame, words: int, percent: int) -> DataFrame:
     two = open_rows.withColumn("hi", tile).withColumn("lo", F.explode(F.sequence(zero, F.col("parts") - 1)))
     both = one.select("cluster", "lo", "hi", "node", "k1", "k2", "text").unionByName(two.select("cluster", "lo", "hi", "node", "k1", "k2", "text"))
     both = both.dropDuplicates(["cluster", "lo", "hi", "node", "k1", "k2"])
-    return edges.unionByName(confirmed_edges(both, words, percent))
+    return done.unionByName(smallest_labels(edges.unionByName(confirmed_edges(both, words, percent)), name="near-components"))
 
 
 def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -343,7 +361,7 @@ def components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     texts = row_keys(text_of(docs))
     members = stage(wanted.join(texts.select("k1", "k2", "text"), ["k1", "k2"]).select("cluster", "node", "k1", "k2", "text")
                     .dropDuplicates(["cluster", "node", "k1", "k2"]), "near-members")
-    label = smallest_labels(cluster_links(members, words, percent), name="near-components")
+    label = cluster_labels(members, words, percent)
     named = (nodes.select("s1", "s2", "n", "node").join(label, "node", "left")
              .select("s1", "s2", "n", F.coalesce("label", "node").alias("c")))
     some = sig.where("n > 0").join(named, ["s1", "s2", "n"]).select(
