@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
@@ -61,7 +62,15 @@ def test_galloping_equals_the_sets():
     rng = random.Random(3)
     for _ in range(300):
         a, b = (sorted(rng.sample(range(1, 200), rng.choice([0, 1, 3, 40, 150]))) for _ in range(2))
-        assert ta.common_ends(a, b) == [(a.index(x), b.index(x)) for x in sorted(set(a) & set(b))]
+        i, j = ta.common_ends(np.array(a, int), np.array(b, int))
+        assert list(zip(i.tolist(), j.tolist())) == [(a.index(x), b.index(x)) for x in sorted(set(a) & set(b))]
+
+
+def test_wide_groups_count_the_same(monkeypatch):
+    texts = ["plain words and " + "ab" * 40 + " more", "日本語テスト" * 9, "", "▁ x"]
+    want = ta.Aligner(A, B).align(texts)
+    monkeypatch.setattr(ta, "WIDE_LINKS", 0)
+    assert all(list(x) == list(y) for x, y in zip(ta.Aligner(A, B).align(texts), want))
 
 
 def test_odd_texts_equal_brute_force(spark, docs_of):
