@@ -16,12 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesoro.sinks.versioned import VersionedTable
 from tesoro.sinks.writers import replace_by_source, upsert_by_key
 
 SOURCE_COL = "source_file"
 
 
-def daily_file_stream(spark: SparkSession, landing: str, schema, target: str, checkpoint: str,
+def daily_file_stream(spark: SparkSession, landing: str, schema, target: str | VersionedTable, checkpoint: str,
                       date_col: str = "date", keys: list[str] | None = None, fmt: str = "csv",
                       available_now: bool = True, processing_time: str = "1 minute",
                       partition_col: str | None = None, partition_expr=None):
@@ -29,7 +30,9 @@ def daily_file_stream(spark: SparkSession, landing: str, schema, target: str, ch
     are loaded.  Without ``keys`` rows carry their ``source_file`` and are
     merged by it; ``keys`` switches the sink to a keyed upsert;
     ``partition_col``/``partition_expr`` give the upsert table a coarser
-    layout (e.g. monthly folders) than one folder per day."""
+    layout (e.g. monthly folders) than one folder per day.  A ``target`` that
+    is a versioned table sees a batch whole or not at all; a plain folder is
+    swapped day by day."""
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -42,7 +45,12 @@ def daily_file_stream(spark: SparkSession, landing: str, schema, target: str, ch
             part = partition_col or date_col
             if partition_expr is not None:
                 batch = batch.withColumn(part, partition_expr)
-            upsert_by_key(batch.sparkSession, target, batch, keys, partition_col=part)
+            if isinstance(target, VersionedTable):
+                target.upsert(batch, keys)
+            else:
+                upsert_by_key(batch.sparkSession, target, batch, keys, partition_col=part)
+        elif isinstance(target, VersionedTable):
+            target.replace_source(batch, SOURCE_COL)
         else:
             replace_by_source(batch.sparkSession, target, batch, date_col, SOURCE_COL)
 
