@@ -21,6 +21,7 @@ IM_RATE = "0.05"
 INITIAL_POSTED = 0  # the reference's initial-collateral constant is unused (Trap9)
 
 STATE = "decimal(20,4)"
+BLOCK_DAYS = 256      # days folded together; changes no amount
 
 KPI_COLUMNS = ["initial_margin", "variation_margin", "collateral_required", "collateral_posted", "excess_deficit",
                "total_portfolio", "open_positions"]
@@ -43,15 +44,15 @@ def initial_margin(exposure):
     return F.round(-(x * F.lit(IM_RATE).cast("decimal(3,2)")).cast(STATE), 2)
 
 
-def _step_sql(buffer: int, inc: int, min_move: int) -> str:
-    """posted(t+1) from posted(t) = acc.p and today's row x (need, need_next)."""
-    excess = "(acc.p - x.need)"
-    recall = f"least({excess} - {buffer}, acc.p - x.need_next - {buffer})"
-    post = (f"CASE WHEN x.need + {buffer} - acc.p <= 0 THEN acc.p ELSE "
-            f"CAST(acc.p + greatest(ceil((x.need + {buffer} - acc.p) / {inc}) * {inc}, {min_move}) AS {STATE}) END")
-    give_back = (f"CASE WHEN {excess} - {buffer} < {min_move} THEN acc.p "
-                 f"WHEN {recall} < {min_move} THEN acc.p ELSE "
-                 f"CAST(greatest(acc.p - greatest(floor({recall} / {inc}) * {inc}, {min_move}), {buffer}) AS {STATE}) END")
+def _step_sql(buffer: int, inc: int, min_move: int, p: str = "acc.p") -> str:
+    """posted(t+1) from posted(t) = ``p`` and today's row x (need, need_next)."""
+    excess = f"({p} - x.need)"
+    recall = f"least({excess} - {buffer}, {p} - x.need_next - {buffer})"
+    post = (f"CASE WHEN x.need + {buffer} - {p} <= 0 THEN {p} ELSE "
+            f"CAST({p} + greatest(ceil((x.need + {buffer} - {p}) / {inc}) * {inc}, {min_move}) AS {STATE}) END")
+    give_back = (f"CASE WHEN {excess} - {buffer} < {min_move} THEN {p} "
+                 f"WHEN {recall} < {min_move} THEN {p} ELSE "
+                 f"CAST(greatest({p} - greatest(floor({recall} / {inc}) * {inc}, {min_move}), {buffer}) AS {STATE}) END")
     return f"CASE WHEN {excess} < 0 THEN {post} ELSE {give_back} END"
 
 
@@ -59,7 +60,7 @@ def collateral_report(report_days: DataFrame, exposure: DataFrame, pnl: DataFram
                       keys: list[str], date_col: str = "report_date",
                       exposure_col: str = "exposure", pnl_col: str = "pnl",
                       buffer: int = BUFFER, inc: int = MOVE_INCREMENT, min_move: int = MIN_MOVE,
-                      initial_posted: int = INITIAL_POSTED) -> DataFrame:
+                      initial_posted: int = INITIAL_POSTED, block: int = BLOCK_DAYS) -> DataFrame:
     """D07.  ``report_days``: (keys…, report_date) — every business day to
     report per key.  ``exposure``/``pnl``: facts at any grain ≥ (key, date);
     they are aggregated to day grain first (B05).
@@ -80,11 +81,20 @@ def collateral_report(report_days: DataFrame, exposure: DataFrame, pnl: DataFram
     # one array per key, bounded by the number of report days of that key
     series = s.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
         F.col(date_col).alias("d"), "need", "need_next", "_im", "_vmv"))).alias("ser"))
-    fold = (f"aggregate(ser, named_struct('p', CAST({initial_posted} AS {STATE}), "
-            f"'h', CAST(array() AS ARRAY<{STATE}>)), "
+    # a first fold carries only the amount from block to block, a second one
+    # lists it day by day within each block: no history longer than a block or
+    # than the number of blocks is ever copied
+    blocks = series.select(*keys, F.expr(
+        f"transform(sequence(0, cast((size(ser) - 1) div {block} as int)), i -> slice(ser, i * {block} + 1, {block}))").alias("blocks"))
+    history = f"CAST(array() AS ARRAY<{STATE}>)"
+    starts = (f"aggregate(blocks, named_struct('p', CAST({initial_posted} AS {STATE}), 'h', {history}), "
+              f"(acc, b) -> named_struct('p', aggregate(b, acc.p, (p, x) -> {_step_sql(buffer, inc, min_move, 'p')}), "
+              f"'h', concat(acc.h, array(acc.p))), acc -> acc.h)")
+    fold = (f"aggregate(b.s, named_struct('p', b.start, 'h', {history}), "
             f"(acc, x) -> named_struct('p', {_step_sql(buffer, inc, min_move)}, "
             f"'h', concat(acc.h, array(acc.p))), acc -> acc.h)")
-    folded = series.select(*keys, F.inline(F.arrays_zip(F.col("ser").alias("s"), F.expr(fold).alias("posted"))))
+    each = blocks.select(*keys, F.explode(F.arrays_zip(F.col("blocks").alias("s"), F.expr(starts).alias("start"))).alias("b"))
+    folded = each.select(*keys, F.inline(F.arrays_zip(F.col("b.s").alias("s"), F.expr(fold).alias("posted"))))
     x = folded.select(*keys, F.col("s.d").alias(date_col), F.col("s._im").alias("im"),
                       F.col("s._vmv").alias("vm"), F.col("s.need").alias("need"), "posted")
     im2 = F.round(-F.col("im"), 2)

@@ -124,11 +124,12 @@ def exposure(t: Tables) -> DataFrame:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise a small, reused intermediate with a reliable checkpoint
-    (``spark.checkpoint.dir``), cutting its lineage; survives executor loss."""
-    from tesoro.session import work_dir
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a reused intermediate as Parquet to the shared work folder: cuts
+    its lineage, survives executor loss, and readers prune its columns."""
+    from tesoro.session import scratch_path
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def limit_reviews(t: Tables) -> DataFrame:

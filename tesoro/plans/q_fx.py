@@ -416,18 +416,19 @@ FROM fx_stored s LEFT JOIN (SELECT date, currency, fx_to_usd FROM rate_src WHERE
 def x05(t):
     """Provisional (``filled``) stored rows of the last 7 days that the
     fetched source now covers take the new value and become raw.  The
-    corrections are written back by keyed upsert (K05), twice: a repeated run
-    changes nothing.  Returns the stored table afterwards."""
+    corrections are written back by keyed upsert (K05) into a versioned table,
+    twice: a repeated run changes nothing.  Returns the stored table
+    afterwards."""
     from tesoro.session import scratch_path
-    from tesoro.sinks import writers as K
+    from tesoro.sinks.versioned import VersionedTable
     lo, hi = fx_bounds(t)
     period = F.date_format("date", "yyyy-MM").alias("period")
-    path = scratch_path(t.spark, "x05")
-    K.upsert_by_key(t.spark, path, stored(t).select("*", period), ["date", "currency"], partition_col="period")
+    table = VersionedTable(t.spark, scratch_path(t.spark, "x05"), "period")
+    table.upsert(stored(t).select("*", period), ["date", "currency"])
     for _ in range(2):
-        fixes = FX.late_corrections(t.spark.read.parquet(path), merged(t, ("fetched",)), hi)
-        K.upsert_by_key(t.spark, path, fixes.select("*", period), ["date", "currency"], partition_col="period")
-    return t.spark.read.parquet(path).select(*FX.FX_COLUMNS)
+        fixes = FX.late_corrections(table.read(), merged(t, ("fetched",)), hi)
+        table.upsert(fixes.select("*", period), ["date", "currency"])
+    return table.read().select(*FX.FX_COLUMNS)
 
 
 # one column per currency of the driver tables' nation table (25 codes)

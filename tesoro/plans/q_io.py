@@ -20,6 +20,7 @@ from tesoro.plans.q_treasury import ledger, sweeps
 from tesoro.plans.registry import query
 from tesoro.session import scratch_path
 from tesoro.sinks import writers as K
+from tesoro.sinks.versioned import VersionedTable
 from tesoro.sources import readers as S
 from tesoro.streaming.daily_files import daily_file_stream
 
@@ -58,6 +59,10 @@ def mtm_cut(t) -> dt.date:
     return B.calendar_end(t) - dt.timedelta(days=60)
 
 
+def versioned(t, name: str, partition_col: str | None = None) -> VersionedTable:
+    return VersionedTable(t.spark, scratch_path(t.spark, name), partition_col)
+
+
 def _dbl(df, *cols):
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("double"))
@@ -208,13 +213,14 @@ def s10(t):
 SELECT report_date, count(*) AS n FROM trade_mtm GROUP BY report_date""", "trade_mtm"))
 def k02(t):
     """First run writes the history up to the previous run date; the next
-    run appends only rows after the stored high-water mark."""
-    p = scratch_path(t.spark, "k02")
+    run loads only the days from the mark on.  The mark is part of the version
+    that holds its rows (X01)."""
+    table = versioned(t, "k02", "report_date")
     m = trade_mtm(t).select("report_date", "trade_id", "bank_id", "mtm", "pnl", "trade_size_usd")
-    K.incremental_append(m.filter(F.col("report_date") <= F.lit(mtm_cut(t))), p, "report_date")
-    K.incremental_append(m, p, "report_date")
-    K.incremental_append(m, p, "report_date")     # a repeated run finds nothing newer
-    return t.spark.read.parquet(p).groupBy("report_date").agg(F.count(F.lit(1)).alias("n"))
+    table.load_newer(m.filter(F.col("report_date") <= F.lit(mtm_cut(t))), "trade_mtm", "report_date")
+    table.load_newer(m, "trade_mtm", "report_date")
+    table.load_newer(m, "trade_mtm", "report_date")     # a repeated run replaces the mark's own day by itself
+    return table.read().groupBy("report_date").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("k04_replace_by_date", sql("""
@@ -222,27 +228,26 @@ SELECT date, count(*) AS n, CAST(sum(closing_balance) AS DOUBLE) AS closing FROM
 def k04(t):
     """Write all days, then replace the last ten days twice: no day gains
     or loses rows (idempotent reruns)."""
-    p = scratch_path(t.spark, "k04")
+    table = versioned(t, "k04", "date")
     led = ledger(t)
-    K.replace_by_date(led, p)
+    table.replace_partitions(led)
     last = led.agg(F.max("date")).first()[0]
     recent = led.filter(F.col("date") > F.lit(last - dt.timedelta(days=10)))
-    K.replace_by_date(recent, p)
-    K.replace_by_date(recent, p)
-    df = t.spark.read.parquet(p)
-    return df.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("closing_balance").cast("double").alias("closing"))
+    table.replace_partitions(recent)
+    table.replace_partitions(recent)
+    return table.read().groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("closing_balance").cast("double").alias("closing"))
 
 
 @query("k05_upsert_by_key", sql("SELECT date, currency, fx_to_usd, fx_quality_flag FROM fx_merged", "fx_merged"))
 def k05(t):
     """Stored rates (DB + CSV) upserted with the fetched rates on
-    (date, currency): only touched date partitions are rewritten."""
-    p = scratch_path(t.spark, "k05")
-    period = F.date_format("date", "yyyy-MM").alias("period")   # table layout: monthly partitions
-    K.upsert_by_key(t.spark, p, QF.stored(t).select("*", period), ["date", "currency"], partition_col="period")
+    (date, currency): only touched partitions are rewritten."""
+    table = versioned(t, "k05", "period")   # monthly partitions
+    period = F.date_format("date", "yyyy-MM").alias("period")
+    table.upsert(QF.stored(t).select("*", period), ["date", "currency"])
     fresh = FX.merge_sources([QF.norm(t, QF.src_fetched(t))], QF.SEQ)
-    K.upsert_by_key(t.spark, p, fresh.select("*", period), ["date", "currency"], partition_col="period")
-    return t.spark.read.parquet(p).select(*FX.FX_COLUMNS)
+    table.upsert(fresh.select("*", period), ["date", "currency"])
+    return table.read().select(*FX.FX_COLUMNS)
 
 
 def _raw_rates(t):
@@ -314,9 +319,9 @@ def k11(t):
 
 @query("k12_ordered_export", sql("SELECT date, currency, fx_to_usd FROM fx_history", "fx_history"))
 def k12(t):
-    p = scratch_path(t.spark, "k12")
-    K.ordered_export(QF.history(t).select("date", "currency", "fx_to_usd"), p, ["date", "currency"])
-    return t.spark.read.parquet(p)
+    table = versioned(t, "k12")
+    table.overwrite(QF.history(t).select("date", "currency", "fx_to_usd"), order=["date", "currency"])
+    return table.read()
 
 
 # --- incremental ---------------------------------------------------------------
@@ -380,11 +385,11 @@ def q03(t):
 @query("q05_rerun_idempotent", sql("""
 SELECT count(*) AS rows_first_run, count(*) AS rows_second_run, true AS idempotent FROM ledger""", "ledger"))
 def q05(t):
-    p = scratch_path(t.spark, "q05")
-    K.replace_by_date(ledger(t), p)
-    n1 = t.spark.read.parquet(p).count()
-    K.replace_by_date(ledger(t), p)
-    df = t.spark.read.parquet(p)
+    table = versioned(t, "q05", "date")
+    table.replace_partitions(ledger(t))
+    n1 = table.read().count()
+    table.replace_partitions(ledger(t))
+    df = table.read()
     return df.agg(F.lit(n1).cast("long").alias("rows_first_run"), F.count(F.lit(1)).alias("rows_second_run")) \
         .withColumn("idempotent", F.col("rows_first_run") == F.col("rows_second_run"))
 
@@ -400,17 +405,16 @@ def q06(t):
 SELECT date, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM movements GROUP BY date""", "movements"))
 def z01(t):
     """Daily movement files landed as CSV, loaded by a file stream that
-    upserts on (date, transaction_id) into a month-partitioned table; the
+    upserts on (date, transaction_id) into a versioned table by month; the
     stream is started twice and the second run finds nothing new
     (checkpointed), so the table is unchanged."""
     landing = movements_csv(t)
-    target = scratch_path(t.spark, "z01-table")
+    target = versioned(t, "z01-table", "period")
     ckpt = scratch_path(t.spark, "z01-checkpoint")
     for _ in range(2):
         daily_file_stream(t.spark, landing, MOV_DDL, target, ckpt, keys=["date", "transaction_id"],
                           partition_col="period", partition_expr=F.date_format("date", "yyyy-MM"))
-    df = t.spark.read.parquet(target)
-    return df.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
+    return target.read().groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
 
 
 # --- set and order operators -------------------------------------------------------

@@ -4,6 +4,10 @@ There is no MERGE without a table format, so keyed upserts are composed
 from an anti join and a union, and written so that a job never reads and
 overwrites the same files: the merged rows for the touched partitions are
 staged first, then swapped in with a dynamic partition overwrite.
+
+Spark replaces the files of a plain folder by deleting the old ones first, so
+a job lost in that moment leaves a part of it empty.  Where a table must be
+whole at every moment, use :mod:`tesoro.sinks.versioned`, as the queries do.
 """
 
 from __future__ import annotations
@@ -84,9 +88,10 @@ def upsert_by_key(spark: SparkSession, path: str, incoming: DataFrame, keys: lis
 
     ``incoming`` is reduced to its last row per key (W03, by ``recency``) and
     staged once; the merged rows are staged too before they are swapped in,
-    so a job never reads what it overwrites and a failed run can be repeated.
-    With ``partition_col`` only the touched partitions are merged and
-    replaced, else the table is rewritten in place."""
+    so a job never reads what it overwrites.  With ``partition_col`` only the
+    touched partitions are merged and replaced, else the folder is rewritten
+    in place.  A job lost while it swaps leaves what it swaps empty (the rows
+    are in the staged folder); ``VersionedTable.upsert`` has no such moment."""
     fresh = _staged(spark, keep_last_per_key(incoming, keys, recency or []), "upsert-incoming")
     if not path_exists(spark, path):
         merged = fresh

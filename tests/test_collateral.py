@@ -57,3 +57,21 @@ def test_keys_are_independent(spark):
     out = {(r.book, r.report_date): r for r in collateral_report(days, e, p, ["book"]).collect()}
     assert out[("a", D2)].collateral_posted == 510000.0
     assert out[("b", D2)].collateral_posted == 550000.0
+
+
+def test_blocks_change_nothing_and_long_series_stay_linear(spark):
+    import time
+    n = 100_000
+    first = dt.date(1800, 1, 1)
+    days = spark.range(n).select(F.lit("pb").alias("book"), F.date_add(F.lit(first), F.col("id").cast("int")).alias("report_date"), "id")
+    need = (F.pmod(F.col("id") * 7919, F.lit(2003)) * 9000).cast("double")
+    report = lambda d, **kw: collateral_report(d.select("book", "report_date"), d.select("book", "report_date", need.alias("exposure")),
+                                               d.select("book", "report_date", F.lit(0.0).alias("pnl")), ["book"], **kw)
+    short = days.where("id < 700")
+    want = [tuple(r) for r in report(short, block=100_000).orderBy("report_date").collect()]
+    for block in (1, 7, 256):
+        assert [tuple(r) for r in report(short, block=block).orderBy("report_date").collect()] == want
+    assert len({r[5] for r in want}) > 5
+    began = time.time()
+    assert report(days).agg(F.count("collateral_posted").alias("n")).first()["n"] == n
+    assert time.time() - began < 60

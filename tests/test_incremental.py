@@ -125,3 +125,15 @@ def test_work_dir_needs_a_shared_folder_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(Session())
+
+
+def test_only_a_first_line_is_a_header(spark):
+    import pytest
+    p = scratch_path(spark, "t-s04-first")
+    types = {"account": "string", "note": "string"}
+    spark.createDataFrame([("account,note",), ("a1,x",), ("account,note",), ("a2,y",)], "value string").coalesce(1).write.text(f"{p}/one")
+    out = S.drifted_schema_scan(spark, p, types)
+    assert sorted(map(tuple, out.collect())) == [("a1", "x"), ("a2", "y"), ("account", "note")]
+    spark.createDataFrame([("account,other",), ("a1,x",)], "value string").coalesce(1).write.text(f"{p}/two")
+    with pytest.raises(ValueError, match="other"):
+        S.drifted_schema_scan(spark, p, types)
