@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tesoro.functions import text as T
 from tesoro.operators import intervals as I
+from tesoro.operators import ranged
 from tesoro.operators.calendar import roll_to_business_day
 
 # Fixed value that must equal the reference's limit: daily trade numbers have four digits.
@@ -139,29 +140,35 @@ def value_date_rules(trades: DataFrame, calendar: DataFrame, type_col: str = "ty
 
 
 def daily_sequence_id(df: DataFrame, date_col: str, prefix_col, order: list,
-                      width: int = 4, out_col: str = "trade_id", step: int | None = None) -> DataFrame:
+                      width: int = 4, out_col: str = "trade_id", step: int | None = None, rows: int | None = None) -> DataFrame:
     """``prefix + yyyymmdd + zero-padded sequence`` numbered per day in
     plain key order.  A day with more rows than ``width`` digits can number
-    fails the job (Q04): a cut number would repeat an id.  ``step`` numbers
-    wide days in parallel without changing any number, see
+    fails the job (Q04): a cut number would repeat an id.  ``rows`` or ``step``
+    number wide days in parallel without changing any number, see
     :func:`dense_sequence`.  Adds ``seq``.
     """
     prefix = prefix_col if not isinstance(prefix_col, str) else F.col(prefix_col)
-    out = dense_sequence(df, [date_col], order, step, "seq")
+    out = dense_sequence(df, [date_col], order, step, "seq", rows)
     return out.withColumn(out_col, T.daily_id(prefix, F.col(date_col), F.col("seq"), width))
 
 
 def dense_sequence(df: DataFrame, group: list[str], order: list, step: int | None = None,
-                   out_col: str = "seq") -> DataFrame:
+                   out_col: str = "seq", rows: int | None = None) -> DataFrame:
     """1, 2, 3 … within each group, in ``order``.
 
-    Without ``step`` this is a ``row_number`` window — one sort per group.
-    With it, each group is cut into slices of ``step`` consecutive values of
+    With ``rows``, groups of more rows are numbered by ranges of the first
+    order column (a number), cut at its quantiles (:mod:`.ranged`).
+
+    Without either this is a ``row_number`` window — one sort per group.
+    With ``step``, each group is cut into slices of ``step`` consecutive values of
     the first order column (a number): rows are numbered within (group,
     slice) in parallel and shifted by the row counts of the group's earlier
     slices.  Slices are ranges of the ordering key, so the numbers are the
     same for every ``step``.
     """
+    if rows is not None:
+        first = F.col(order[0]) if isinstance(order[0], str) else order[0]
+        return ranged.running(df, group, first, order, number=out_col, rows=rows).withColumn(out_col, F.col(out_col).cast("int"))
     if step is None:
         return df.withColumn(out_col, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("int"))
     lead = F.col(order[0]) if isinstance(order[0], str) else order[0]

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesoro.functions import text as T
+from tesoro.operators import ranged
+from tesoro.session import staged
 
 # Fixed values that must equal the reference's output.
 SWEEP_TYPE = "Internal Sweep"
@@ -35,38 +37,39 @@ AMOUNT = "decimal(18,2)"
 SUM = "decimal(28,2)"
 
 
-def _sides(balances: DataFrame, pool: list[str], account: str, balance: str):
+def _sides(balances: DataFrame, pool: list[str], account: str, balance: str, rows: int | None = None):
     b = balances.select(*pool, account, F.col(balance).cast(AMOUNT).alias("_bal"))
     d = b.filter(F.col("_bal") < 0).select(*pool, F.col(account).alias("deficit_acct"),
                                            (-F.col("_bal")).alias("need"))
     s = b.filter(F.col("_bal") > 0).select(*pool, F.col(account).alias("surplus_acct"),
                                            F.col("_bal").alias("avail"))
-    before = Window.unboundedPreceding, -1
-    wd = Window.partitionBy(*pool).orderBy(F.desc("need"), "deficit_acct")
-    ws = Window.partitionBy(*pool).orderBy(F.desc("avail"), "surplus_acct")
-    d = (d.withColumn("d_lo", F.coalesce(F.sum("need").over(wd.rowsBetween(*before)), F.lit(0)).cast(SUM))
-         .withColumn("d_hi", (F.col("d_lo") + F.col("need")).cast(SUM)))
-    s = (s.withColumn("s_lo", F.coalesce(F.sum("avail").over(ws.rowsBetween(*before)), F.lit(0)).cast(SUM))
-         .withColumn("s_hi", (F.col("s_lo") + F.col("avail")).cast(SUM))
-         .withColumn("s_rank", F.row_number().over(ws)))
-    return d, s
+    d = ranged.running(d, pool, -F.col("need"), [F.desc("need"), "deficit_acct"], {"d_lo": "need"}, rows=rows)
+    s = ranged.running(s, pool, -F.col("avail"), [F.desc("avail"), "surplus_acct"], {"s_lo": "avail"}, "s_rank", rows=rows)
+    d = d.withColumn("d_lo", F.col("d_lo").cast(SUM)).withColumn("d_hi", (F.col("d_lo") + F.col("need")).cast(SUM))
+    s = s.withColumn("s_lo", F.col("s_lo").cast(SUM)).withColumn("s_hi", (F.col("s_lo") + F.col("avail")).cast(SUM))
+    # by ranges, each side is read several times
+    return (d, s) if rows is None else (staged(d, "sweep-deficits"), staged(s, "sweep-surpluses"))
 
 
 def sweep_transfers(balances: DataFrame, pool: list[str] | None = None,
                     account: str = "account_number", balance: str = "closing_balance",
-                    mode: str = "waterfall") -> DataFrame:
-    """(pool…, deficit_acct, surplus_acct, amount) — one row per transfer."""
+                    mode: str = "waterfall", range_rows: int = ranged.RANGE_ROWS) -> DataFrame:
+    """(pool…, deficit_acct, surplus_acct, amount) — one row per transfer.
+
+    If a pool has more than ``range_rows`` accounts (counted first), its sums,
+    ranks and cut points are taken by ranges, many tasks a pool."""
     pool = pool or ["date", "currency"]
-    d, s = _sides(balances, pool, account, balance)
+    rows = range_rows if ranged.has_wide_groups(balances, pool, range_rows) else None
+    d, s = _sides(balances, pool, account, balance, rows)
     if mode == "snapshot":
         # k_i = #surpluses whose start lies strictly below need_i
         marks = (d.select(*pool, F.col("need").alias("_v"), F.lit(1).alias("_kind"), "deficit_acct")
                  .unionByName(s.select(*pool, F.col("s_lo").cast(AMOUNT).alias("_v"), F.lit(0).alias("_kind"),
                                        F.lit(None).cast(d.schema["deficit_acct"].dataType).alias("deficit_acct"))))
-        w = (Window.partitionBy(*pool).orderBy("_v", F.desc("_kind"), "deficit_acct")
-             .rowsBetween(Window.unboundedPreceding, 0))
-        k = (marks.withColumn("_k", F.sum(1 - F.col("_kind")).over(w))
-             .filter(F.col("_kind") == 1).select(*pool, "deficit_acct", "_k"))
+        # a deficit is no surplus itself, so those before it are those up to it
+        k = ranged.running(marks.withColumn("_one", 1 - F.col("_kind")), pool, F.col("_v"), ["_v", F.desc("_kind"), "deficit_acct"],
+                           {"_k": "_one"}, rows=rows)
+        k = k.filter(F.col("_kind") == 1).select(*pool, "deficit_acct", "_k")
         dk = d.join(k, [*pool, "deficit_acct"]).filter(F.col("_k") > 0)
         dk = dk.withColumn("s_rank", F.explode(F.sequence(F.lit(1), F.col("_k").cast("int"))))
         pairs = dk.join(s, [*pool, "s_rank"])
@@ -78,22 +81,43 @@ def sweep_transfers(balances: DataFrame, pool: list[str] | None = None,
                      F.col("deficit_acct").alias("_acct"), F.col("d_hi").alias("_end"))
             .unionByName(s.select(*pool, F.col("s_lo").alias("_pos"), F.lit(1).alias("_kind"),
                                   F.col("surplus_acct").alias("_acct"), F.col("s_hi").alias("_end"))))
-    order = Window.partitionBy(*pool).orderBy("_pos", "_kind", "_acct")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*pool)
-    limit = F.least(F.max(F.when(F.col("_kind") == 0, F.col("_end"))).over(whole),
-                    F.max(F.when(F.col("_kind") == 1, F.col("_end"))).over(whole))
-    seg = (cuts
-           .withColumn("deficit_acct", F.last(F.when(F.col("_kind") == 0, F.col("_acct")), ignorenulls=True).over(upto))
-           .withColumn("surplus_acct", F.last(F.when(F.col("_kind") == 1, F.col("_acct")), ignorenulls=True).over(upto))
-           .withColumn("_limit", limit)
-           .withColumn("_next", F.coalesce(F.lead("_pos").over(order), F.col("_limit"))))
+    seg = _segments(cuts, pool, rows)
     seg = seg.withColumn("_len", (F.least(F.col("_next"), F.col("_limit")) - F.col("_pos")).cast(SUM))
     seg = seg.filter((F.col("_len") > 0) & F.col("deficit_acct").isNotNull() & F.col("surplus_acct").isNotNull())
     return (seg.groupBy(*pool, "deficit_acct", "surplus_acct")
             .agg(F.sum("_len").cast(AMOUNT).alias("amount")))
 
 
+def _segments(cuts: DataFrame, pool: list[str], rows: int | None) -> DataFrame:
+    """The cut points with the deficit and the surplus that hold there, the
+    next cut point and the end of the shorter side."""
+    def own(kind, column):
+        return F.when(F.col("_kind") == kind, F.col(column))
+
+    keys = pool
+    if rows is not None:
+        cuts, keys = ranged.with_slices(cuts, pool, F.col("_pos"), rows), [*pool, ranged.SLICE]
+    order = Window.partitionBy(*keys).orderBy("_pos", "_kind", "_acct")
+    upto, whole = order.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*pool)
+    seg = (cuts.withColumn("deficit_acct", F.last(own(0, "_acct"), ignorenulls=True).over(upto))
+           .withColumn("surplus_acct", F.last(own(1, "_acct"), ignorenulls=True).over(upto)))
+    if rows is None:
+        limit = F.least(F.max(own(0, "_end")).over(whole), F.max(own(1, "_end")).over(whole))
+        return seg.withColumn("_limit", limit).withColumn("_next", F.coalesce(F.lead("_pos").over(order), F.col("_limit")))
+    place = F.struct("_pos", "_kind", "_acct")
+    totals = cuts.groupBy(*keys).agg(
+        F.min("_pos").alias("_first"), F.max_by("_acct", F.when(F.col("_kind") == 0, place)).alias("_d"),
+        F.max_by("_acct", F.when(F.col("_kind") == 1, place)).alias("_s"), F.max(own(0, "_end")).alias("_d_end"), F.max(own(1, "_end")).alias("_s_end"))
+    slices = Window.partitionBy(*pool).orderBy(ranged.SLICE)
+    before = slices.rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, F.lead("_first").over(slices).alias("_first_after"), F.last("_d", ignorenulls=True).over(before).alias("_d_before"),
+                           F.last("_s", ignorenulls=True).over(before).alias("_s_before"),
+                           F.least(F.max("_d_end").over(whole), F.max("_s_end").over(whole)).alias("_limit"))
+    seg = ranged.shifted(seg.withColumn("_next", F.lead("_pos").over(order)), pool, totals)
+    return (seg.withColumn("deficit_acct", F.coalesce("deficit_acct", "_d_before")).withColumn("surplus_acct", F.coalesce("surplus_acct", "_s_before"))
+            .withColumn("_next", F.coalesce("_next", "_first_after", "_limit")))
+
+
 def sweep_movements(transfers: DataFrame, date_col: str = "date", currency_col: str = "currency") -> DataFrame:
     """Two movement legs per transfer: +t on the deficit, −t on the surplus."""
     def leg(own, other, amount, text):

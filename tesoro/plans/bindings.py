@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from tesoro.functions import money as M
 from tesoro.operators import calendar as C
 from tesoro.operators.intervals import exposure_series
+from tesoro.operators.ranged import RANGE_ROWS, has_wide_groups
+from tesoro.session import staged
 
 # Fixed binding parameters (ours, not the reference's).
 VALUE_DATE_SPAN = 30          # value_date = trade_date + 1 + partkey mod 30
@@ -119,19 +121,10 @@ def exposure(t: Tables) -> DataFrame:
     Bounded by banks × business days and read by several branches of one
     plan (limit reviews, utilisation, collateral), so it is checkpointed to
     the shared work folder once instead of re-deriving it from the facts."""
-    return t.memo("exposure", lambda: stage(exposure_series(
+    return t.memo("exposure", lambda: staged(exposure_series(
         legs(t), bdays(t), ["bank_id"], "trade_date", "value_date", "trade_size_usd")))
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write a reused intermediate as Parquet to the shared work folder: cuts
-    its lineage, survives executor loss, and readers prune its columns."""
-    from tesoro.session import scratch_path
-    path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def limit_reviews(t: Tables) -> DataFrame:
     """(bank_id, review_date, effective_date, credit_limit_usd).
 
@@ -172,7 +165,6 @@ def limit_reviews(t: Tables) -> DataFrame:
 DEPOSIT = ("Deposit", "Transactions", "Deposit movement")
 WITHDRAW = ("Withdraw", "Transactions", "Withdraw movement")
 CHARGES = ("Charges", "Fees", "Bank charges")
-TX_STEP = 50_000_000   # order keys numbered together; changes no number (dense_sequence)
 
 
 def accounts(t: Tables) -> DataFrame:
@@ -201,7 +193,7 @@ def movements(t: Tables) -> DataFrame:
     deposits, N lines deposits of half the price when open and 1 % charges
     when filled.  ``transaction_id`` = TX + yyyymmdd + 6-digit daily number
     (W12)."""
-    return t.memo("movements", lambda: numbered_movements(unnumbered_movements(t)))
+    return t.memo("movements", lambda: numbered_movements(t, unnumbered_movements(t)))
 
 
 def unnumbered_movements(t: Tables) -> DataFrame:
@@ -229,18 +221,27 @@ def unnumbered_movements(t: Tables) -> DataFrame:
     return t.memo("unnumbered_movements", build)
 
 
-def numbered_movements(m: DataFrame) -> DataFrame:
+def numbered_movements(t: Tables, m: DataFrame) -> DataFrame:
     # a total order: rows equal on all of it are equal in every output
     # column, so numbering is identical on any retry
     from tesoro.operators.positions import daily_sequence_id
     m = daily_sequence_id(m, "date", F.lit("TX"),
                           ["l_orderkey", "l_linenumber", "l_partkey", "account_number",
                            "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"],
-                          width=6, out_col="transaction_id", step=TX_STEP)
+                          width=6, out_col="transaction_id", rows=day_rows(t, "lineitem", "l_shipdate"))
     return m.select("date", "transaction_id", "account_number", "currency", "type", "category",
                     "amount", "description")
 
 
+def day_rows(t: Tables, name: str, date_col: str) -> int | None:
+    """The size above which days are numbered by ranges, if the table has such
+    a day (one counting pass over its dates); None if not."""
+    def build():
+        days = t(name).select(F.to_date(date_col).alias("date"))
+        return RANGE_ROWS if has_wide_groups(days, ["date"]) else None
+    return t.memo(f"day_rows_{name}_{date_col}", build)
+
+
 def ledger_bounds(t: Tables) -> tuple[dt.date, dt.date]:
     return t.memo("ledger_bounds", lambda: C.date_bounds(unnumbered_movements(t), "date"))
 

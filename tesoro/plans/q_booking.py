@@ -23,9 +23,6 @@ from tesoro.plans.oracle_ctes import cte, sql
 from tesoro.plans.q_positions import limits
 from tesoro.plans.registry import query
 
-ID_STEP = 50_000_000   # order keys numbered together; changes no number
-
-
 def trades(t):
     def build():
         o = t("orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
@@ -131,7 +128,7 @@ def w12(t):
     trade of a day fails the query (see :func:`daily_sequence_id`)."""
     tr = trades(t)
     code = T.code_map(F.col("type"), T.TRADE_TYPE_CODES)
-    out = P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, out_col="new_trade_id", step=ID_STEP)
+    out = P.daily_sequence_id(tr, "trade_date", code, ["trade_id"], width=4, out_col="new_trade_id", rows=B.day_rows(t, "orders", "o_orderdate"))
     return out.select(F.col("trade_id").alias("order_key"), "new_trade_id")
 
 
@@ -152,7 +149,7 @@ SELECT max(seq) AS max_daily_sequence, max(seq) > 9999 AS overflow FROM trade_id
 """, "trade_ids"))
 def q04(t):
     tr = trades(t)
-    out = P.dense_sequence(tr, ["trade_date"], ["trade_id"], ID_STEP)
+    out = P.dense_sequence(tr, ["trade_date"], ["trade_id"], rows=B.day_rows(t, "orders", "o_orderdate"))
     return out.agg(F.max("seq").alias("max_daily_sequence"),
                    (F.max("seq") > P.MAX_DAILY_SEQUENCE).alias("overflow"))
 

@@ -11,6 +11,7 @@ from tesoro.operators import sweep as SW
 from tesoro.plans import bindings as B
 from tesoro.plans.oracle_ctes import cte, sql
 from tesoro.plans.registry import query
+from tesoro.session import staged
 
 INTEREST_RATE = 0.001  # binding parameter for D12 (the reference draws it at random)
 
@@ -133,7 +134,7 @@ def w15(t):
     the sweep and by the closing join, so staged once (accounts × days)."""
     def build():
         lo, hi = B.ledger_bounds(t)
-        return B.stage(LG.balance_roll_forward(B.accounts(t), B.movements(t), lo, hi))
+        return staged(LG.balance_roll_forward(B.accounts(t), B.movements(t), lo, hi))
     return t.memo("w15", build)
 
 
@@ -149,7 +150,7 @@ def ledger(t):
     day-by-day kernel."""
     def build():
         lo, hi = B.ledger_bounds(t)
-        return B.stage(LG.ledger_roll_forward(B.accounts(t), B.movements(t), lo, hi, mode="waterfall"))
+        return staged(LG.ledger_roll_forward(B.accounts(t), B.movements(t), lo, hi, mode="waterfall"))
     return t.memo("ledger", build)
 
 
@@ -365,7 +366,7 @@ def t02(t):
     They lie within the latest five dates, so only those are numbered."""
     m = B.unnumbered_movements(t)
     dates = m.select("date").distinct().orderBy(F.desc("date")).limit(5)
-    recent = B.numbered_movements(m.join(F.broadcast(dates), "date", "left_semi"))   # five rows
+    recent = B.numbered_movements(t, m.join(F.broadcast(dates), "date", "left_semi"))   # five rows
     return (recent.orderBy(F.desc("date"), F.desc("transaction_id")).limit(5)
             .select("date", "transaction_id", "account_number", "type", F.col("amount").cast("double").alias("amount")))
 

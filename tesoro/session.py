@@ -8,7 +8,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Partition counts are sized for the local
 # test box; on a cluster the session's own values win (see ``build_session``).
@@ -70,3 +70,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused sub-folder of the shared work folder."""
     base = work_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a reused intermediate as Parquet to the shared work folder: cuts
+    its lineage, survives executor loss, and readers prune its columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
