@@ -3,13 +3,15 @@ daily sweeps), D12 month_end_interest, D16 sweep_decomposition, W09/W10
 period-to-date sums.
 
 D09 is the one path-dependent recurrence that crosses accounts: a sweep on
-day t changes the opening balances of day t+1.  Sweeps never cross a pool
-(currency), so the pool is the unit of parallelism.  Movements are first
-pre-aggregated to one row per (account, day); each pool's rows are then
-hash-partitioned together and sorted by day, and a ``mapInPandas`` kernel
-streams them, holding only one balance per account in memory (never the
-pool's history).  All money is integer cents inside the kernel, so results
-are exact.
+day t changes the opening balances of day t+1.  Nothing is swept before a pool
+(currency) has its first overdrawn account, though, and that day is found from
+sums of each account's own movements.  Up to it balances are prefix sums,
+parallel over accounts; a pool without a deficit never goes further.  From
+that day on the pool is the unit of parallelism: its rows are hash-partitioned
+together and sorted by day, and a ``mapInPandas`` kernel streams them, holding
+only one balance per account in memory (never the pool's history), from the
+balances carried over.  Movements are first pre-aggregated to one row per
+(account, day).  All money is integer cents, so results are exact.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesoro.operators.sweep import AMOUNT, SWEEP_TYPE
+from tesoro.session import staged
 
 EPOCH = dt.date(1970, 1, 1)
 BALANCE_COLUMNS = ["date", "account_number", "currency", "starting_balance", "total_movements",
@@ -140,8 +143,8 @@ class _PoolStream:
 
 def _ledger_kernel(first_day: int, last_day: int, mode: str, pool_cols: list[str]):
     """mapInPandas body: rows arrive grouped by pool and sorted by
-    (day, kind); kind 0 = opening balance (on the day before the first), kind
-    1 = a day's net movement.  Rows are taken a day of a pool at a time; a day
+    (day, kind); kind 0 = opening balance (on the day before the pool's
+    first), kind 1 = a day's net movement.  Rows are taken a day of a pool at a time; a day
     that ends a batch waits for the next one."""
     def run(batches):
         key, stream, kept = None, None, None
@@ -159,9 +162,9 @@ def _ledger_kernel(first_day: int, last_day: int, mode: str, pool_cols: list[str
             if own != key:
                 yield from finish()
                 key = own
-                opening = day < first_day
+                opening = part["kind"].iat[0] == 0
                 stream = _PoolStream(key, accounts if opening else accounts[:0], cents if opening else cents[:0],
-                                     first_day, mode, pool_cols)
+                                     day + 1 if opening else first_day, mode, pool_cols)
                 if opening:
                     return
             yield from stream.advance(day, accounts, cents)
@@ -171,7 +174,9 @@ def _ledger_kernel(first_day: int, last_day: int, mode: str, pool_cols: list[str
                 continue
             pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
             ids = pdf[[*pool_cols, "day"]]
-            new = (ids != ids.shift()).any(axis=1).to_numpy()
+            last = ids.shift()
+            new = ((ids != last) & ~(ids.isna() & last.isna())).any(axis=1).to_numpy()     # NULL is a pool too
+            new[0] = True
             cuts = [*np.nonzero(new)[0], len(pdf)]
             for i, j in zip(cuts[:-2], cuts[1:-1]):
                 yield from day_of(pdf.iloc[i:j])
@@ -182,6 +187,52 @@ def _ledger_kernel(first_day: int, last_day: int, mode: str, pool_cols: list[str
     return run
 
 
+def _match(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys``, NULL equal to NULL, with the keys of ``left``."""
+    own = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    return left.join(own, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], how).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def first_deficits(op: DataFrame, mv: DataFrame, pool: list[str], first_day: int) -> DataFrame:
+    """pool…, first: the first day on which an account of the pool is
+    overdrawn by its own movements; one row a pool that has such a day."""
+    w = Window.partitionBy(*pool, "account_number").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    low = mv.withColumn("_after", F.col("open") + F.sum("cents").over(w)).filter("_after < 0").groupBy(*pool).agg(F.min("day").alias("first"))
+    # an account that opens overdrawn counts from the first day on
+    at_once = op.filter("open < 0").groupBy(*pool).agg(F.lit(first_day).alias("first"))
+    return staged(low.unionByName(at_once).groupBy(*pool).agg(F.min("first").alias("first")), "ledger-dips")
+
+
+def _unswept(op: DataFrame, mv: DataFrame, dips: DataFrame, pool: list[str], first_day: int, last_day: int) -> DataFrame:
+    """Days before the pool's first deficit: prefix sums, an account at a time."""
+    until = F.coalesce(F.col("first") - 1, F.lit(last_day))
+    spine = _match(op, dips, pool, "left").withColumn("_until", until).filter(F.col("_until") >= first_day)
+    spine = spine.select(*pool, "account_number", "open", F.explode(F.sequence(F.lit(first_day), F.col("_until"))).alias("day"))
+    j = _match(spine, mv.drop("open"), [*pool, "account_number", "day"], "left").withColumn("mov_c", F.coalesce("cents", F.lit(0).cast("long")))
+    w = Window.partitionBy(*pool, "account_number").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    j = j.withColumn("close_c", F.col("open") + F.sum("mov_c").over(w))
+    return j.select("day", "account_number", (F.col("close_c") - F.col("mov_c")).alias("start_c"), "mov_c",
+                    F.lit(0).cast("long").alias("sweep_c"), "close_c", *pool)
+
+
+def _swept(op: DataFrame, mv: DataFrame, dips: DataFrame, pool: list[str], first_day: int, last_day: int, mode: str,
+           num_partitions: int | None) -> DataFrame:
+    """Days from the pool's first deficit on: the kernel, a pool at a time,
+    from the balances the accounts have by then."""
+    moved = _match(mv, dips, pool)
+    before = moved.filter("day < first").groupBy(*pool, "account_number").agg(F.sum("cents").alias("_before"))
+    carried = _match(_match(op, dips, pool), before, [*pool, "account_number"], "left")
+    ev = carried.select(*pool, "account_number", (F.col("first") - 1).cast("int").alias("day"), F.lit(0).alias("kind"),
+                        (F.col("open") + F.coalesce("_before", F.lit(0).cast("long"))).alias("cents"))
+    ev = ev.unionByName(moved.filter("day >= first").select(*pool, "account_number", F.col("day").cast("int").alias("day"), F.lit(1).alias("kind"), "cents"))
+    n = num_partitions or int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ev = ev.repartition(n, *pool).sortWithinPartitions(*pool, "day", "kind", "account_number")
+    pool_fields = ", ".join(f"{c} {ev.schema[c].dataType.simpleString()}" for c in pool)
+    schema = (f"day int, account_number string, start_c long, mov_c long, sweep_c long, "
+              f"close_c long, {pool_fields}")
+    return ev.mapInPandas(_ledger_kernel(first_day, last_day, mode, pool), schema)
+
+
 def ledger_roll_forward(opening: DataFrame, movements: DataFrame, start, end,
                         mode: str = "waterfall", pool: list[str] | None = None,
                         account: str = "account_number", date_col: str = "date",
@@ -205,18 +256,14 @@ def ledger_roll_forward(opening: DataFrame, movements: DataFrame, start, end,
     mv = (movements.filter((F.col(date_col) >= F.lit(start)) & (F.col(date_col) <= F.lit(end)))
           .groupBy(*pool, account, date_col).agg(F.sum(cents(amount)).alias("cents"))
           .select(*pool, F.col(account).cast("string").alias("account_number"),
-                  F.datediff(F.col(date_col), F.lit(EPOCH)).alias("day"), F.lit(1).alias("kind"), "cents"))
-    op = opening.select(*pool, F.col(account).cast("string").alias("account_number"),
-                        F.lit(first_day - 1).alias("day"), F.lit(0).alias("kind"),
-                        (opening_amount(opening_col) * 100).cast("long").alias("cents"))
-    op = op.groupBy(*pool, "account_number", "day", "kind").agg(F.sum("cents").alias("cents"))
-    ev = op.unionByName(mv)
-    n = num_partitions or int(ev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ev = ev.repartition(n, *pool).sortWithinPartitions(*pool, "day", "kind", "account_number")
-    pool_fields = ", ".join(f"{c} {ev.schema[c].dataType.simpleString()}" for c in pool)
-    schema = (f"day int, account_number string, start_c long, mov_c long, sweep_c long, "
-              f"close_c long, {pool_fields}")
-    raw = ev.mapInPandas(_ledger_kernel(first_day, last_day, mode, pool), schema)
+                  F.datediff(F.col(date_col), F.lit(EPOCH)).alias("day"), "cents"))
+    op = opening.select(*pool, F.col(account).cast("string").alias("account_number"), (opening_amount(opening_col) * 100).cast("long").alias("open"))
+    op = op.groupBy(*pool, "account_number").agg(F.sum("open").alias("open"))
+    # one row a (account, day), read by both halves
+    mv = staged(_match(mv, op, [*pool, "account_number"]), "ledger-days")
+    dips = first_deficits(op, mv, pool, first_day)
+    raw = _unswept(op, mv, dips, pool, first_day, last_day).unionByName(
+        _swept(op, mv, dips, pool, first_day, last_day, mode, num_partitions))
     money = lambda c: (F.col(c).cast("decimal(20,0)") / 100).cast(AMOUNT)
     return raw.select(F.date_add(F.lit(EPOCH), F.col("day")).alias("date"), "account_number", *pool,
                       money("start_c").alias("starting_balance"), money("mov_c").alias("total_movements"),

@@ -157,3 +157,32 @@ def test_days_split_over_batches():
         got = pd.concat(list(run(parts)), ignore_index=True)
         pd.testing.assert_frame_equal(got, want)
     assert set(want["currency"]) == {"EUR", "GBP"}      # a pool without accounts has no balances
+
+
+def test_pools_enter_the_kernel_with_their_first_deficit(spark, monkeypatch):
+    """EUR dips on the fifth day, GBP never, JPY opens overdrawn, CHF has no
+    movements; the kernel sees no day before, and no pool without a deficit."""
+    start, end = dt.date(2026, 1, 1), dt.date(2026, 1, 9)
+    day = lambda k: start + dt.timedelta(days=k)
+    op = spark.createDataFrame([("A", "EUR", Decimal(10)), ("B", "EUR", Decimal(50)), ("C", "GBP", Decimal(5)), ("D", "JPY", Decimal(-3)),
+                                ("E", "JPY", Decimal(9)), ("F", "CHF", Decimal(1)), ("G", None, Decimal(2)), ("H", None, Decimal(-1))], OPEN)
+    mv = spark.createDataFrame([(day(1), "A", "EUR", Decimal(-4)), (day(4), "A", "EUR", Decimal(-20)), (day(4), "B", "EUR", Decimal(1)),
+                                (day(6), "B", "EUR", Decimal(-90)), (day(2), "C", "GBP", Decimal(-5)), (day(3), "E", "JPY", Decimal(-1)),
+                                (day(3), "H", None, Decimal(-9))], MOVE)
+    seen = []
+    real = LG._swept
+
+    def watched(op, mv, dips, *rest):
+        seen.extend(sorted((str(r[0]), r[1] - (start - LG.EPOCH).days) for r in dips.collect()))
+        return real(op, mv, dips, *rest)
+
+    monkeypatch.setattr(LG, "_swept", watched)
+    out = ledger_roll_forward(op, mv, start, end).collect()
+    assert seen == [("EUR", 4), ("JPY", 0), ("None", 0)]
+    assert len(out) == 8 * 9
+    got = {(r.account_number, (r.date - start).days): (int(r.starting_balance), int(r.total_movements), int(r.sweep_amount), int(r.closing_balance)) for r in out}
+    assert got["A", 3] == (6, 0, 0, 6) and got["A", 4] == (6, -20, 14, 0) and got["B", 4] == (50, 1, -14, 37)
+    assert got["A", 6] == (0, 0, 0, 0) and got["B", 6] == (37, -90, 0, -53)
+    assert got["C", 8] == (0, 0, 0, 0) and got["F", 8] == (1, 0, 0, 1)
+    assert got["D", 0] == (-3, 0, 3, 0) and got["E", 3] == (6, -1, 0, 5)
+    assert got["H", 0] == (-1, 0, 1, 0) and got["H", 3] == (0, -9, 1, -8) and got["G", 8] == (0, 0, 0, 0)
