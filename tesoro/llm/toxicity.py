@@ -3,17 +3,22 @@ block-max inverted index, distance-weighted votes, calibrated scores.
 
 * Examples: at most ``PER_CLASS`` labelled texts a class (a documented bound),
   those with the smallest hash of their id; equal texts count once.
-* Terms: the words whose presence differs most between the classes among the
-  examples (likelihood-ratio test, at most ``MAX_TERMS``); their document
-  frequencies are counted over the whole corpus.
-* Index: for each term the examples that hold it, in blocks of ``BLOCK``
-  examples with the largest weight of each block.  A text visits a block only
-  if its bound reaches the text's k-th cosine so far, so the k nearest are
-  exact.
+* Weights: (1 + log tf) * idf for every word of a text, with document
+  frequencies counted over the whole corpus.  Words in at most one of ``RARE``
+  documents share the idf of that share, so only the more frequent ones need a
+  table: at most ``RARE`` times the mean number of distinct words a document.
+  Words whose presence tells the classes apart among the examples (likelihood
+  ratio) weigh more; none is left out.
+* Index: postings of every word of the examples, cut into blocks of ``BLOCK``
+  examples with the largest weight a word has in each.  A text first visits
+  the blocks with the highest bounds, then every block whose bound reaches its
+  k-th cosine so far, so the k nearest are exact.  Norms run over all words of
+  a text, those that no example holds included.
 * Score: the neighbours' labels, weighted by 1 / (0.05 + distance), calibrated
   by a logistic fit to leave-one-out votes of the examples and set right for
-  the class shares of all labelled rows.  A text without any of the terms gets
-  the share of toxic texts among such examples.
+  the class shares of all labelled rows.  A text that shares no word with any
+  example gets the share of toxic texts among examples without words and one
+  clean one more.
 
 Labels, language, source and id of a scored text are never inputs of its
 score.
@@ -21,7 +26,9 @@ score.
 Defined results: a null text is empty; every row is scored, repeated ones and
 null ids too (a null id is not held out); without labelled rows of both
 classes every score is the share of toxic rows (0 if none); several labels of
-one id count as toxic if one does; other columns are ignored.
+one id count as toxic if one does; a very long text is one vector of its
+distinct words; equal cosines go to the example earlier in the index; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +41,17 @@ from pyspark.sql import functions as F
 from tesoro.llm.common import ascii_words, map_rows, stage, text_of
 
 PER_CLASS = 2000
-MAX_TERMS = 512
-#: Least likelihood ratio of a term (about one in 10^5 by chance).
-LEAST_G2 = 20.0
+#: Words in at most one of so many documents weigh alike.
+RARE = 1000
+#: Weight of the label test: sqrt of the likelihood ratio beyond chance.
+LABEL_WEIGHT = 1.0
+CHANCE = 3.0
 NEIGHBOURS = 15
 BLOCK = 32
+#: Blocks visited before bounds are compared with the k-th cosine.
+FIRST = 4
+#: Words a task counts before it passes them on.
+FLUSH = 200_000
 
 
 def examples(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFrame, dict[int, int]]:
@@ -62,91 +75,148 @@ def _term_rows(found: DataFrame) -> DataFrame:
     def count(batches):
         from collections import Counter
         for b in batches:
-            for doc, text, label in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-                yield [(doc, label, w, n) for w, n in Counter(ascii_words(text.as_py())).items()]
-    return map_rows(found.select("doc_id", "text", "label"), count, "doc_id long, label int, term binary, n int")
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+                yield [(doc, w, n) for w, n in Counter(ascii_words(text.as_py())).items()]
+    return map_rows(found.select("doc_id", "text"), count, "doc_id long, term binary, n int")
 
 
-def select_terms(rows: DataFrame, n0: int, n1: int, most: int = MAX_TERMS, least: float = LEAST_G2) -> list[bytes]:
-    """The terms whose presence tells the classes apart best."""
-    held = rows.groupBy("term").agg(F.sum(1 - F.col("label")).alias("a"), F.sum("label").alias("b"))
-    part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-    a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), float(n0 + n1)
-    p = (a + b) / n
-    g2 = 2 * (part(a, n0 * p) + part(b, n1 * p) + part(n0 - a, n0 * (1 - p)) + part(n1 - b, n1 * (1 - p)))
-    best = held.withColumn("g2", g2).where(F.col("g2") >= least).orderBy(F.col("g2").desc(), "term").limit(most)
-    return [bytes(r["term"]) for r in best.collect()]
-
-
-def document_frequencies(docs: DataFrame, terms: list[bytes]) -> tuple[dict[bytes, int], int]:
-    """Documents of the whole corpus that hold each term, and their number."""
-    known = frozenset(terms)
-
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """(term, n): the documents of the corpus that hold each word; the empty
+    term counts all documents."""
     def count(batches):
         from collections import Counter
         n: Counter = Counter()
         for b in batches:
             n[b""] += b.num_rows
-            for text in b.column(1):
-                n.update(known.intersection(ascii_words(text.as_py())))
+            for text in b.column(0):
+                n.update(set(ascii_words(text.as_py())))
+                if len(n) >= FLUSH:
+                    yield list(n.items())
+                    n = Counter()
         yield list(n.items())
 
-    rows = map_rows(text_of(docs), count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {bytes(r["term"]): r["n"] for r in rows}
-    return found, found.pop(b"", 0)
+    return map_rows(text_of(docs).select("text"), count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def label_weights(a, b, n0: int, n1: int):
+    """Weight of each word from the examples of the classes that hold it
+    (``a``, ``b`` of ``n0``, ``n1``): 1 for a word that tells nothing."""
+    import numpy as np
+    a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+    if not n0 or not n1:
+        return np.ones(len(a))
+    share = (a + b) / (n0 + n1)
+    g2 = np.zeros(len(a))
+    for seen, expected in ((a, n0 * share), (b, n1 * share), (n0 - a, n0 * (1 - share)), (n1 - b, n1 * (1 - share))):
+        g2 += 2 * seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1))
+    return 1 + LABEL_WEIGHT * np.maximum(0, np.sqrt(np.maximum(g2, 0)) - CHANCE)
+
+
+def _ranges(start, length):
+    """The numbers of all ranges, one after the other."""
+    import numpy as np
+    before = np.cumsum(length) - length
+    return np.repeat(start - before, length) + np.arange(int(length.sum()))
 
 
 class Examples:
-    """Block-max inverted index over the examples' unit TF-IDF vectors."""
+    """Block-max inverted index over the examples' unit vectors.
 
-    def __init__(self, terms, idf, vectors, labels, ids, shares, k: int = NEIGHBOURS):
+    ``total`` documents, ``held`` the documents of each word that stands in
+    more than one of ``rare`` of them; ``counts`` the words of each example."""
+
+    def __init__(self, counts, labels, ids, held: dict[bytes, int], total: int, shares: dict[int, int],
+                 k: int = NEIGHBOURS, rare: int = RARE):
+        import numpy as np
+        self.k = k
+        own = sorted(set().union(*counts)) if counts else []
+        other = sorted(held.keys() - set(own))
+        self.own = len(own)
+        self.column = {t: i for i, t in enumerate(own + other)}
+        least = total / rare
+        seen = np.array([held.get(t, 0) for t in own + other] + [0], dtype=float)   # the last: any other word
+        idf = np.log1p(total / np.maximum(np.maximum(seen, least), 1e-9)) if total else np.ones(len(seen))
+        n = [labels.count(0), labels.count(1)]
+        holds = np.zeros((2, self.own))
+        for c, label in zip(counts, labels):
+            holds[label, [self.column[t] for t in c]] += 1
+        self.idf = idf
+        self.telling = label_weights(*holds, *n)
+        self.idf[:self.own] *= self.telling
+        vectors = [self.vector(c) for c in counts]
+        # examples with the same heaviest word share blocks: tighter bounds
+        filled = [i for i, (cols, _) in enumerate(vectors) if len(cols)] if min(n) else []
+        heaviest = {i: int(vectors[i][0][vectors[i][1].argmax()]) for i in filled}
+        order = sorted(filled, key=lambda i: (heaviest[i], ids[i]))
+        self.label = np.array([labels[i] for i in order], dtype=float)
+        self.ids = np.array([ids[i] for i in order], dtype=np.int64)
+        self._index([vectors[i] for i in order])
+        self._calibrate(labels, [vectors[i] for i in order], len(order), n, shares)
+
+    def _index(self, vectors):
+        import numpy as np
+        empty = [np.zeros(0)]
+        cols = np.concatenate([c for c, _ in vectors] or empty).astype(np.int64)
+        weight = np.concatenate([w for _, w in vectors] or empty)
+        rows = np.repeat(np.arange(len(vectors)), [len(c) for c, _ in vectors])
+        at = np.lexsort((rows, cols))
+        cols, self.rows, self.weight = cols[at], rows[at], weight[at]
+        block = self.rows // BLOCK
+        first = np.ones(len(cols), bool)
+        first[1:] = (cols[1:] != cols[:-1]) | (block[1:] != block[:-1])
+        begin = np.nonzero(first)[0]
+        self.begin = np.append(begin, len(cols))          # postings of an entry (word, block)
+        self.block = block[begin]
+        self.most = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
+        self.entry = np.searchsorted(cols[begin], np.arange(self.own + 1))   # entries of a word
+        self.blocks = -(-len(vectors) // BLOCK)
+
+    def vector(self, counts):
+        """(columns, weights) of the words the index knows; the text's norm
+        over all its words is 1."""
         import numpy as np
-        self.k, self.column = k, {t: i for i, t in enumerate(terms)}
-        self.idf = np.array([idf[t] for t in terms])
-        filled = [i for i, v in enumerate(vectors) if v]
-        dense = self.vectors([vectors[i] for i in filled])
-        # examples with the same heaviest term share blocks: tighter bounds
-        order = sorted(range(len(filled)), key=lambda i: (int(dense[i].argmax()), ids[filled[i]]))
-        self.dense = dense[order]
-        self.label = np.array([labels[filled[i]] for i in order], dtype=float)
-        self.ids = np.array([ids[filled[i]] for i in order], dtype=np.int64)
-        self.blocks = []
-        for at in range(0, len(order), BLOCK):
-            part = self.dense[at:at + BLOCK]
-            used = np.nonzero(part.any(axis=0))[0]
-            self.blocks.append((at, used, part[:, used]))
-        self.most = np.array([self.dense[at:at + BLOCK].max(axis=0) for at, *_ in self.blocks]).reshape(len(self.blocks), len(terms))
-        self._calibrate(labels, filled, shares)
-
-    def vectors(self, counts):
-        """Unit vectors (1 + log tf) * idf of word counts."""
+        get, other = self.column.get, len(self.idf) - 1
+        cols = np.array([get(t, other) for t in counts], dtype=np.int64)
+        x = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.idf[cols]
+        norm = math.sqrt(float(np.sort(x * x).sum()))
+        keep = cols < self.own
+        return cols[keep], x[keep] / (norm or 1.0)
+
+    def _cosines(self, entries, q, chosen):
+        """Cosines with the examples of the chosen blocks."""
         import numpy as np
-        x = np.zeros((len(counts), len(self.idf)))
-        for i, c in enumerate(counts):
-            for t, n in c.items():
-                x[i, self.column[t]] = 1 + math.log(n)
-        x *= self.idf
-        norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
-        return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
-
-    def nearest(self, q, skip=None):
-        """(cosines, example rows) of the k nearest, best first; row -1 where
-        there are fewer.  ``skip``: the example a query itself is."""
+        take = chosen[self.block[entries]]
+        entries, q = entries[take], q[take]
+        length = self.begin[entries + 1] - self.begin[entries]
+        at = _ranges(self.begin[entries], length)
+        return np.bincount(self.rows[at], np.repeat(q, length) * self.weight[at], len(self.ids))
+
+    def nearest(self, cols, q, skip: int = -1):
+        """(cosines, example rows) of the k nearest, best first; cosine 0 and
+        row -1 where there are fewer.  ``skip``: the example a query is."""
         import numpy as np
-        sims = np.zeros((len(q), self.k))
-        rows = np.full((len(q), self.k), -1)
-        bound = np.round(q @ self.most.T, 9) + 1e-9 if self.blocks else np.zeros((len(q), 0))
-        for b, (at, used, part) in enumerate(self.blocks):
-            go = np.nonzero((bound[:, b] > 2e-9) & (bound[:, b] >= sims[:, -1]))[0]
-            if not len(go):
-                continue
-            s = np.round(q[np.ix_(go, used)] @ part.T, 9)
-            own = np.broadcast_to(np.arange(at, at + len(part)), s.shape)
-            if skip is not None:
-                s = np.where(own == skip[go][:, None], 0, s)
-            s, own = np.hstack([sims[go], s]), np.hstack([rows[go], np.where(s > 0, own, -1)])
-            best = np.argsort(-s, axis=1, kind="stable")[:, :self.k]
-            sims[go], rows[go] = np.take_along_axis(s, best, 1), np.take_along_axis(own, best, 1)
+        sims, rows = np.zeros(self.k), np.full(self.k, -1)
+        length = self.entry[cols + 1] - self.entry[cols]
+        entries, q = _ranges(self.entry[cols], length), np.repeat(q, length)
+        if not len(entries):
+            return sims, rows
+        bound = np.bincount(self.block[entries], q * self.most[entries], self.blocks) + 1e-8
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        s = self._cosines(entries, q, first)
+        if skip >= 0:
+            s[skip] = 0
+        kth = np.partition(s, -self.k)[-self.k] if len(s) >= self.k else 0.0
+        rest = (bound >= kth) & (bound > 1e-8) & ~first
+        if rest.any():
+            s = s + self._cosines(entries, q, rest)
+            if skip >= 0:
+                s[skip] = 0
+        s = np.round(s, 9)
+        kth = np.partition(s, -self.k)[-self.k] if len(s) >= self.k else 0.0
+        found = np.nonzero((s >= kth) & (s > 0))[0]
+        found = found[np.argsort(-s[found], kind="stable")][:self.k]
+        sims[:len(found)], rows[:len(found)] = s[found], found
         return sims, rows
 
     def votes(self, sims, rows):
@@ -156,17 +226,18 @@ class Examples:
         toxic = (w * self.label[np.maximum(rows, 0)]).sum(axis=1) if len(self.label) else total * 0
         return np.where(total > 0, toxic / np.where(total > 0, total, 1), np.nan)
 
-    def _calibrate(self, labels, filled, shares):
+    def _calibrate(self, labels, vectors, filled, n, shares):
         import numpy as np
-        n = {c: max(1, sum(1 for x in labels if x == c)) for c in (0, 1)}
         all_rows = max(1, shares.get(0, 0) + shares.get(1, 0))
-        weight = {c: shares.get(c, 0) / all_rows / n[c] for c in (0, 1)}
-        filled_set = set(filled)
-        bare = {c: weight[c] * sum(1 for i, x in enumerate(labels) if x == c and i not in filled_set) for c in (0, 1)}
-        self.bare = bare[1] / (bare[0] + bare[1]) if bare[0] + bare[1] > 0 else shares.get(1, 0) / all_rows
+        weight = {c: shares.get(c, 0) / all_rows / max(1, n[c]) for c in (0, 1)}
+        bare = [n[c] - int((self.label == c).sum()) for c in (0, 1)]
+        odds = [weight[c] * bare[c] for c in (0, 1)]
+        # one clean example without known words is taken for granted
+        self.bare = odds[1] / (sum(odds) + weight[0]) if min(n) else shares.get(1, 0) / all_rows
         self.a, self.b = 6.0, -3.0
-        if len(self.label):
-            v = self.votes(*self.nearest(self.dense, np.arange(len(self.dense))))
+        if filled:
+            near = [self.nearest(*v, skip=i) for i, v in enumerate(vectors)]
+            v = self.votes(np.array([s for s, _ in near]), np.array([r for _, r in near]))
             ok = ~np.isnan(v)
             x = np.stack([v[ok], np.ones(ok.sum())], 1)
             y, w = self.label[ok], np.array([weight[int(c)] for c in self.label[ok]])
@@ -185,58 +256,56 @@ class Examples:
             self.a, self.b = (float(z) for z in beta)
 
     def score(self, counts):
-        """(score, ids of the nearest examples) of word counts."""
+        """(score, ids of the nearest examples) of each text's word counts."""
         import numpy as np
-        scores = np.full(len(counts), self.bare)
-        near: list[list[int]] = [[] for _ in counts]
-        go = [i for i, c in enumerate(counts) if c] if len(self.label) else []
-        for at in range(0, len(go), 2000):
-            part = go[at:at + 2000]
-            sims, rows = self.nearest(self.vectors([counts[i] for i in part]))
-            v = self.votes(sims, rows)
-            scores[part] = np.where(np.isnan(v), self.bare, 1 / (1 + np.exp(-(self.a * np.nan_to_num(v) + self.b))))
-            for i, r in zip(part, rows):
-                near[i] = [int(self.ids[x]) for x in r[:3] if x >= 0]
-        return scores, near
-
-
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> Examples:
+        near = [self.nearest(*self.vector(c)) for c in counts] if len(self.label) else []
+        if not near:
+            return np.full(len(counts), self.bare), [[] for _ in counts]
+        rows = np.array([r for _, r in near])
+        v = self.votes(np.array([s for s, _ in near]), rows)
+        scores = np.where(np.isnan(v), self.bare, 1 / (1 + np.exp(-(self.a * np.nan_to_num(v) + self.b))))
+        return scores, [[int(self.ids[x]) for x in r[:3] if x >= 0] for r in rows]
+
+    def tells(self, counts) -> list[bytes]:
+        """A text's words that weigh more for their labels, strongest first."""
+        known = ((self.telling[i], t) for t in counts if (i := self.column.get(t, self.own)) < self.own)
+        return [t for w, t in sorted(known, key=lambda x: (-x[0], x[1])) if w > 1]
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS, rare: int = RARE) -> Examples:
     """Index and calibration from labelled rows; corpus counts from all docs.
-    What reaches the driver is bounded by ``per_class`` and ``MAX_TERMS``."""
+    What reaches the driver is the words of at most ``2 * per_class`` texts and
+    the words in more than one of ``rare`` documents."""
     found, shares = examples(docs, labels, per_class)
-    rows = _term_rows(found)
-    sizes = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    terms = select_terms(rows, sizes.get(0, 0), sizes.get(1, 0)) if min(sizes.get(0, 0), sizes.get(1, 0)) else []
-    held, total = document_frequencies(docs, terms)
-    idf = {t: math.log((1 + total) / (1 + held.get(t, 0))) + 0.1 for t in terms}
-    ids = found.select("doc_id", "label").collect()
-    vectors: dict[int, dict[bytes, int]] = {r["doc_id"]: {} for r in ids}
-    if terms:
-        for r in rows.where(F.col("term").isin([bytearray(t) for t in terms])).collect():
-            vectors[r["doc_id"]][bytes(r["term"])] = r["n"]
-    ids.sort()
-    return Examples(terms, idf, [vectors[r["doc_id"]] for r in ids], [r["label"] for r in ids], [r["doc_id"] for r in ids], shares, k)
-
-
-def _counts(column, model: Examples):
+    ids = sorted((r["doc_id"], r["label"]) for r in found.select("doc_id", "label").collect())
+    place = {doc: i for i, (doc, _) in enumerate(ids)}
+    counts: list[dict[bytes, int]] = [{} for _ in ids]
+    for b in _term_rows(found).toArrow().to_batches():
+        for doc, term, n in zip(*(c.to_pylist() for c in b.columns)):
+            counts[place[doc]][term] = n
+    words = stage(document_frequencies(docs), "toxicity-words")
+    total = sum(r["n"] for r in words.where(F.col("term") == F.lit(bytearray())).collect())
+    often = words.where((F.col("n") * rare > total) & (F.length("term") > 0)).toArrow()
+    held = dict(zip(often["term"].to_pylist(), often["n"].to_pylist()))
+    return Examples(counts, [label for _, label in ids], [doc for doc, _ in ids], held, total, shares, k, rare)
+
+
+def word_counts(column) -> list:
     from collections import Counter
-    known = model.column
-    out = []
-    for text in column:
-        words = ascii_words(text.as_py() or "")
-        out.append(Counter(w for w in words if w in known) if not known.keys().isdisjoint(words) else {})
-    return out
+    return [Counter(ascii_words(text.as_py() or "")) for text in column]
 
 
 def score(docs: DataFrame, model: Examples) -> DataFrame:
     """doc_id, score, predicted, evidence (ids of the nearest examples) and
-    terms (the text's words that the index knows)."""
+    terms (the text's words that tell the classes apart)."""
     def run(batches):
         for b in batches:
-            counts = _counts(b.column(1), model)
-            scores, near = model.score(counts)
-            yield [(d, float(s), int(s >= 0.5), e, [t.decode("utf-8", "replace") for t in sorted(c)])
-                   for d, s, e, c in zip(b.column(0).to_pylist(), scores, near, counts)]
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                counts = word_counts(part.column(1))
+                scores, near = model.score(counts)
+                yield [(d, float(s), int(s >= 0.5), e, [t.decode("utf-8", "replace") for t in model.tells(c)])
+                       for d, s, e, c in zip(part.column(0).to_pylist(), scores, near, counts)]
     return map_rows(text_of(docs), run, "doc_id long, score double, predicted int, evidence array<long>, terms array<string>")
 
 
@@ -247,7 +316,9 @@ def keep_civil(docs: DataFrame, model: Examples) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            yield b.filter(pa.array(model.score(_counts(b.column(at), model))[0] < 0.5, pa.bool_()))
+            for i in range(0, b.num_rows, 500):
+                part = b.slice(i, 500)
+                yield part.filter(pa.array(model.score(word_counts(part.column(at)))[0] < 0.5, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
