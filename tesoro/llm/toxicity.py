@@ -12,8 +12,10 @@ block-max inverted index, distance-weighted votes, calibrated scores.
 * Index: postings of every word of the examples, cut into blocks of ``BLOCK``
   examples with the largest weight a word has in each.  A text first visits
   the blocks with the highest bounds, then every block whose bound reaches its
-  k-th cosine so far, so the k nearest are exact.  Norms run over all words of
-  a text, those that no example holds included.
+  k-th cosine so far, so the k nearest are exact.  Words of more than one of
+  ``DENSE`` examples have full rows of postings (at most ``DENSE`` times the
+  mean number of words an example) that a batch of texts meets at once.  Norms
+  run over all words of a text, those that no example holds included.
 * Score: the neighbours' labels, weighted by 1 / (0.05 + distance), calibrated
   by a logistic fit to leave-one-out votes of the examples and set right for
   the class shares of all labelled rows.  A text that shares no word with any
@@ -50,6 +52,10 @@ NEIGHBOURS = 15
 BLOCK = 32
 #: Blocks visited before bounds are compared with the k-th cosine.
 FIRST = 4
+#: A word in more than one of so many examples has its postings as a full row.
+DENSE = 16
+#: Texts searched together.
+BATCH = 250
 #: Words a task counts before it passes them on.
 FLUSH = 200_000
 
@@ -129,7 +135,10 @@ class Examples:
                  k: int = NEIGHBOURS, rare: int = RARE):
         import numpy as np
         self.k = k
-        own = sorted(set().union(*counts)) if counts else []
+        from collections import Counter
+        holders = Counter(t for c in counts for t in c)
+        own = sorted(holders, key=lambda t: (holders[t] * DENSE <= len(counts), t))
+        self.common = sum(1 for n in holders.values() if n * DENSE > len(counts))   # the first columns
         other = sorted(held.keys() - set(own))
         self.own = len(own)
         self.column = {t: i for i, t in enumerate(own + other)}
@@ -143,6 +152,7 @@ class Examples:
         self.idf = idf
         self.telling = label_weights(*holds, *n)
         self.idf[:self.own] *= self.telling
+        self.strong = {t: float(w) for t, w in zip(own, self.telling) if w > 1}
         vectors = [self.vector(c) for c in counts]
         # examples with the same heaviest word share blocks: tighter bounds
         filled = [i for i, (cols, _) in enumerate(vectors) if len(cols)] if min(n) else []
@@ -160,16 +170,21 @@ class Examples:
         weight = np.concatenate([w for _, w in vectors] or empty)
         rows = np.repeat(np.arange(len(vectors)), [len(c) for c, _ in vectors])
         at = np.lexsort((rows, cols))
-        cols, self.rows, self.weight = cols[at], rows[at], weight[at]
+        cols, rows, weight = cols[at], rows[at], weight[at]
+        self.blocks = -(-len(vectors) // BLOCK)
+        often = cols < self.common
+        full = np.zeros((self.common, self.blocks * BLOCK))
+        full[cols[often], rows[often]] = weight[often]
+        self.full, self.full_most = full[:, :len(vectors)].copy(), full.reshape(self.common, self.blocks, BLOCK).max(axis=2)
+        cols, self.rows, self.weight = cols[~often], rows[~often], weight[~often]
         block = self.rows // BLOCK
         first = np.ones(len(cols), bool)
         first[1:] = (cols[1:] != cols[:-1]) | (block[1:] != block[:-1])
         begin = np.nonzero(first)[0]
-        self.begin = np.append(begin, len(cols))          # postings of an entry (word, block)
+        self.begin, self.size = begin, np.diff(np.append(begin, len(cols)))   # postings of an entry (word, block)
         self.block = block[begin]
         self.most = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
         self.entry = np.searchsorted(cols[begin], np.arange(self.own + 1))   # entries of a word
-        self.blocks = -(-len(vectors) // BLOCK)
 
     def vector(self, counts):
         """(columns, weights) of the words the index knows; the text's norm
@@ -183,40 +198,56 @@ class Examples:
         return cols[keep], x[keep] / (norm or 1.0)
 
     def _cosines(self, entries, q, chosen):
-        """Cosines with the examples of the chosen blocks."""
+        """Shares of rarer words in the cosines with the chosen blocks."""
         import numpy as np
         take = chosen[self.block[entries]]
         entries, q = entries[take], q[take]
-        length = self.begin[entries + 1] - self.begin[entries]
+        length = self.size[entries]
         at = _ranges(self.begin[entries], length)
         return np.bincount(self.rows[at], np.repeat(q, length) * self.weight[at], len(self.ids))
 
-    def nearest(self, cols, q, skip: int = -1):
-        """(cosines, example rows) of the k nearest, best first; cosine 0 and
-        row -1 where there are fewer.  ``skip``: the example a query is."""
+    def _nearest(self, cols, q, s, bound, skip):
+        """The k nearest of one text; ``s`` and ``bound`` hold the shares of
+        common words.  Weights are positive, so cosines only grow: the k-th
+        value at any moment is at most the k-th cosine."""
         import numpy as np
-        sims, rows = np.zeros(self.k), np.full(self.k, -1)
         length = self.entry[cols + 1] - self.entry[cols]
         entries, q = _ranges(self.entry[cols], length), np.repeat(q, length)
-        if not len(entries):
-            return sims, rows
-        bound = np.bincount(self.block[entries], q * self.most[entries], self.blocks) + 1e-8
+        bound = bound + np.bincount(self.block[entries], q * self.most[entries], self.blocks) + 1e-8
         first = np.zeros(self.blocks, bool)
-        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
-        s = self._cosines(entries, q, first)
+        first[np.argpartition(-bound, FIRST - 1)[:FIRST] if self.blocks > FIRST else slice(None)] = True
+        s = s + self._cosines(entries, q, first)
         if skip >= 0:
             s[skip] = 0
         kth = np.partition(s, -self.k)[-self.k] if len(s) >= self.k else 0.0
-        rest = (bound >= kth) & (bound > 1e-8) & ~first
+        rest = (bound >= kth) & ~first
         if rest.any():
-            s = s + self._cosines(entries, q, rest)
+            s += self._cosines(entries, q, rest)
             if skip >= 0:
                 s[skip] = 0
         s = np.round(s, 9)
         kth = np.partition(s, -self.k)[-self.k] if len(s) >= self.k else 0.0
         found = np.nonzero((s >= kth) & (s > 0))[0]
         found = found[np.argsort(-s[found], kind="stable")][:self.k]
-        sims[:len(found)], rows[:len(found)] = s[found], found
+        return s[found], found
+
+    def nearest(self, vectors, skip=None):
+        """(cosines, example rows) of the k nearest of each vector, best first;
+        cosine 0 and row -1 where there are fewer.  ``skip``: the example each
+        text is itself."""
+        import numpy as np
+        sims, rows = np.zeros((len(vectors), self.k)), np.full((len(vectors), self.k), -1)
+        for at in range(0, len(vectors), BATCH) if self.blocks else ():
+            part = vectors[at:at + BATCH]
+            q = np.zeros((len(part), self.common))
+            for i, (cols, w) in enumerate(part):
+                often = cols < self.common
+                q[i, cols[often]] = w[often]
+            shares, bounds = q @ self.full, q @ self.full_most
+            for i, (cols, w) in enumerate(part):
+                rare = cols >= self.common
+                found, r = self._nearest(cols[rare], w[rare], shares[i], bounds[i], -1 if skip is None else skip[at + i])
+                sims[at + i, :len(r)], rows[at + i, :len(r)] = found, r
         return sims, rows
 
     def votes(self, sims, rows):
@@ -236,8 +267,7 @@ class Examples:
         self.bare = odds[1] / (sum(odds) + weight[0]) if min(n) else shares.get(1, 0) / all_rows
         self.a, self.b = 6.0, -3.0
         if filled:
-            near = [self.nearest(*v, skip=i) for i, v in enumerate(vectors)]
-            v = self.votes(np.array([s for s, _ in near]), np.array([r for _, r in near]))
+            v = self.votes(*self.nearest(vectors, range(filled)))
             ok = ~np.isnan(v)
             x = np.stack([v[ok], np.ones(ok.sum())], 1)
             y, w = self.label[ok], np.array([weight[int(c)] for c in self.label[ok]])
@@ -258,18 +288,14 @@ class Examples:
     def score(self, counts):
         """(score, ids of the nearest examples) of each text's word counts."""
         import numpy as np
-        near = [self.nearest(*self.vector(c)) for c in counts] if len(self.label) else []
-        if not near:
-            return np.full(len(counts), self.bare), [[] for _ in counts]
-        rows = np.array([r for _, r in near])
-        v = self.votes(np.array([s for s, _ in near]), rows)
+        sims, rows = self.nearest([self.vector(c) for c in counts])
+        v = self.votes(sims, rows)
         scores = np.where(np.isnan(v), self.bare, 1 / (1 + np.exp(-(self.a * np.nan_to_num(v) + self.b))))
         return scores, [[int(self.ids[x]) for x in r[:3] if x >= 0] for r in rows]
 
     def tells(self, counts) -> list[bytes]:
         """A text's words that weigh more for their labels, strongest first."""
-        known = ((self.telling[i], t) for t in counts if (i := self.column.get(t, self.own)) < self.own)
-        return [t for w, t in sorted(known, key=lambda x: (-x[0], x[1])) if w > 1]
+        return sorted(self.strong.keys() & counts.keys(), key=lambda t: (-self.strong[t], t))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS, rare: int = RARE) -> Examples:

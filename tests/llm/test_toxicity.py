@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tesoro.llm import toxicity as tox
 from tesoro.llm.common import table
@@ -20,7 +21,9 @@ def weighted(counts, own, held, total, rare, telling):
     return {t: v / norm for t, v in x.items()}
 
 
-def test_index_is_exact():
+@pytest.mark.parametrize("dense", [4, 14, 1000])
+def test_index_is_exact(monkeypatch, dense):
+    monkeypatch.setattr(tox, "DENSE", dense)
     rng = np.random.default_rng(1)
     terms = [b"t%d" % i for i in range(60)]
     held = {t: i + 1 for i, t in enumerate(terms[:50])}
@@ -32,7 +35,7 @@ def test_index_is_exact():
     full = {i: weighted(c, own, held, 400, 200, telling) for i, c in enumerate(counts) if c}
     for c in make(60) + counts[:20] + [{b"new": 3}, {b"new": 1, terms[0]: 2}]:
         q = weighted(c, own, held, 400, 200, telling) if c else {}
-        sims, rows = index.nearest(*index.vector(c))
+        (sims,), (rows,) = index.nearest([index.vector(c)])
         cosine = {i: sum(w * full[i].get(t, 0) for t, w in q.items()) for i in full}
         want = sorted((s for s in cosine.values() if s > 1e-9), reverse=True)[:7]
         assert np.allclose(sims, want + [0] * (7 - len(want)), atol=2e-9)
