@@ -23,6 +23,7 @@ from tesoro.sinks import writers as K
 from tesoro.sinks.versioned import VersionedTable
 from tesoro.sources import readers as S
 from tesoro.streaming.daily_files import daily_file_stream
+from tesoro.streaming.ledger_store import LedgerStore, ledger_stream
 
 MOV_DDL = ("date date, transaction_id string, account_number string, currency string, type string, "
            "category string, amount decimal(18,2), description string")
@@ -417,6 +418,43 @@ def z01(t):
     return target.read().groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
 
 
+def movement_files(t):
+    """The movements as CSV files in folders by year."""
+    cols = B.movements(t).select("account_number", "date", "amount", F.year("date").alias("year"))
+    return landed(t, "movement-files", lambda p: cols.hint("rebalance", F.col("year")).write.partitionBy("year").option("header", True).csv(p))
+
+
+def ledger_store(t) -> LedgerStore:
+    """Every movement file loaded by the stream, four a commit."""
+    def build():
+        store = LedgerStore(t.spark, scratch_path(t.spark, "ledger-store"))
+        ledger_stream(t.spark, movement_files(t), "account_number string, date date, amount decimal(18,2)", store,
+                      scratch_path(t.spark, "ledger-checkpoint"), max_files=4)
+        return store
+    return t.memo("ledger_store", build)
+
+
+@query("z01_ledger_by_file", sql("""
+SELECT date, account_number, currency, CAST(starting_balance AS DOUBLE) AS starting_balance,
+       CAST(total_movements AS DOUBLE) AS total_movements, CAST(closing_balance AS DOUBLE) AS closing_balance
+FROM w15""", "w15"))
+def z01_ledger(t):
+    """The daily balances of W15 from a ledger kept file by file."""
+    lo, hi = B.ledger_bounds(t)
+    return _dbl(ledger_store(t).balances(B.accounts(t), lo, hi), "starting_balance", "total_movements", "closing_balance") \
+        .select("date", "account_number", "currency", "starting_balance", "total_movements", "closing_balance")
+
+
+@query("x02_resume_from_state", sql("""
+SELECT a.account_number, CAST(a.opening_balance + coalesce(m.total, 0) AS DOUBLE) AS starting_balance
+FROM accounts a LEFT JOIN (SELECT account_number, sum(amount) AS total FROM movements GROUP BY account_number) m
+     ON m.account_number = a.account_number""", "accounts", "movements"))
+def x02_state(t):
+    """The balance every account resumes from, read from the last month's
+    state alone."""
+    return ledger_store(t).closing(B.accounts(t)).select("account_number", F.col("opening_balance").cast("double").alias("starting_balance"))
+
+
 # --- set and order operators -------------------------------------------------------
 
 @query("u01_union_all", sql("""

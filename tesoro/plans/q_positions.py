@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tesoro.operators import intervals as I
 from tesoro.operators import limits as L
+from tesoro.operators.asof import as_of_join
+from tesoro.operators.ranged import RANGE_ROWS, has_wide_groups
 from tesoro.plans import bindings as B
 from tesoro.plans.oracle_ctes import sql
 from tesoro.plans.registry import query
@@ -96,3 +98,23 @@ def d05(t):
 def limits(t):
     return t.memo("limits", lambda: L.limit_utilisation(
         B.limit_reviews(t), B.exposure(t), B.bdays(t, "as_of_date"), B.calendar_end(t)))
+
+
+# --- as-of join on instants ---------------------------------------------------------
+
+@query("j11_as_of_instants", """
+WITH views AS (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'view' GROUP BY user_id, ts),
+     purchases AS (SELECT * FROM events WHERE event_type = 'purchase')
+SELECT p.event_id, p.user_id, v.event_id AS view_id,
+       CASE WHEN epoch_us(p.ts) - epoch_us(v.ts) <= 86400000000 THEN v.event_id END AS view_of_the_day
+FROM purchases p ASOF LEFT JOIN views v ON p.user_id = v.user_id AND p.ts >= v.ts
+""")
+def as_of_instants(t):
+    """Each purchase with the user's last view at or before it, and with that
+    view if it is at most a day old."""
+    e = t("events")
+    views, purchases = e.where("event_type = 'view'"), e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    wide = RANGE_ROWS if has_wide_groups(e.where("event_type IN ('view', 'purchase')"), ["user_id"]) else None
+    found = as_of_join(purchases, views, ["user_id"], "ts", "ts", {"view_id": "event_id", "_viewed": "ts"}, tie=["event_id"], rows=wide)
+    day = F.expr("timestampdiff(MICROSECOND, _viewed, ts)") <= 86_400_000_000
+    return found.select("event_id", "user_id", "view_id", F.when(day, F.col("view_id")).alias("view_of_the_day"))
