@@ -306,9 +306,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int =
     ids = sorted((r["doc_id"], r["label"]) for r in found.select("doc_id", "label").collect())
     place = {doc: i for i, (doc, _) in enumerate(ids)}
     counts: list[dict[bytes, int]] = [{} for _ in ids]
-    for b in _term_rows(found).toArrow().to_batches():
-        for doc, term, n in zip(*(c.to_pylist() for c in b.columns)):
-            counts[place[doc]][term] = n
+    rows = _term_rows(found).toArrow()
+    term = rows["term"].combine_chunks().dictionary_encode()
+    own = term.dictionary.to_pylist()       # one object a word, however many examples hold it
+    for at in range(0, rows.num_rows, FLUSH // 4):
+        part = rows.slice(at, FLUSH // 4)
+        for doc, i, n in zip(part["doc_id"].to_pylist(), term.indices.slice(at, FLUSH // 4).to_pylist(), part["n"].to_pylist()):
+            counts[place[doc]][own[i]] = n
+    del rows, term
     words = stage(document_frequencies(docs), "toxicity-words")
     total = sum(r["n"] for r in words.where(F.col("term") == F.lit(bytearray())).collect())
     often = words.where((F.col("n") * rare > total) & (F.length("term") > 0)).toArrow()
