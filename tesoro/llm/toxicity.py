@@ -177,14 +177,13 @@ class Examples:
         full[cols[often], rows[often]] = weight[often]
         self.full, self.full_most = full[:, :len(vectors)].copy(), full.reshape(self.common, self.blocks, BLOCK).max(axis=2)
         cols, self.rows, self.weight = cols[~often], rows[~often], weight[~often]
-        block = self.rows // BLOCK
+        self.block = self.rows // BLOCK
         first = np.ones(len(cols), bool)
-        first[1:] = (cols[1:] != cols[:-1]) | (block[1:] != block[:-1])
+        first[1:] = (cols[1:] != cols[:-1]) | (self.block[1:] != self.block[:-1])
         begin = np.nonzero(first)[0]
-        self.begin, self.size = begin, np.diff(np.append(begin, len(cols)))   # postings of an entry (word, block)
-        self.block = block[begin]
-        self.most = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
-        self.entry = np.searchsorted(cols[begin], np.arange(self.own + 1))   # entries of a word
+        self.most = np.zeros(len(cols))     # largest weight of a word in a block, at its first posting there
+        self.most[begin] = np.maximum.reduceat(self.weight, begin) if len(begin) else 0
+        self.begin = np.searchsorted(cols, np.arange(self.own + 1))   # postings of a word
 
     def vector(self, counts):
         """(columns, weights) of the words the index knows; the text's norm
@@ -197,32 +196,30 @@ class Examples:
         keep = cols < self.own
         return cols[keep], x[keep] / (norm or 1.0)
 
-    def _cosines(self, entries, q, chosen):
-        """Shares of rarer words in the cosines with the chosen blocks."""
+    def _cosines(self, at, q, take):
+        """Shares of rarer words in the cosines, from the postings to take."""
         import numpy as np
-        take = chosen[self.block[entries]]
-        entries, q = entries[take], q[take]
-        length = self.size[entries]
-        at = _ranges(self.begin[entries], length)
-        return np.bincount(self.rows[at], np.repeat(q, length) * self.weight[at], len(self.ids))
+        at, q = at[take], q[take]
+        return np.bincount(self.rows[at], q * self.weight[at], len(self.ids))
 
     def _nearest(self, cols, q, s, bound, skip):
         """The k nearest of one text; ``s`` and ``bound`` hold the shares of
         common words.  Weights are positive, so cosines only grow: the k-th
         value at any moment is at most the k-th cosine."""
         import numpy as np
-        length = self.entry[cols + 1] - self.entry[cols]
-        entries, q = _ranges(self.entry[cols], length), np.repeat(q, length)
-        bound = bound + np.bincount(self.block[entries], q * self.most[entries], self.blocks) + 1e-8
+        length = self.begin[cols + 1] - self.begin[cols]
+        at, q = _ranges(self.begin[cols], length), np.repeat(q, length)
+        block = self.block[at]
+        bound = bound + np.bincount(block, q * self.most[at], self.blocks) + 1e-8
         first = np.zeros(self.blocks, bool)
         first[np.argpartition(-bound, FIRST - 1)[:FIRST] if self.blocks > FIRST else slice(None)] = True
-        s = s + self._cosines(entries, q, first)
+        s = s + self._cosines(at, q, first[block])
         if skip >= 0:
             s[skip] = 0
         kth = np.partition(s, -self.k)[-self.k] if len(s) >= self.k else 0.0
         rest = (bound >= kth) & ~first
         if rest.any():
-            s += self._cosines(entries, q, rest)
+            s += self._cosines(at, q, rest[block])
             if skip >= 0:
                 s[skip] = 0
         s = np.round(s, 9)
