@@ -46,4 +46,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every query module (registration happens on import)."""
     from tesoro.plans import (q_calendar, q_positions, q_collateral, q_treasury, q_fx,  # noqa: F401
-                              q_measures, q_booking, q_scalar, q_io, q_rules)
+                              q_measures, q_booking, q_scalar, q_io, q_rules, q_distinct)
