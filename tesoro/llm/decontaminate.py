@@ -17,11 +17,15 @@ characters, so the data broadcast at once is bounded however many items there
 are.  The texts never leave their task.
 
 Edit budget: ``rate`` of the item's length, lowered for short items until the
-bound is positive.  Items with fewer than q characters never match.
-
-Defined results: null texts match nothing; null and repeated ids are reported
-row by row; several matches of one item in one text give the best one
-(fewest edits, then the first place); other columns are ignored.
+bound is positive.  Items with fewer than q characters have no q-gram; they
+match where exactly their words stand next to each other (their places are
+found by a table of such items, looked up at every word of a text).
+
+Defined results: null texts match nothing; items without a word match
+nothing; null and repeated ids are reported row by row; several matches of one
+item in one text give the best one (fewest edits, then the first place); a very
+long text is looked up place by place within its task; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -103,6 +107,11 @@ class GramTable:
         self.seen[self.code >> np.uint64(42)] = True
         self.width = np.array([e + 1 for *_, e in self.items], np.int64)
         self.need = np.array([len(t) - q + 1 - q * e for _, t, e in self.items], np.int64)
+        self.short: dict[bytes, list[int]] = {}     # items without a q-gram
+        for i, t in items:
+            if 0 < len(t) < q:
+                self.short.setdefault(t, []).append(i)
+        self.lengths = sorted({t.count(b" ") + 1 for t in self.short})
 
     def codes(self, text: bytes):
         """A 64-bit code of the q-gram at every place."""
@@ -118,6 +127,22 @@ class GramTable:
 
     def matches(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(item id, start, end, edits), one row an item."""
+        return self._near(text) + (self._short(text) if self.short else [])
+
+    def _short(self, text: bytes) -> list[tuple[int, int, int, int]]:
+        """The first place of each short item, word by word."""
+        words, found, start = text.split(), {}, 0
+        for i, w in enumerate(words):
+            for n in self.lengths:
+                if i + n > len(words):
+                    break
+                piece = b" ".join(words[i:i + n]) if n > 1 else w
+                if piece in self.short and piece not in found:
+                    found[piece] = start
+            start += len(w) + 1
+        return [(i, at, at + len(t), 0) for t, at in sorted(found.items()) for i in self.short[t]]
+
+    def _near(self, text: bytes) -> list[tuple[int, int, int, int]]:
         import numpy as np
         if not self.items:
             return []

@@ -27,7 +27,7 @@ def cases():
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("aeiourstln") for _ in range(rng.randint(2, 7)))
     prose = lambda n: " ".join(word() for _ in range(n))
-    items = [(i, prose(rng.choice([6, 20, 40]))) for i in range(8)] + [(20, "tiny"), (21, None), (22, "")]
+    items = [(i, prose(rng.choice([6, 20, 40]))) for i in range(8)] + [(20, "tiny"), (21, None), (22, ""), (23, "a b, c"), (24, "...")]
     docs = []
     for i in range(50):
         t = prose(rng.choice([0, 30, 200]))
@@ -36,7 +36,8 @@ def cases():
             cut = rng.randrange(len(t) + 1)
             t = t[:cut] + " " + noisy(rng, item, rng.randint(0, len(item) // 12)) + " " + t[cut:]
         docs.append((i, t))
-    docs += [(60, None), (61, ""), (None, "xx " + items[1][1].upper().replace(" ", ",\n") + "!"), (62, items[2][1] * 3), (1, docs[1][1])]
+    docs += [(60, None), (61, ""), (None, "xx " + items[1][1].upper().replace(" ", ",\n") + "!"), (62, items[2][1] * 3), (1, docs[1][1]),
+             (63, "xtiny tinyx a b"), (64, "x a b a B C."), (65, "Tiny; a b c tiny")]
     return docs, items
 
 
@@ -52,6 +53,8 @@ def test_matches_brute_force(spark, docs_of):
             p = dec.reduced(item).decode()
             if len(p) >= dec.Q and (n := distance(p, text)) <= dec.budget(len(p)):
                 want.append((d, i, n))
+            if 0 < len(p) < dec.Q and f" {p} " in f" {text} ":
+                want.append((d, i, 0))
     assert found == sorted(want, key=str)
     assert any(n == 0 for *_, n in want) and any(n > 1 for *_, n in want)
     flagged = [d for d, *_ in want]
@@ -76,3 +79,13 @@ def test_band_of_many_diagonals():
     item, head = chars(300), chars(6000)
     text = head + item[:100] + item[101:200] + b"z" + item[200:] + chars(50)
     assert dec.banded_alignment(item, text, 0, 6100, 20) == (2, 6000, 6300)
+
+
+def test_place_of_short_items_and_a_very_long_text(spark, docs_of):
+    rng = random.Random(3)
+    filler = " ".join("".join(rng.choice("xyz") for _ in range(5)) for _ in range(200_000))
+    bench = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "the quick brown fox jumps over")], "item_id long, text string")
+    text = filler + " a b the quick brown fox jumps over"
+    got = dec.contaminated(docs_of([(5, text), (6, filler)]), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.first_word, r.n_words, r.edits) for r in got) == [
+        (5, 1, 200_000, 2, 0), (5, 2, 200_000, 2, 0), (5, 3, 200_002, 6, 0)]
