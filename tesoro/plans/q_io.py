@@ -20,6 +20,7 @@ from tesoro.plans.q_treasury import ledger, sweeps
 from tesoro.plans.registry import query
 from tesoro.session import scratch_path
 from tesoro.sinks import writers as K
+from tesoro.sinks.keyed import KeyedTable
 from tesoro.sinks.versioned import VersionedTable
 from tesoro.sources import readers as S
 from tesoro.streaming.daily_files import daily_file_stream
@@ -251,6 +252,16 @@ def k05(t):
     return table.read().select(*FX.FX_COLUMNS)
 
 
+@query("k05_upsert_keyed", sql("SELECT date, currency, fx_to_usd, fx_quality_flag FROM fx_merged", "fx_merged"))
+def k05_keyed(t):
+    """K05 on a keyed table: fetched rates replace stored ones of the same
+    (date, currency); parts whose filters hold no such key are not read."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "k05-keyed"), ["date", "currency"])
+    table.upsert(QF.stored(t))
+    table.upsert(FX.merge_sources([QF.norm(t, QF.src_fetched(t))], QF.SEQ))
+    return table.read().select(*FX.FX_COLUMNS)
+
+
 def _raw_rates(t):
     srcs = [QF.norm(t, f(t)).withColumn("src", F.lit(i))
             for i, f in enumerate((QF.src_db, QF.src_csv, QF.src_fetched))]
