@@ -53,10 +53,20 @@ def numbered_ids(facts: DataFrame, id_col: str, day_col: str, known: DataFrame |
 
 def distinct_state(facts: DataFrame, id_col: str, members: list[str], numbers: DataFrame) -> DataFrame:
     """(members ..., bucket, bits): the ids of each member as bitmaps.
-    Members are any columns, a day or month among them; NULL is a member."""
+    Members are any columns, a day or month among them; NULL is a member.
+
+    The narrow rows are dealt by member and bucket before any bitmap is made,
+    so each bitmap is made once and whole: no task holds a part of most bitmaps
+    and none are shuffled."""
     own = facts.where(F.col(id_col).isNotNull()).select(id_col, *members).distinct().join(numbers, id_col)
-    return own.groupBy(*members, F.bitmap_bucket_number(NUMBER).alias(BUCKET)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias(BITS))
+    dealt = own.select(*members, F.bitmap_bucket_number(NUMBER).alias(BUCKET),
+                       F.bitmap_bit_position(NUMBER).alias("_bit")).repartition(*members, BUCKET)
+    return dealt.groupBy(*members, BUCKET).agg(F.bitmap_construct_agg("_bit").alias(BITS))
+
+
+def _unions(state: DataFrame, by: list[str]) -> DataFrame:
+    """One bitmap for each ``by`` and bucket."""
+    return state.groupBy(*by, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
 
 
 def merge_states(first: DataFrame, *more: DataFrame) -> DataFrame:
@@ -80,19 +90,21 @@ def distinct_cube(state: DataFrame, by: list[str], out: str = "n") -> DataFrame:
     up column (its bit is 1, the last column has the lowest) from a NULL
     member."""
     subsets = [[c for i, c in enumerate(by) if not level >> (len(by) - 1 - i) & 1] for level in range(1 << len(by))]
-    sets = (state.groupingSets([[F.col(BUCKET), *[F.col(c) for c in s]] for s in subsets], BUCKET, *by)
+    # members that no roll-up tells apart are one bitmap before it is repeated
+    sets = (_unions(state, by).groupingSets([[F.col(BUCKET), *[F.col(c) for c in s]] for s in subsets], BUCKET, *by)
             .agg(F.grouping_id().alias(LEVEL), F.bitmap_count(F.bitmap_or_agg(BITS)).alias("_n")))
     return sets.groupBy(*by, LEVEL).agg(F.sum("_n").cast("long").alias(out))
 
 
 def distinct_rolling(state: DataFrame, day_col: str, step: int, periods: int, by: list[str] | None = None, out: str = "n") -> DataFrame:
     """The distinct ids of the ``periods`` periods of ``step`` days that end
-    with each period of ``state``, whose ``day_col`` holds first days.  Each
-    bitmap goes to the periods it counts in; no fact is repeated."""
+    with each period of ``state``, whose ``day_col`` holds first days.  The
+    bitmaps of a period are united first, and each union goes to the periods it
+    counts in; no fact is repeated."""
     by = by or []
     periods_seen = state.select(day_col, *by).distinct()
     ahead = F.explode(F.transform(F.sequence(F.lit(0), F.lit(periods - 1)), lambda k: F.date_add(F.col(day_col), (k * step).cast("int"))))
-    spread = state.select(ahead.alias("_to"), *by, BUCKET, BITS)
+    spread = _unions(state, [day_col, *by]).select(ahead.alias("_to"), *by, BUCKET, BITS)
     match = [F.col("_to") == F.col(f"_p_{day_col}"), *[F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in by]]
     seen = periods_seen.select(*[F.col(c).alias(f"_p_{c}") for c in [day_col, *by]])
     return distinct_counts(spread.join(seen, match, "left_semi").withColumnRenamed("_to", day_col), [day_col, *by], out)
