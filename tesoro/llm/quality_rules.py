@@ -227,12 +227,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
         for b in batches:
             ids, good, at = b.column(0).to_pylist(), b.column(1).to_pylist(), 0
             for m in measured(b.column(2).to_pylist()):
-                rows = [(ids[at + i], good[at + i], *f) for i, f in enumerate(features(m))]
+                rows = [(ids[at + i], good[at + i], np.array(a, np.int32).tobytes(), np.array(x, np.float32).tobytes())
+                        for i, (a, x) in enumerate(features(m))]
                 at += len(rows)
                 yield rows
 
     rows = labelled(docs, labels, per_class).select("doc_id", "good", "text")
-    got = sorted(map_rows(rows, run, "doc_id long, good boolean, at array<int>, x array<float>").collect(), key=lambda r: r["doc_id"])
+    # features reach the driver as bytes, not as a Python number each
+    got = sorted(map_rows(rows, run, "doc_id long, good boolean, at binary, x binary").collect(), key=lambda r: r["doc_id"])
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("q"))
     n = known.agg(F.count("*").alias("n"), F.count(F.when(F.col("q") > 0, 1)).alias("good")).first()
     good = [r["good"] for r in got]
@@ -244,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     for g in good:
         fold.append(order[g] % FOLDS)
         order[g] += 1
-    feats = [(r["at"], r["x"]) for r in got]
+    feats = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["x"], np.float32).astype(float)) for r in got]
     fitted = [i for i, f in enumerate(fold) if f or min(order) < FOLDS]
     held = [i for i, f in enumerate(fold) if not f]
     w = fit_weights([feats[i] for i in fitted], [good[i] for i in fitted])

@@ -79,3 +79,13 @@ def test_held_out_labels_are_met_and_probabilities_calibrated(spark):
     assert np.mean([r.score >= 0.5 for r in good]) > 0.99 and np.mean([r.score >= 0.5 for r in bad]) < 0.05
     assert abs(np.mean([r.score for r in found]) - np.mean([r.quality for r in found])) < 0.03
     assert np.mean([(r.score - r.quality) ** 2 for r in found]) < 0.02
+
+
+def test_features_reach_the_driver_as_bytes(spark, docs_of, monkeypatch):
+    seen, real = [], qr.map_rows
+    monkeypatch.setattr(qr, "map_rows", lambda df, fn, ddl: seen.append(ddl) or real(df, fn, ddl))
+    docs = docs_of([(i, f"word{i % 3} text {i} of it") for i in range(20)] + [(20, ""), (21, None)])
+    labels = spark.createDataFrame([(i, i % 2, 0, "x") for i in range(22)], LABELS)
+    model = qr.fit(docs, labels)
+    assert len(seen) == 1 and "array" not in seen[0]
+    assert np.isfinite(model.weights).all() and np.abs(model.weights).max() > 0
