@@ -133,20 +133,23 @@ FROM usd_daily d LEFT JOIN usd_flows f ON f.date = d.date""", "usd_daily", "usd_
 def d15(t):
     """Balances and movements in USD (J12: amount / fx_to_usd), month- and
     year-to-date (W09/W10), deposits and withdrawals (F07), month-end
-    closing (F08).  Facts are converted then summed to day grain first;
-    the period windows run over that day series (bounded by the calendar)."""
+    closing (F08).  Facts are summed by day and currency, which have one
+    rate, as DECIMAL (so exactly); these sums are converted and summed to day
+    grain, and the period windows run over that day series.  What meets the
+    rates is bounded by calendar × currencies, as the rates are."""
     from tesoro.operators import fx as FX
     from tesoro.operators.ledger import period_to_date
     from tesoro.plans.q_fx import history
-    from tesoro.plans.q_treasury import ledger
+    from tesoro.plans.q_treasury import ledger_sums
     rates = history(t).select("date", "currency", "fx_to_usd")
-    led = FX.convert_to_usd(ledger(t), rates, "closing_balance", "_c")
+    led = FX.convert_to_usd(ledger_sums(t), rates, "closing_balance", "_c")
     led = led.withColumn("_m", F.try_divide(F.col("total_movements").cast("double"), F.col("fx_to_usd")))
     # day totals shown to 4 decimals, then carried as DECIMAL so the period
     # sums are exact (a double sum's last bits depend on the order)
     usd = lambda c: F.round(F.sum(c), 4).cast("decimal(38,4)")
     daily = led.groupBy("date").agg(usd("_c").alias("closing_usd"), usd("_m").alias("movements_usd"))
-    mv = FX.convert_to_usd(B.movements(t), rates, "amount", "_u")
+    mv = B.unnumbered_movements(t).groupBy("date", "currency", "type").agg(F.sum("amount").alias("amount"))
+    mv = FX.convert_to_usd(mv, rates, "amount", "_u")
     flows = mv.groupBy("date").agg(
         F.round(F.sum(F.when(F.col("type") == "Deposit", F.col("_u"))), 4).alias("deposits_usd"),
         F.round(F.abs(F.sum(F.when(F.col("type") == "Withdraw", F.col("_u")))), 4).alias("withdrawals_usd"))

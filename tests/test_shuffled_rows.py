@@ -82,3 +82,45 @@ def test_movements_are_numbered_before_their_texts_are_added(spark, tmp_path):
     assert "Withdraw" in p[:p.index("Window")] and "Withdraw" not in p[p.index("Window"):]
     got = [(r.transaction_id[-1], r.type, r.category, float(r.amount), r.description) for r in m.orderBy(F.col("transaction_id")).collect()]
     assert got == [("1", "Withdraw", "Transactions", -10.0, "Withdraw movement"), ("2", "Charges", "Fees", -0.1, "Bank charges")]
+
+
+def line_tables(spark, path):
+    """Two suppliers in N1, one in the base currency, one of an unknown nation."""
+    rows = [dict(l_orderkey=i, l_linenumber=1, l_partkey=i, l_suppkey=i % 5 or None, l_extendedprice=100.0 * (i % 7 + 1), l_returnflag="RAN"[i % 3],
+                 l_linestatus="OF"[i % 2], l_shipdate=dt.datetime(2026, 1, 29) + dt.timedelta(days=i % 4), l_quantity=float(i % 2 + 1)) for i in range(60)]
+    tables = {"lineitem": rows, "supplier": [dict(s_suppkey=k, s_nationkey=n, s_acctbal=50.0 * k) for k, n in ((1, 0), (2, 1), (3, 1), (4, 9))],
+              "nation": [dict(n_nationkey=k, n_name=f"NATION_{k}", n_regionkey=0) for k in (0, 1)], "region": [dict(r_regionkey=0, r_name="R0")]}
+    for name, table in tables.items():
+        spark.createDataFrame(table).write.parquet(f"{path}/{name}.parquet")
+    return B.Tables(spark, str(path))
+
+
+def test_lines_are_not_shuffled_to_meet_their_accounts(spark, tmp_path):
+    t = line_tables(spark, tmp_path)
+    m = B.unnumbered_movements(t)
+    assert "Exchange hashpartitioning" not in plan(m)
+    known = {1, 2, 3}
+    assert sorted(r.l_orderkey for r in m.collect()) == [i for i in range(60) if i % 5 in known]
+
+
+def test_only_sums_meet_the_rates(spark, tmp_path):
+    from tesoro.plans import q_fx, q_rules, q_treasury
+    t = line_tables(spark, tmp_path)
+    out = q_rules.d15(t)
+    assert not t.known("ledger")                     # accounts x days are not written
+    assert "partial_sum(amount" in plan(out)         # lines are summed before they are shuffled
+    rate = {(r.date, r.currency): r.fx_to_usd for r in q_fx.history(t).collect()}
+    usd = lambda rows, col: round(sum(float(r[col]) / rate[r.date, r.currency] for r in rows), 4)
+    led, mv = q_treasury.ledger(t).collect(), B.movements(t).collect()
+    rows = out.collect()
+    got = {r.date: r for r in rows}
+    assert sorted(got) == [dt.date(2026, 1, 29) + dt.timedelta(days=k) for k in range(4)]
+    for day, r in got.items():
+        own, moved = [x for x in led if x.date == day], [x for x in mv if x.date == day]
+        want = (usd(own, "closing_balance"), usd(own, "total_movements"), usd([x for x in moved if x.type == "Deposit"], "amount"),
+                -usd([x for x in moved if x.type == "Withdraw"], "amount"), usd(own, "closing_balance") if day == dt.date(2026, 1, 31) else None)
+        assert all(a == b if b is None else abs(a - b) < 2e-4 for a, b in zip((r.closing_usd, r.movements_usd, r.deposits_usd, r.withdrawals_usd, r.month_end_closing_usd), want))
+    # the sums are the same when an earlier query has staged the ledger
+    again = B.Tables(spark, str(tmp_path))
+    q_treasury.ledger(again)
+    assert sorted(q_rules.d15(again).collect()) == sorted(rows)
