@@ -43,16 +43,20 @@ def cumulative_mtm(df: DataFrame, key: str, date_col: str, step_col: str, size_c
 def valuation_dates(legs: DataFrame, business_days: DataFrame, as_of, trade_col: str = "trade_id",
                     bank_col: str = "bank_id", size_col: str = "trade_size_usd",
                     order: tuple[str, ...] = ("trade_date", "bank_id", "leg_id"),
-                    date_col: str = "report_date", extra_attrs: tuple[str, ...] = ()) -> DataFrame:
+                    date_col: str = "report_date", extra_attrs: tuple[str, ...] = (), keep=None) -> DataFrame:
     """D06 dates: business days in [trade_date, min(max value_date, as_of)],
-    inclusive (Trap5, Trap6), with the first leg's bank and size (Trap7)."""
+    inclusive (Trap5, Trap6), with the first leg's bank and size (Trap7).
+
+    ``keep``, if given, gets the rows of one a trade before their days are
+    written out and returns them, staged or dealt by trade."""
     attrs = [bank_col, size_col, *extra_attrs]
     first = F.min_by(F.struct(*[F.col(a) for a in attrs]), F.struct(*[F.col(c) for c in order])).alias("_first")
     t = (legs.groupBy(trade_col).agg(F.min("trade_date").alias("trade_date"), F.max("value_date").alias("_last_value"), first)
          .select(trade_col, "trade_date", "_last_value", *[F.col(f"_first.{a}").alias(a) for a in attrs]))
-    t = t.withColumn("_end", F.least(F.col("_last_value"), F.lit(as_of).cast("date")))
+    t = t.withColumn("_end", F.least(F.col("_last_value"), F.lit(as_of).cast("date"))).drop("_last_value")
+    t = keep(t) if keep else t
     days = I.expand_active(t, business_days, "trade_date", "_end", date_col, inclusive_end=True)
-    return days.drop("_end", "_last_value")
+    return days.drop("_end")
 
 
 def trade_valuation(dated_steps: DataFrame, trade_col: str = "trade_id",

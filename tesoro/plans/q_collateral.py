@@ -11,14 +11,26 @@ from tesoro.operators import positions as P
 from tesoro.plans import bindings as B
 from tesoro.plans.oracle_ctes import cte, sql
 from tesoro.plans.registry import query
+from tesoro.session import staged
 
 # --- Spark side -------------------------------------------------------------
 
 
+def kept_trades(t):
+    """One row a trade, staged: reports value the trades more than once (every
+    load of K02 does), and the lines are shuffled only for the first.  Dealt by
+    trade into as many parts as the session shuffles to; AQE would join them by
+    the size of the trades, which is a small part of that of their days."""
+    def keep(trades):
+        return t.memo("kept_trades", lambda: staged(trades, "valued-trades")).repartition(
+            int(t.spark.conf.get("spark.sql.shuffle.partitions")), "trade_id")
+    return keep
+
+
 def trade_mtm(t):
     """D06 on the bindings: one row per (report_date, trade) valued."""
     def build():
-        dates = P.valuation_dates(B.legs(t), B.bdays(t), B.calendar_end(t), extra_attrs=("step_rate",))
+        dates = P.valuation_dates(B.legs(t), B.bdays(t), B.calendar_end(t), extra_attrs=("step_rate",), keep=kept_trades(t))
         dates = dates.withColumn("step", P.steps_from_rate("step_rate", "report_date"))
         return P.trade_valuation(dates)
     return t.memo("trade_mtm", build)

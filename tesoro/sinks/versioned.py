@@ -34,6 +34,10 @@ from tesoro.session import scratch_path
 from tesoro.sinks.writers import keep_last_per_key
 
 
+#: The folder of rows without a value of the partition column.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
 class ConcurrentCommit(RuntimeError):
     """Another writer published the next version first; run the load again."""
 
@@ -150,18 +154,23 @@ class VersionedTable:
 
     # --- writing ---------------------------------------------------------------
 
-    def _commit(self, df: DataFrame, base: Manifest | None, keep, marks: dict[str, dt.date] | None = None) -> int:
+    def _commit(self, df: DataFrame, base: Manifest | None, keep, marks=None) -> int | None:
         """Write ``df`` to a commit of its own and publish it with the parts
-        of ``base`` that ``keep(part, written parts)`` lets stay."""
+        of ``base`` that ``keep(part, written parts)`` lets stay.  ``marks`` may
+        be a function of the written parts; if it returns None, nothing is
+        published and the commit goes."""
         version = base.version + 1 if base else 1
         commit = f"{version:08d}-{uuid.uuid4().hex[:12]}"
         folder = f"{self.path}/data/commit={commit}"
-        w = df
-        if self.partition_col:
-            w = w.hint("rebalance", F.col(self.partition_col))
-        w = w.write.mode("errorifexists")
+        w = self._dealt(df) if self.partition_col else df
+        w = w.write.mode("errorifexists").option("compression", "zstd")
         (w.partitionBy(self.partition_col) if self.partition_col else w).parquet(folder)
         written = [n for n in self.files.names(folder) if "=" in n] if self.partition_col else [""]
+        if callable(marks):
+            marks = marks(written)
+            if marks is None:
+                self.files.delete(folder)
+                return None
         parts = {p: list(c) for p, c in (base.parts.items() if base else ()) if keep(p, written)}
         for p in written:
             parts.setdefault(p, []).append(commit)
@@ -169,6 +178,15 @@ class VersionedTable:
         self._publish(Manifest(version, df.schema.json(), parts, known))
         return version
 
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """Rows of one folder together; folders by date a week together, as
+        the days of a key that stand in a row then stay next to each other and
+        shrink to a fraction when they are shuffled."""
+        if not isinstance(df.schema[self.partition_col].dataType, T.DateType):
+            return df.hint("rebalance", F.col(self.partition_col))
+        week = f"_week_of_{self.partition_col}"
+        return df.withColumn(week, F.trunc(self.partition_col, "week")).hint("rebalance", F.col(week)).drop(week)
+
     def _publish(self, m: Manifest) -> None:
         name = f"{self.path}/_versions/{m.version:08d}.json"
         if not self.files.put_new(name, json.dumps(m.__dict__, sort_keys=True)):
@@ -183,7 +201,7 @@ class VersionedTable:
         base = self.manifest()
         return self._commit(self._like(df, base), base, lambda part, written: True, marks)
 
-    def replace_partitions(self, df: DataFrame, marks: dict[str, dt.date] | None = None) -> int:
+    def replace_partitions(self, df: DataFrame, marks=None) -> int | None:
         """The partitions that ``df`` has rows of hold those rows only;
         others stay."""
         base = self.manifest()
@@ -234,18 +252,19 @@ class VersionedTable:
         mark's own day again (rows that came late to it are not lost) and the
         days re-opened, each replaced as a whole; the source holds whole days.
         Rows and the new mark are one version.  None if there is nothing to
-        load."""
+        load.  The source is run through once: the new mark is the last day
+        that has a folder."""
         if self.partition_col != date_col:
             raise ValueError("load_newer needs folders by the date column")
         mark = self.mark(dataset)
         days = F.lit(True) if mark is None else F.col(date_col) >= F.lit(mark)
         if mark is not None and reopened:
             days = days | F.col(date_col).isin(*reopened)
-        rows = source.where(days)
-        last = rows.agg(F.max(date_col)).first()[0]
-        if last is None:
-            return None
-        return self.replace_partitions(rows, {dataset: max(last, mark) if mark else last})
+
+        def moved(written: list[str]) -> dict[str, dt.date] | None:
+            loaded = [dt.date.fromisoformat(d) for d in (unquote(n.split("=", 1)[1]) for n in written) if d != NO_DATE]
+            return {dataset: max([*loaded, mark] if mark else loaded)} if loaded else None
+        return self.replace_partitions(source.where(days), moved)
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Delete commits that none of the last ``keep`` versions names, those

@@ -124,3 +124,42 @@ def test_only_sums_meet_the_rates(spark, tmp_path):
     again = B.Tables(spark, str(tmp_path))
     q_treasury.ledger(again)
     assert sorted(q_rules.d15(again).collect()) == sorted(rows)
+
+
+def trade_tables(spark, path):
+    """Order 2 stands twice, customer 11 twice, customer 13 nowhere."""
+    line = lambda k, n, part, size: dict(l_orderkey=k, l_linenumber=n, l_partkey=part, l_suppkey=1, l_quantity=1.0, l_extendedprice=size, l_discount=0.05,
+                                         l_tax=0.01, l_returnflag="R", l_linestatus="F", l_shipdate=dt.datetime(2026, 1, 1))
+    order = lambda k, c, day: dict(o_orderkey=k, o_custkey=c, o_orderstatus="F", o_orderdate=dt.datetime(2026, 1, day))
+    tables = {"lineitem": [line(1, 2, 3, 20.0), line(1, 1, 1, 10.0), line(2, 1, 0, 30.0), line(3, 1, 0, 40.0), line(9, 1, 0, 50.0)],
+              "orders": [order(1, 10, 5), order(2, 13, 6), order(2, 11, 7), order(3, 13, 8)],
+              "customer": [dict(c_custkey=k, c_mktsegment=m) for k, m in ((10, "A"), (11, "B"), (11, None), (12, "C"))]}
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, "c_custkey long, c_mktsegment string" if name == "customer" else None).write.parquet(f"{path}/{name}.parquet")
+    return B.Tables(spark, str(path))
+
+
+def test_orders_meet_customers_before_their_lines(spark, tmp_path):
+    legs = B.legs(trade_tables(spark, tmp_path))
+    got = sorted((r.trade_id, r.bank_id or "", r.trade_date.day, float(r.trade_size_usd)) for r in legs.collect())
+    assert got == [(1, "A", 5, 10.0), (1, "A", 5, 20.0), (2, "", 7, 30.0), (2, "B", 7, 30.0)]
+    assert sorted((r.trade_id, float(r.trade_size_usd), r.leg_id) for r in legs.filter("trade_id = 1").collect()) == [(1, 10.0, 1), (1, 20.0, 2)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = [x for x in plan(legs.groupBy("trade_id").agg(F.min("leg_id"), F.min("bank_id"))).splitlines() if "Exchange hashpartitioning" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # lines and orders by order, orders and customers by customer; the joined lines are dealt no more
+    assert sorted(x.split("(")[1].split("#")[0] for x in lines) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+
+
+def test_valued_days_come_from_trades_that_are_kept(spark, tmp_path):
+    from tesoro.plans.q_collateral import trade_mtm
+    m = trade_mtm(trade_tables(spark, tmp_path))
+    p = plan(m)
+    assert "l_orderkey" not in p                                    # the lines are not shuffled again for each load
+    assert p.count("Exchange hashpartitioning") == 1 and p.index("Generate explode(sequence") < p.index("Exchange hashpartitioning")
+    got = sorted((r.trade_id, r.report_date.day, r.bank_id, float(r.trade_size_usd), round(float(r.mtm), 6)) for r in m.filter("trade_id = 1").collect())
+    # 4 % a year's steps of (day mod 5) - 2 hundredths: 5, 6, 7, 8, 9 January
+    assert got == [(1, 5, "A", 10.0, -0.0008), (1, 6, "A", 10.0, -0.0012), (1, 7, "A", 10.0, -0.0012), (1, 8, "A", 10.0, -0.0008), (1, 9, "A", 10.0, 0.0)]

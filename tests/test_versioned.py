@@ -114,6 +114,33 @@ def test_marks_move_with_the_rows_and_late_rows_are_loaded(spark, monkeypatch):
     assert (t.mark("fx"), t.mark("mtm")) == (D[4], D[5])
 
 
+def test_a_load_runs_its_source_once(spark):
+    t = VersionedTable(spark, scratch_path(spark, "t-version"), "date")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(d):
+        seen.add(1)
+        return d
+    day = F.udf(counted, "date").asNondeterministic()
+    source = frame(spark, [(0, "a", 1), (1, "a", 2), (1, "b", 3)]).withColumn("date", day("date"))
+    t.load_newer(source, "fx", "date")
+    assert seen.value == 3 and t.mark("fx") == D[1]
+    undated = spark.createDataFrame([(None, "x", 1.0)], SCHEMA)
+    new = VersionedTable(spark, scratch_path(spark, "t-version"), "date")
+    assert new.load_newer(undated, "fx", "date") is None and new.versions() == []       # no day, nothing to load
+    assert new.files.names(f"{new.path}/data") == []
+    new.load_newer(undated.unionByName(frame(spark, BASE)), "fx", "date")
+    assert new.mark("fx") == D[2] and new.read().count() == len(BASE) + 1
+
+
+def test_days_of_a_week_are_dealt_together(spark):
+    t = VersionedTable(spark, scratch_path(spark, "t-version"), "date")
+    p = t._dealt(frame(spark, BASE))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_week_of_date" in p
+    t.replace_partitions(frame(spark, BASE))
+    assert rows(t.read()) == BASE and len(t.manifest().parts) == len({r[0] for r in BASE})
+
+
 def test_a_source_that_comes_again_loses_its_old_days(spark):
     t = VersionedTable(spark, scratch_path(spark, "t-version"), "date")
     own = lambda r, source: frame(spark, r).withColumn("source", F.lit(source))
