@@ -107,6 +107,20 @@ def test_drifted_headers_and_quoted_cells(spark):
     assert sorted(map(tuple, out.collect())) == [("b1", "a1", "x, y"), ("b2", "a2", "bank,account,note,other"), ("b3", "a3", "lower,case")]
 
 
+def test_drifted_files_may_be_compressed_parts(spark, monkeypatch):
+    p = scratch_path(spark, "t-s04-gz")
+    monkeypatch.setattr(K, "CSV_PART_ROWS", 3)
+    K.csv_parts(spark.range(10).selectExpr("concat('b', id) AS bank", "concat('a,', id) AS account").coalesce(1), f"{p}/wide")
+    K.csv_parts(spark.range(10, 14).selectExpr("concat('a,', id) AS account").coalesce(1), f"{p}/narrow")
+    K.csv_parts(spark.range(0).selectExpr("string(id) AS account"), f"{p}/none")
+    assert "SortAggregate" not in S.header_prints(S.first_lines(spark, p))._jdf.queryExecution().executedPlan().toString()
+    assert {h: len(f) for h, f in S.headers(spark, p).items()} == {"bank,account": 4, "account": 3}
+    out = S.drifted_schema_scan(spark, p, {"bank": "string", "account": "string"})
+    files = [f for f in out.inputFiles() if "/none/" not in f]
+    assert len(files) == 6 and all(f.endswith(".csv.gz") for f in files)
+    assert sorted(map(tuple, out.fillna("").collect())) == sorted([(f"b{i}", f"a,{i}") for i in range(10)] + [("", f"a,{i}") for i in range(10, 14)])
+
+
 def test_work_dir_needs_a_shared_folder_on_a_cluster(spark):
     import pytest
 

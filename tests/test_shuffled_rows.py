@@ -163,3 +163,25 @@ def test_valued_days_come_from_trades_that_are_kept(spark, tmp_path):
     got = sorted((r.trade_id, r.report_date.day, r.bank_id, float(r.trade_size_usd), round(float(r.mtm), 6)) for r in m.filter("trade_id = 1").collect())
     # 4 % a year's steps of (day mod 5) - 2 hundredths: 5, 6, 7, 8, 9 January
     assert got == [(1, 5, "A", 10.0, -0.0008), (1, 6, "A", 10.0, -0.0012), (1, 7, "A", 10.0, -0.0012), (1, 8, "A", 10.0, -0.0008), (1, 9, "A", 10.0, 0.0)]
+
+
+def test_balance_files_are_read_and_written_without_a_shuffle(spark, tmp_path):
+    from tesoro.plans import q_io, q_treasury
+    t = line_tables(spark, tmp_path)
+    out = q_io.s04(t)
+    assert "Exchange hashpartitioning" not in plan(out)
+    files = {f.rsplit("/", 1)[0].rsplit("/", 1)[1]: f for f in out.inputFiles() if ".csv" in f}
+    assert sorted(files) == ["narrow", "wide"] and all(f.endswith(".csv.gz") for f in files.values())
+    names = {r.account_number: (r.bank_id, r.bank_name) for r in B.accounts(t).collect()}
+    want = sorted((*names[r.account_number], r.account_number, r.currency, *map(float, (r.starting_balance, r.total_movements, r.closing_balance)), r.date)
+                  for r in q_treasury.ledger(t).collect())
+    assert sorted(map(tuple, out.collect())) == want and len(want) == 12
+
+
+def test_ledger_rows_come_once_for_each_row_of_their_account(spark):
+    from tesoro.plans.q_io import per_account_row
+    led = spark.createDataFrame([(a, d) for a in ("A", "B", None) for d in (1, 2)], "account_number string, day int")
+    accounts = spark.createDataFrame([("A", "x"), ("B", "y"), ("B", "z"), (None, "w")], "account_number string, bank_name string")
+    out = per_account_row(led, accounts)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, led.join(accounts.select("account_number"), "account_number").collect()))
+    assert "Exchange hashpartitioning" not in plan(out)
